@@ -1,0 +1,4 @@
+"""Empty on purpose: the data model has no streams, watermarks or state.
+
+Freshness is a batch test over max(ts); see operators.quality and operators.controls.
+"""

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from txnlake.sources.lake import Lake
 
-def dense_keys(df: DataFrame, key: str, name: str, staging: str) -> DataFrame:
+
+def dense_keys(lake: Lake, df: DataFrame, key: str, name: str) -> DataFrame:
     """Number the rows 1..n by `key` as column `name`.
 
     The rows are range-partitioned and sorted, then written with their partition and their
@@ -13,12 +15,10 @@ def dense_keys(df: DataFrame, key: str, name: str, staging: str) -> DataFrame:
     per partition give each partition its offset; that table has one row per partition.
     """
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    (
-        df.repartitionByRange(key).sortWithinPartitions(key)
-        .withColumns({"_part": F.spark_partition_id(), "_place": place})
-        .write.mode("overwrite").parquet(staging)
-    )
-    placed = df.sparkSession.read.parquet(staging)
+    sorted_rows = df.repartitionByRange(key).sortWithinPartitions(key)
+    placed = lake.stage(
+        sorted_rows.withColumns({"_part": F.spark_partition_id(), "_place": place}),
+        f"{name}_order")
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

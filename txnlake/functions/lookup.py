@@ -7,6 +7,8 @@ partitions: their rows get a salt, and only their lookup rows are repeated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
@@ -28,16 +30,16 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
 
 def lookup(
     rows: DataFrame, table: DataFrame, key: str, *, how: str = "left",
-    salt_by: str, hot: DataFrame | None = None, limit: int = BROADCAST_ROWS,
+    salt_by: str, hot: Callable[[], DataFrame] | None = None, limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join `rows` to `table`, which has one row per key.
 
-    `salt_by` names a column that spreads the rows of one key. `hot` may bring hot_keys of a
+    `salt_by` names a column that spreads the rows of one key. `hot` may give hot_keys of a
     cheaper frame with the same keys, such as the scan below earlier joins.
     """
     if is_small(table, limit):
         return rows.join(F.broadcast(table), key, how)
-    hot = (hot_keys(rows, key) if hot is None else hot).withColumn("_hot", F.lit(True))
+    hot = (hot_keys(rows, key) if hot is None else hot()).withColumn("_hot", F.lit(True))
     # Null keys match nothing but would still meet in one partition.
     spread = F.col("_hot").isNotNull() | F.col(key).isNull()
     salted = rows.join(F.broadcast(hot), key, "left").withColumn(

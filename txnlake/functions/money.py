@@ -38,11 +38,21 @@ def cents_average(total: Column, rows: Column) -> Column:
     return _rounded_quotient(micros, rows * 10_000).cast("double") / F.lit(100.0)
 
 
+def ratio(part: Column, whole: Column, units: int, per: float) -> Column:
+    """part * units / whole as a whole number, halves up, divided by `per`; null when whole is 0."""
+    return _rounded_quotient(part * units, whole).cast("double") / F.lit(float(per))
+
+
 def rate(part: Column, whole: Column, places: int) -> Column:
-    """part / whole rounded half up to `places` decimals, as a double; null when whole is 0."""
-    return _rounded_quotient(part * 10**places, whole).cast("double") / F.lit(float(10**places))
+    """part / whole with `places` decimals."""
+    return ratio(part, whole, 10**places, 10**places)
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """100 * part / whole with two decimals, as a double; null when whole is 0."""
-    return _rounded_quotient(part * 10_000, whole).cast("double") / F.lit(100.0)
+    """100 * part / whole with two decimals."""
+    return ratio(part, whole, 10_000, 100)
+
+
+def micros(amount: Column) -> Column:
+    """Amount in millionths, as a whole number."""
+    return (money(amount) * 1_000_000).cast("long")

@@ -80,8 +80,8 @@ def _two_digits(text: Column, start: int) -> Column:
     return F.coalesce(F.substring(text, start, 2).try_cast("int"), F.lit(0))
 
 
-def with_timestamp(df: DataFrame, source: str, utc: str, iso: str) -> DataFrame:
-    """Add `utc` (TIMESTAMP_NTZ in UTC) and `iso` (text with the written offset).
+def with_timestamp(df: DataFrame, source: str, utc: str, east: str) -> DataFrame:
+    """Add `utc` (TIMESTAMP_NTZ in UTC) and `east` (seconds of the written offset).
 
     Both are null where the text is no timestamp. Text without an offset is taken as UTC.
     """
@@ -106,8 +106,9 @@ def with_timestamp(df: DataFrame, source: str, utc: str, iso: str) -> DataFrame:
     clock = F.regexp_replace(clock, r"^(\d{2})(\d{2})(\d{2})?(?=$|[.,])", "$1:$2:$3")
     clock = F.replace(F.regexp_replace(clock, r":$", ""), F.lit(","), F.lit("."))
     df = df.withColumns({
-        "_t_local": F.concat_ws(" ", F.regexp_extract(rare, PARTS, 1),
-                                F.nullif(clock, F.lit(""))).try_cast("timestamp_ntz"),
+        "_t_local": F.when(rare.isNotNull(), F.concat_ws(
+            " ", F.regexp_extract(rare, PARTS, 1), F.nullif(clock, F.lit("")))
+            .try_cast("timestamp_ntz")),
         "_t_offset": F.regexp_extract(rare, PARTS, 3),
         "_t_digits": F.regexp_replace(F.regexp_extract(rare, PARTS, 3), "[^0-9.]", ""),
     })
@@ -116,21 +117,26 @@ def with_timestamp(df: DataFrame, source: str, utc: str, iso: str) -> DataFrame:
     seconds = (_two_digits(digits, 1) * 3600 + _two_digits(digits, 3) * 60
                + _two_digits(digits, 5)
                + F.coalesce(F.substring(digits, 7, 7).try_cast("decimal(7,6)"), F.lit(0)))
-    east = (F.when(F.coalesce(offset, F.lit("")).isin("", "Z"), 0)
-            .when(seconds < 86400, F.when(offset.startswith("-"), -seconds).otherwise(seconds)))
-    df = df.withColumn("_t_east", east.cast("decimal(12,6)"))
-
-    local = F.coalesce("_t_common", F.when(F.col("_t_east").isNotNull(), F.col("_t_local")))
-    df = df.withColumn("_t_local", F.when(F.year(local) >= 1, local))
-    local, east = F.col("_t_local"), F.col("_t_east")
-    moment = F.when(F.col("_t_common").isNotNull() | (east == 0), local).otherwise(
-        local - F.make_dt_interval(secs=east))
+    signed = F.when(offset.isin("", "Z"), 0).when(
+        seconds < 86400, F.when(offset.startswith("-"), -seconds).otherwise(seconds))
+    common, local = F.col("_t_common"), F.col("_t_local")
+    df = df.withColumn("_t_east", F.when(common.isNotNull(), 0).otherwise(signed)
+                       .cast("decimal(12,6)"))
+    shift = F.col("_t_east")
+    moment = F.when(common.isNotNull(), common).when(shift == 0, local).otherwise(
+        local - F.make_dt_interval(secs=shift))
+    first_year = F.year(F.coalesce(common, local)) >= 1
     return df.withColumns({
-        utc: moment,
-        iso: F.concat(iso_text(local, "T"), _offset_text(east)),
+        utc: F.when(first_year, moment),
+        east: F.when(first_year & moment.isNotNull(), shift),
     }).drop("_t_body", "_t_common", "_t_rare", "_t_local", "_t_offset", "_t_digits", "_t_east")
 
 
+def offset_iso_text(utc: Column, east: Column) -> Column:
+    """ISO text in the offset the timestamp was written with."""
+    return F.concat(iso_text(utc + F.make_dt_interval(secs=east), "T"), _offset_text(east))
+
+
 def _offset_text(east: Column) -> Column:
     size = F.abs(east)
     whole = F.floor(size).cast("int")

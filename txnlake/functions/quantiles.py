@@ -35,49 +35,44 @@ def quantiles(counts: DataFrame, value: str, by: list[str], shares: list[float],
     per group and range may be broadcast.
     """
     sized = F.broadcast if few_groups or not by else (lambda df: df)
-    cuts = counts.groupBy(*by).agg(
+    # A struct as the key lets a null group meet itself in a join.
+    group = F.struct(*by) if by else F.struct(F.lit(1).alias("all"))
+    counts = counts.select(group.alias("_g"), F.col(value).alias("_v"), "copies")
+
+    cuts = counts.groupBy("_g").agg(
         F.array_distinct(F.percentile_approx(
-            value, [i / RANGES for i in range(1, RANGES)], 10_000)).alias("_cuts"),
+            "_v", [i / RANGES for i in range(1, RANGES)], 10_000)).alias("_cuts"),
         F.sum("copies").alias("_rows"))
-    ranged = _with_group(counts, cuts, by, sized).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))).drop("_cuts")
+    ranged = counts.join(sized(cuts), "_g").withColumn(
+        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
 
-    totals = ranged.groupBy(*by, "_range").agg(F.sum("copies").alias("_in"))
-    lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select(*by, "_range",
+    totals = ranged.groupBy("_g", "_range").agg(F.sum("copies").alias("_in"))
+    lower = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_g", "_range",
                            F.coalesce(F.sum("_in").over(lower), F.lit(0)).alias("_below"))
 
-    inside = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(
+    inside = Window.partitionBy("_g", "_range").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    running = ranged.withColumn("_upto", F.sum("copies").over(inside))
-    keys = [*by, "_range"]
-    running = running.join(sized(shifts), keys)
+    running = ranged.withColumn("_upto", F.sum("copies").over(inside)).join(
+        sized(shifts), ["_g", "_range"])
     last = F.col("_below") + F.col("_upto") - 1
     first = last - F.col("copies") + 1
 
-    place = lambda q: F.lit(float(q)) * (F.col("_rows") - 1)
-    low = lambda q: F.floor(place(q))
-    high = lambda q: F.ceil(place(q))
-    hits: list[Column] = [
-        F.struct(F.lit(float(q)).alias("share"),
-                 F.when(low(q).between(first, last), F.col(value)).alias("low"),
-                 F.when(high(q).between(first, last), F.col(value)).alias("high"),
-                 (place(q) - low(q)).alias("t"))
-        for q in shares
-    ]
-    found = running.select(*by, F.explode(F.filter(
-        F.array(*hits), lambda h: h["low"].isNotNull() | h["high"].isNotNull())).alias("hit"))
-    ends = found.groupBy(*by, F.col("hit.share").alias("share")).agg(
+    def hit(share: float) -> Column:
+        place = F.lit(float(share)) * (F.col("_rows") - 1)
+        low, high = F.floor(place), F.ceil(place)
+        return F.struct(
+            F.lit(float(share)).alias("share"),
+            F.when(low.between(first, last), F.col("_v")).alias("low"),
+            F.when(high.between(first, last), F.col("_v")).alias("high"),
+            (place - low).alias("t"))
+
+    found = running.select("_g", F.explode(F.filter(
+        F.array(*[hit(share) for share in shares]),
+        lambda h: h["low"].isNotNull() | h["high"].isNotNull())).alias("hit"))
+    ends = found.groupBy("_g", F.col("hit.share").alias("share")).agg(
         F.max("hit.low").alias("low"), F.max("hit.high").alias("high"), F.max("hit.t").alias("t"))
     # Interpolate from the nearer end.
-    gap = F.col("high") - F.col("low")
-    return ends.select(*by, "share", F.when(
-        F.col("t") >= 0.5, F.col("high") - gap * (1 - F.col("t"))
-    ).otherwise(F.col("low") + gap * F.col("t")).alias("quantile"))
-
-
-def _with_group(counts: DataFrame, per_group: DataFrame, by: list[str], sized) -> DataFrame:
-    if by:
-        return counts.join(sized(per_group), by)
-    one = per_group.select(F.struct(*per_group.columns).alias("_g")).scalar()
-    return counts.withColumn("_g", one).select("*", "_g.*").drop("_g")
+    gap, t = F.col("high") - F.col("low"), F.col("t")
+    value_at = F.when(t >= 0.5, F.col("high") - gap * (1 - t)).otherwise(F.col("low") + gap * t)
+    return ends.select(*[F.col(f"_g.{c}") for c in by], "share", value_at.alias("quantile"))

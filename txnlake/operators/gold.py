@@ -53,14 +53,12 @@ def dim_payment_method(spark: SparkSession, cfg: Config) -> DataFrame:
 
 def dim_customer(lake: Lake) -> DataFrame:
     columns = [c for c in schemas.TABLES["gold.dim_customer"].names if c != "customer_sk"]
-    return dense_keys(lake.customers().select(*columns), "customer_id", "customer_sk",
-                      lake.path("staging.customer_keys"))
+    return dense_keys(lake, lake.customers().select(*columns), "customer_id", "customer_sk")
 
 
 def dim_merchant(lake: Lake) -> DataFrame:
     columns = [c for c in schemas.TABLES["gold.dim_merchant"].names if c != "merchant_sk"]
-    return dense_keys(lake.merchants().select(*columns), "merchant_id", "merchant_sk",
-                      lake.path("staging.merchant_keys"))
+    return dense_keys(lake, lake.merchants().select(*columns), "merchant_id", "merchant_sk")
 
 
 def fact_transactions(transactions: DataFrame, customers: DataFrame, merchants: DataFrame,
@@ -70,7 +68,8 @@ def fact_transactions(transactions: DataFrame, customers: DataFrame, merchants:
     for table, key, surrogate in ((customers, "customer_id", "customer_sk"),
                                   (merchants, "merchant_id", "merchant_sk")):
         df = lookup(df, table.select(key, surrogate), key, salt_by="transaction_id",
-                    hot=hot_keys(transactions, key), limit=limit)
+                    limit=limit,
+                    hot=lambda key=key: hot_keys(transactions, key))
     # The list of methods is fixed.
     df = df.join(F.broadcast(methods.select("payment_method", "payment_method_sk")),
                  "payment_method", "left")

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from txnlake import schemas
 from txnlake.config import Config
 from txnlake.functions.lookup import BROADCAST_ROWS, hot_keys, lookup
-from txnlake.functions.parse import parse_amount, parse_date, with_timestamp
+from txnlake.functions.parse import (
+    offset_iso_text, parse_amount, parse_date, with_timestamp,
+)
 from txnlake.functions.text import float_text, quoted, stripped
 from txnlake.operators.bronze import utc_now
 from txnlake.sources.lake import Lake, first_by_key
@@ -89,7 +91,8 @@ def rule_reasons(cfg: Config, as_of: datetime) -> dict[str, Column]:
               say("amount exceeds threshold: ", float_text(c("_amount")))),
         "timestamp": F.when(c("_ts").isNull(),
                             say("unparseable timestamp: ", quoted(c("timestamp"))))
-        .when(c("_ts") > F.lit(as_of).cast("timestamp_ntz"), say("future timestamp: ", c("_ts_iso"))),
+        .when(c("_ts") > F.lit(as_of).cast("timestamp_ntz"),
+              say("future timestamp: ", offset_iso_text(c("_ts"), c("_ts_east")))),
         "currency": outside("_currency", cfg.currencies, "invalid currency: "),
         "status": outside("_status", cfg.statuses, "invalid status: "),
         "payment_method": outside("_method", cfg.payment_methods, "invalid payment_method: "),
@@ -100,7 +103,10 @@ def rule_reasons(cfg: Config, as_of: datetime) -> dict[str, Column]:
 
 def annotate(raw: DataFrame, repeated: DataFrame, customers: DataFrame, merchants: DataFrame,
              cfg: Config, as_of: datetime, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Every raw row with its typed values and `_reasons`, which is '' for a valid row."""
+    """Every raw row with its typed values and `_reasons`, which is '' for a valid row.
+
+    `customers` and `merchants` hold each known id once.
+    """
     df = base = normalise(raw)
     tables = {
         "_id": repeated.select(F.col("transaction_id").alias("_id"),
@@ -112,9 +118,10 @@ def annotate(raw: DataFrame, repeated: DataFrame, customers: DataFrame, merchant
                                       F.lit(True).alias("_merchant_known")),
     }
     for key, table in tables.items():
-        df = lookup(df, table, key, salt_by="_row_seq", hot=hot_keys(base, key), limit=limit)
+        df = lookup(df, table, key, salt_by="_row_seq", limit=limit,
+                    hot=lambda key=key: hot_keys(base, key))
     df = df.withColumn("_amount", parse_amount(F.col("amount")))
-    df = with_timestamp(df, "timestamp", "_ts", "_ts_iso")
+    df = with_timestamp(df, "timestamp", "_ts", "_ts_east")
     return df.withColumn("_reasons", F.concat_ws("; ", *rule_reasons(cfg, as_of).values()))
 
 
@@ -175,7 +182,7 @@ def build_silver(lake: Lake, batch_id: str, cfg: Config | None = None,
     lake.replace_batch(repeated_ids(raw, earlier, small_batch), "silver.repeated_ids", batch_id)
     annotated = annotate(
         raw, lake.read("silver.repeated_ids", batch_id).drop("batch_id"),
-        lake.customers(), lake.merchants(), cfg, as_of, limit)
+        lake.entity_ids("customers"), lake.entity_ids("merchants"), cfg, as_of, limit)
     lake.replace_batch(route(annotated, loaded_at), "silver.routed", batch_id, ("route",))
     return {
         "silver_count": lake.transactions(batch_id).count(),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from txnlake.config import Config
 from txnlake.operators import bronze, gold, silver
@@ -15,13 +15,19 @@ from txnlake.sources.lake import Lake
 _built: dict[tuple[str, str], Lake] = {}
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Spread a feed of few files over all cores; a feed of many files stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, "_row_seq")
+
+
 def build(spark: SparkSession, folder: str, root: str) -> Lake:
     """Land the feeds of both batches, then build Silver and Gold."""
     lake = Lake(spark, root)
     cfg = Config()
     for table, feed in (("transactions", feeds.transactions), ("customers", feeds.customers),
                         ("merchants", feeds.merchants)):
-        rows = feed(spark, folder)
+        rows = _spread(feed(spark, folder))
         for batch in feeds.BATCHES if table == "transactions" else feeds.BATCHES[:1]:
             bronze.land(lake, rows.filter(rows.batch_id == batch), table, batch, feeds.AS_OF)
     for batch in feeds.BATCHES:

@@ -27,25 +27,26 @@ class Lake:
             raise ValueError(f"batch id may hold letters, digits, _ . and -: {batch_id!r}")
         return f"{path}/batch_id={batch_id}"
 
-    def exists(self, table: str) -> bool:
+    def _stored(self, table: str) -> DataFrame | None:
         try:
-            self.spark.read.schema(schemas.TABLES[table]).parquet(self.path(table))
+            return self.spark.read.schema(schemas.TABLES[table]).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return False
+                return None
             raise
-        return True
+
+    def exists(self, table: str) -> bool:
+        return self._stored(table) is not None
 
     def read(self, table: str, batch_id: str | None = None) -> DataFrame:
         """A stored table with its fixed schema; empty when nothing was written yet.
 
-        A batch filter is a partition filter, so other batches are not listed or read.
+        A batch filter is a partition filter, so other batches are not read.
         """
         schema = schemas.TABLES[table]
-        if not self.exists(table):
+        df = self._stored(table)
+        if df is None:
             df = self.spark.createDataFrame([], schema)
-        else:
-            df = self.spark.read.schema(schema).parquet(self.path(table))
         df = df.select(*schema.names)
         return df if batch_id is None else df.filter(F.col("batch_id") == batch_id)
 
@@ -72,6 +73,12 @@ class Lake:
         new = df.dropDuplicates([key]).join(self.read(table).select(key), key, "left_anti")
         _typed(new, table).write.mode("append").parquet(self.path(table))
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate table and read it back, so that its size is known."""
+        path = f"{self.root}/staging/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # Views over stored tables.
 
     def transactions(self, batch_id: str | None = None) -> DataFrame:
@@ -89,6 +96,10 @@ class Lake:
     def merchants(self) -> DataFrame:
         return self._latest("silver.merchants_by_batch", "merchant_id", schemas.SILVER_MERCHANTS)
 
+    def entity_ids(self, entity: str) -> DataFrame:
+        """Ids of `customers` or `merchants` of all batches, each once."""
+        return self.read(f"silver.{entity}_by_batch").select(f"{entity[:-1]}_id").distinct()
+
     def fact(self) -> DataFrame:
         return self.read("gold.fact_transactions").select(*schemas.FACT)
 

@@ -17,8 +17,8 @@ SALTS = 64
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when df has at most `limit` rows; reads no further than that."""
-    return df.limit(limit + 1).count() <= limit
+    """True when df has at most `limit` rows. A stored table answers from its file footers."""
+    return df.count() <= limit
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
@@ -30,14 +30,16 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
 
 def lookup(
     rows: DataFrame, table: DataFrame, key: str, *, how: str = "left",
-    salt_by: str, hot: Callable[[], DataFrame] | None = None, limit: int = BROADCAST_ROWS,
+    salt_by: str, hot: Callable[[], DataFrame] | None = None, bound: DataFrame | None = None,
+    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join `rows` to `table`, which has one row per key.
 
     `salt_by` names a column that spreads the rows of one key. `hot` may give hot_keys of a
-    cheaper frame with the same keys, such as the scan below earlier joins.
+    cheaper frame with the same keys, such as the scan below earlier joins. `bound` is a frame
+    with no fewer rows than `table` that is cheaper to count.
     """
-    if is_small(table, limit):
+    if is_small(table if bound is None else bound, limit):
         return rows.join(F.broadcast(table), key, how)
     hot = (hot_keys(rows, key) if hot is None else hot()).withColumn("_hot", F.lit(True))
     # Null keys match nothing but would still meet in one partition.

@@ -132,22 +132,18 @@ def with_timestamp(df: DataFrame, source: str, utc: str, east: str) -> DataFrame
     }).drop("_t_body", "_t_common", "_t_rare", "_t_local", "_t_offset", "_t_digits", "_t_east")
 
 
-def offset_iso_text(utc: Column, east: Column) -> Column:
-    """ISO text in the offset the timestamp was written with."""
-    return F.concat(iso_text(utc + F.make_dt_interval(secs=east), "T"), _offset_text(east))
-
-
-def _offset_text(east: Column) -> Column:
-    size = F.abs(east)
-    whole = F.floor(size).cast("int")
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    micros = ((size - whole) * 1_000_000).cast("int")
-    clock = F.concat(two(F.floor(whole / 3600)), F.lit(":"), two(F.floor(whole / 60) % 60))
-    exact = F.concat(clock, F.lit(":"), two(whole % 60), F.when(
-        micros > 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(""))
-    sign = F.when(east < 0, "-").otherwise("+")
-    return F.when(east == 0, "+00:00").when(
-        size % 60 == 0, F.concat(sign, clock)).otherwise(F.concat(sign, exact))
+def offset_iso_text(utc: str, east: str) -> str:
+    """SQL for ISO text in the offset (seconds east) the timestamp was written with."""
+    local = f"({utc} + make_dt_interval(0, 0, 0, {east}))"
+    micros = f"cast((abs({east}) - floor(abs({east}))) * 1000000 AS int)"
+    part = lambda value: f"lpad(cast({value} AS string), 2, '0')"
+    whole = f"cast(floor(abs({east})) AS int)"
+    return f"""concat(
+        date_format({local}, "yyyy-MM-dd'T'HH:mm:ss"),
+        if(date_format({local}, 'SSSSSS') = '000000', '', date_format({local}, '.SSSSSS')),
+        if({east} < 0, '-', '+'), {part(f'{whole} div 3600')}, ':', {part(f'{whole} div 60 % 60')},
+        if({east} % 60 = 0, '', concat(':', {part(f'{whole} % 60')})),
+        if({micros} = 0, '', concat('.', lpad(cast({micros} AS string), 6, '0'))))"""
 
 
 def iso_text(moment: Column, separator: str) -> Column:

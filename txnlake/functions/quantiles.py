@@ -1,78 +1,91 @@
 """Exact interpolated quantiles of large columns.
 
-Equal values are counted first, which is a shuffle with partial sums. A quantile sketch cuts
-the values of each group into ranges; it only balances the work and does not touch the result.
-Running counts are taken inside each range and shifted by the ranges below it, so no task has
-to hold or sort a whole group.
+A sketch brackets the place of each wanted quantile. Rows outside all brackets are only
+counted, in partial sums; the few rows inside are counted per value and ranked. So nothing but
+the brackets is shuffled or sorted, and the sketch decides the amount of work, not the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
 
-RANGES = 64
+from pyspark.sql import DataFrame, Window, functions as F
 
+ACCURACY = 10_000
+# Three times the error the sketch promises. Groups too small for that are ranked whole.
+MARGIN = 3 / ACCURACY
+WHOLE = 1_000_000
 
-def value_counts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """Rows (by..., value, copies) of the values that are not null."""
-    return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
-        F.count("*").alias("copies"))
 
-
-def unpivot_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows (feature, value, copies) over several numeric columns in one pass."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+def unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (feature, value) over several numeric columns."""
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "feature", "value")
-    return value_counts(long, "value", ["feature"])
 
 
-def quantiles(counts: DataFrame, value: str, by: list[str], shares: list[float],
-              few_groups: bool = False) -> DataFrame:
+def quantiles(df: DataFrame, value: str, by: list[str], shares: list[float],
+              few_groups: bool = False, small: bool = False) -> DataFrame:
     """Rows (by..., share, quantile) for each share in `shares`, linearly interpolated.
 
-    `counts` comes from value_counts. The place of share q among n rows is q*(n-1).
-    `few_groups` says that the number of groups is known to be small, so tables with one row
-    per group and range may be broadcast.
+    The place of share q among n rows is q*(n-1). `few_groups` says that the number of groups
+    is known to be small, so tables with one row per group may be broadcast. `small` says that
+    df was counted and has at most WHOLE rows, so it can be ranked without a sketch.
     """
-    sized = F.broadcast if few_groups or not by else (lambda df: df)
+    sized = F.broadcast if few_groups or not by else (lambda table: table)
     # A struct as the key lets a null group meet itself in a join.
     group = F.struct(*by) if by else F.struct(F.lit(1).alias("all"))
-    counts = counts.select(group.alias("_g"), F.col(value).alias("_v"), "copies")
-
-    cuts = counts.groupBy("_g").agg(
-        F.array_distinct(F.percentile_approx(
-            "_v", [i / RANGES for i in range(1, RANGES)], 10_000)).alias("_cuts"),
-        F.sum("copies").alias("_rows"))
-    ranged = counts.join(sized(cuts), "_g").withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
-
-    totals = ranged.groupBy("_g", "_range").agg(F.sum("copies").alias("_in"))
-    lower = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select("_g", "_range",
-                           F.coalesce(F.sum("_in").over(lower), F.lit(0)).alias("_below"))
-
-    inside = Window.partitionBy("_g", "_range").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    running = ranged.withColumn("_upto", F.sum("copies").over(inside)).join(
-        sized(shifts), ["_g", "_range"])
-    last = F.col("_below") + F.col("_upto") - 1
-    first = last - F.col("copies") + 1
-
-    def hit(share: float) -> Column:
-        place = F.lit(float(share)) * (F.col("_rows") - 1)
-        low, high = F.floor(place), F.ceil(place)
-        return F.struct(
-            F.lit(float(share)).alias("share"),
-            F.when(low.between(first, last), F.col("_v")).alias("low"),
-            F.when(high.between(first, last), F.col("_v")).alias("high"),
-            (place - low).alias("t"))
-
-    found = running.select("_g", F.explode(F.filter(
-        F.array(*[hit(share) for share in shares]),
-        lambda h: h["low"].isNotNull() | h["high"].isNotNull())).alias("hit"))
-    ends = found.groupBy("_g", F.col("hit.share").alias("share")).agg(
-        F.max("hit.low").alias("low"), F.max("hit.high").alias("high"), F.max("hit.t").alias("t"))
-    # Interpolate from the nearer end.
-    gap, t = F.col("high") - F.col("low"), F.col("t")
-    value_at = F.when(t >= 0.5, F.col("high") - gap * (1 - t)).otherwise(F.col("low") + gap * t)
-    return ends.select(*[F.col(f"_g.{c}") for c in by], "share", value_at.alias("quantile"))
+    rows = df.filter(F.col(value).isNotNull()).select(
+        group.alias("_g"), F.col(value).cast("double").alias("_v"))
+
+    if small:
+        ranked = _ranked(rows)
+        whole = Window.partitionBy("_g")
+        ranked = ranked.withColumn("_n", F.sum("_copies").over(whole)).withColumns(
+            {f"_skip{i}": F.lit(0) for i in range(len(shares))})
+    else:
+        ranked = _ranked_in_brackets(rows, shares, sized)
+
+    # As SQL text, because there are four expressions per share.
+    place = [f"(double('{float(q)!r}') * (_n - 1))" for q in shares]
+    value_at = "max(CASE WHEN {place} - _skip{i} >= _upto - _copies AND {place} - _skip{i} < _upto THEN _v END)"
+    ends = [
+        F.expr(value_at.format(place=f"{edge}({p})", i=i)).alias(f"_{edge}{i}")
+        for i, p in enumerate(place) for edge in ("floor", "ceil")]
+    found = ranked.groupBy("_g").agg(F.max("_n").alias("_n"), *ends)
+    # A bracket that misses its place would break the sketch's promise: stop, never guess.
+    # Otherwise interpolate from the nearer end.
+    result = """CASE
+        WHEN _floor{i} IS NULL OR _ceil{i} IS NULL
+            THEN cast(raise_error('quantile outside its bracket') AS double)
+        WHEN {t} >= 0.5D THEN _ceil{i} - (_ceil{i} - _floor{i}) * (1 - {t})
+        ELSE _floor{i} + (_ceil{i} - _floor{i}) * {t} END"""
+    pairs = ", ".join(
+        f"named_struct('share', double('{float(q)!r}'), 'quantile', "
+        f"{result.format(i=i, t=f'({p} - floor({p}))')})"
+        for i, (q, p) in enumerate(zip(shares, place, strict=True)))
+    return found.select("_g", F.expr(f"explode(array({pairs}))").alias("_q")).select(
+        *[F.col(f"_g.{c}") for c in by], "_q.share", "_q.quantile")
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Values with their copies and the number of rows up to them, per group."""
+    counted = rows.groupBy("_g", "_v").agg(F.count("*").alias("_copies"))
+    upto = F.sum("_copies").over(
+        Window.partitionBy("_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    return counted.withColumn("_upto", upto)
+
+
+def _ranked_in_brackets(rows: DataFrame, shares: list[float], sized) -> DataFrame:
+    """_ranked for the rows inside the brackets, with the number of rows skipped below each."""
+    v = F.col("_v")
+    ends = [end for q in shares for end in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+    sketch = rows.groupBy("_g").agg(
+        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"), F.count("*").alias("_n"))
+    bracketed = rows.join(sized(sketch), "_g")
+    low = lambda i: F.col("_ends")[2 * i]
+    inside = reduce(lambda a, b: a | b, [
+        v.between(low(i), F.col("_ends")[2 * i + 1]) for i in range(len(shares))])
+    inside = (F.col("_n") <= WHOLE) | inside
+    skipped = bracketed.groupBy("_g").agg(F.max("_n").alias("_n"), *[
+        F.count_if(~inside & (v < low(i))).alias(f"_skip{i}") for i in range(len(shares))])
+    return _ranked(bracketed.filter(inside).select("_g", "_v")).join(sized(skipped), "_g")

@@ -17,35 +17,35 @@ def stripped(column: Column) -> Column:
     return F.coalesce(F.btrim(column, F.lit(WHITE_SPACE)), F.lit(""))
 
 
-def quoted(column: Column) -> Column:
-    """Text as a quoted literal: 'abc', "it's", None for null; tabs and line ends escaped."""
+def quoted(column: str) -> str:
+    """SQL for text as a quoted literal: 'abc', "it's", None for null.
+
+    Backslashes, tabs and line ends are escaped.
+    """
     body = column
-    for char, escape in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
-        body = F.replace(body, F.lit(char), F.lit(escape))
-    has_single, has_double = column.contains("'"), column.contains('"')
-    body = F.when(has_single & has_double, F.replace(body, F.lit("'"), F.lit("\\'"))).otherwise(body)
-    mark = F.when(has_single & ~has_double, '"').otherwise("'")
-    return F.coalesce(F.concat(mark, body, mark), F.lit("None"))
-
-
-def float_text(column: Column) -> Column:
-    """Shortest text of a double: plain between 1e-4 and 1e16, exponent form outside."""
-    text = column.cast("string")
-    size = F.abs(column)
-    plain = F.rtrim(column.cast("string").cast("decimal(38,18)").cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
-    power = F.substring_index(text, "E", -1).try_cast("int")
-    digits = F.lpad(F.abs(power).cast("string"), 2, "0")
-    digits = F.when(F.abs(power) > 99, F.abs(power).cast("string")).otherwise(digits)
-    exponent = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), digits)
-    return (
-        F.when(F.isnan(column), "nan")
-        .when(size == float("inf"), F.when(column > 0, "inf").otherwise("-inf"))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
-    )
+    for char, escape in (("\\\\", "\\\\\\\\"), ("\\t", "\\\\t"), ("\\n", "\\\\n"), ("\\r", "\\\\r")):
+        body = f"replace({body}, '{char}', '{escape}')"
+    single, double = f"contains({column}, '\\'')", f"contains({column}, '\"')"
+    body = f"if({single} AND {double}, replace({body}, '\\'', '\\\\\\''), {body})"
+    mark = f"if({single} AND NOT {double}, '\"', '\\'')"
+    return f"coalesce(concat({mark}, {body}, {mark}), 'None')"
+
+
+def float_text(column: str) -> str:
+    """SQL for the shortest text of a double: plain from 1e-4 to 1e16, exponent form outside."""
+    text, size = f"cast({column} AS string)", f"abs({column})"
+    plain = f"rtrim('0', cast(cast({text} AS decimal(38,18)) AS string))"
+    power = f"try_cast(substring_index({text}, 'E', -1) AS int)"
+    return f"""CASE
+        WHEN isnan({column}) THEN 'nan'
+        WHEN {size} = double('infinity') THEN if({column} > 0, 'inf', '-inf')
+        WHEN {size} = 0 OR ({size} >= 1e-3 AND {size} < 1e7) THEN {text}
+        WHEN {size} >= 1e-4 AND {size} < 1e16
+            THEN if(endswith({plain}, '.'), concat({plain}, '0'), {plain})
+        ELSE concat(regexp_replace(substring_index({text}, 'E', 1), '[.]0$', ''),
+                    if({power} < 0, 'e-', 'e+'),
+                    lpad(cast(abs({power}) AS string), greatest(2, length(cast(abs({power}) AS string))), '0'))
+        END"""
 
 
 def fixed_text(column: Column, places: int) -> Column:

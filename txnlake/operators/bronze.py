@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import UTC, datetime
+from functools import partial
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnlake import schemas
 from txnlake.config import Config
+from txnlake.functions.jobs import together
 from txnlake.sources.files import UnreadableFile, missing_columns, read_csv
 from txnlake.sources.lake import Lake
 
@@ -65,8 +67,10 @@ def ingest(
     audit = []
     paths = {"transactions": transactions_path, "customers": customers_path,
              "merchants": merchants_path}
-    for table, path in paths.items():
-        outcome = _ingest_file(lake, table, str(path), batch_id, ingested_at, multi_line)
+    outcomes = together(*[
+        partial(_ingest_file, lake, table, str(path), batch_id, ingested_at, multi_line)
+        for table, path in paths.items()])
+    for (table, path), outcome in zip(paths.items(), outcomes, strict=True):
         summary[table] = {k: v for k, v in outcome.items() if v is not None}
         loaded = outcome["status"] == "SUCCESS"
         rows = outcome.get("record_count", 0)

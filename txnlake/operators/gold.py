@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txnlake import schemas
 from txnlake.config import Config
+from txnlake.functions.jobs import together
 from txnlake.functions.keys import dense_keys
 from txnlake.functions.lookup import BROADCAST_ROWS, hot_keys, lookup
 from txnlake.operators.silver import build_silver
@@ -83,17 +84,19 @@ def build_gold(lake: Lake, cfg: Config | None = None, limit: int = BROADCAST_ROW
     Surrogate keys depend on all ids, so the fact table follows the dimensions.
     """
     cfg = cfg or Config()
-    lake.replace(dim_customer(lake), "gold.dim_customer")
-    lake.replace(dim_merchant(lake), "gold.dim_merchant")
-    lake.replace(dim_payment_method(lake.spark, cfg), "gold.dim_payment_method")
-    lake.replace(dim_date(lake.transactions()), "gold.dim_date")
+    together(
+        lambda: lake.replace(dim_customer(lake), "gold.dim_customer"),
+        lambda: lake.replace(dim_merchant(lake), "gold.dim_merchant"),
+        lambda: lake.replace(dim_payment_method(lake.spark, cfg), "gold.dim_payment_method"),
+        lambda: lake.replace(dim_date(lake.transactions()), "gold.dim_date"))
     fact = fact_transactions(
         lake.transactions(), lake.read("gold.dim_customer"), lake.read("gold.dim_merchant"),
         lake.read("gold.dim_payment_method"), limit)
     # Rows of a date meet in one place; a date with too many rows is split again.
     lake.replace(fact.hint("rebalance", "date_sk"), "gold.fact_transactions", ("date_sk",))
-    return {name: lake.read(f"gold.{name}").count()
-            for name in ("fact_transactions", "dim_customer", "dim_merchant", "dim_date")}
+    names = ("fact_transactions", "dim_customer", "dim_merchant", "dim_date")
+    counts = together(*[lake.read(f"gold.{name}").count for name in names])
+    return dict(zip(names, counts, strict=True))
 
 
 def build_warehouse(spark: SparkSession, lake_root: str, batch_id: str, cfg: Config | None = None,

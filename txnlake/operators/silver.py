@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnlake import schemas
 from txnlake.config import Config
+from txnlake.functions.jobs import together
 from txnlake.functions.lookup import BROADCAST_ROWS, hot_keys, lookup
 from txnlake.functions.parse import (
     offset_iso_text, parse_amount, parse_date, with_timestamp,
@@ -69,43 +71,44 @@ def normalise(raw: DataFrame) -> DataFrame:
     })
 
 
-def rule_reasons(cfg: Config, as_of: datetime) -> dict[str, Column]:
-    """Reason text per rule, null where the rule holds; in the order they are reported."""
-    c = F.col
-    say = lambda words, value: F.concat(F.lit(words), value)
+def rule_reasons(cfg: Config, as_of: datetime) -> dict[str, str]:
+    """SQL of the reason text per rule, null where the rule holds; in the order of reporting."""
+    def outside(column: str, allowed: tuple[str, ...], words: str) -> str:
+        listed = ", ".join(f"'{value}'" for value in allowed)
+        return f"CASE WHEN {column} NOT IN ({listed}) THEN concat('{words}: ', {quoted(column)}) END"
 
-    def outside(column: str, allowed: tuple[str, ...], words: str) -> Column:
-        return F.when(~c(column).isin(*allowed), say(words, quoted(c(column))))
+    def unknown(column: str, found: str, words: str) -> str:
+        return (f"CASE WHEN {column} = '' THEN 'null {words}' "
+                f"WHEN {found} IS NULL THEN concat('orphan {words}: ', {column}) END")
 
-    def unknown(column: str, found: str, words: str) -> Column:
-        return F.when(c(column) == "", F.lit(f"null {words}")).when(
-            c(found).isNull(), say(f"orphan {words}: ", c(column)))
-
-    repeated = c("_repeated") & (c("_first_seq").isNull() | (c("_row_seq") != c("_first_seq")))
     return {
-        "id_present": F.when(c("_id") == "", "null/empty transaction_id"),
-        "id_first": F.when(repeated, say("duplicate transaction_id: ", c("_id"))),
-        "amount": F.when(c("_amount").isNull(), say("unparseable amount: ", quoted(c("amount"))))
-        .when(c("_amount") <= 0, say("non-positive amount: ", float_text(c("_amount"))))
-        .when(c("_amount") > float(cfg.max_amount),
-              say("amount exceeds threshold: ", float_text(c("_amount")))),
-        "timestamp": F.when(c("_ts").isNull(),
-                            say("unparseable timestamp: ", quoted(c("timestamp"))))
-        .when(c("_ts") > F.lit(as_of).cast("timestamp_ntz"),
-              say("future timestamp: ", offset_iso_text(c("_ts"), c("_ts_east")))),
-        "currency": outside("_currency", cfg.currencies, "invalid currency: "),
-        "status": outside("_status", cfg.statuses, "invalid status: "),
-        "payment_method": outside("_method", cfg.payment_methods, "invalid payment_method: "),
+        "id_present": "CASE WHEN _id = '' THEN 'null/empty transaction_id' END",
+        "id_first": "CASE WHEN _repeated AND (_first_seq IS NULL OR _row_seq <> _first_seq) "
+                    "THEN concat('duplicate transaction_id: ', _id) END",
+        "amount": f"""CASE
+            WHEN _amount IS NULL THEN concat('unparseable amount: ', {quoted('amount')})
+            WHEN _amount <= 0 THEN concat('non-positive amount: ', {float_text('_amount')})
+            WHEN _amount > double({cfg.max_amount})
+                THEN concat('amount exceeds threshold: ', {float_text('_amount')}) END""",
+        "timestamp": f"""CASE
+            WHEN _ts IS NULL THEN concat('unparseable timestamp: ', {quoted('timestamp')})
+            WHEN _ts > TIMESTAMP_NTZ '{as_of.isoformat(sep=" ")}'
+                THEN concat('future timestamp: ', {offset_iso_text('_ts', '_ts_east')}) END""",
+        "currency": outside("_currency", cfg.currencies, "invalid currency"),
+        "status": outside("_status", cfg.statuses, "invalid status"),
+        "payment_method": outside("_method", cfg.payment_methods, "invalid payment_method"),
         "customer": unknown("_customer", "_customer_known", "customer_id"),
         "merchant": unknown("_merchant", "_merchant_known", "merchant_id"),
     }
 
 
 def annotate(raw: DataFrame, repeated: DataFrame, customers: DataFrame, merchants: DataFrame,
-             cfg: Config, as_of: datetime, limit: int = BROADCAST_ROWS) -> DataFrame:
+             cfg: Config, as_of: datetime, limit: int = BROADCAST_ROWS,
+             bounds: dict[str, DataFrame] | None = None) -> DataFrame:
     """Every raw row with its typed values and `_reasons`, which is '' for a valid row.
 
-    `customers` and `merchants` hold each known id once.
+    `customers` and `merchants` hold each known id once. `bounds` may name, for `_customer`
+    and `_merchant`, stored frames with at least as many rows, which are cheaper to count.
     """
     df = base = normalise(raw)
     tables = {
@@ -119,10 +122,11 @@ def annotate(raw: DataFrame, repeated: DataFrame, customers: DataFrame, merchant
     }
     for key, table in tables.items():
         df = lookup(df, table, key, salt_by="_row_seq", limit=limit,
-                    hot=lambda key=key: hot_keys(base, key))
+                    hot=lambda key=key: hot_keys(base, key), bound=(bounds or {}).get(key))
     df = df.withColumn("_amount", parse_amount(F.col("amount")))
     df = with_timestamp(df, "timestamp", "_ts", "_ts_east")
-    return df.withColumn("_reasons", F.concat_ws("; ", *rule_reasons(cfg, as_of).values()))
+    reasons = ", ".join(rule_reasons(cfg, as_of).values())
+    return df.withColumn("_reasons", F.expr(f"concat_ws('; ', {reasons})"))
 
 
 def raw_json(columns: list[str]) -> Column:
@@ -169,23 +173,28 @@ def build_silver(lake: Lake, batch_id: str, cfg: Config | None = None,
     loaded_at = loaded_at or utc_now()
     as_of = as_of or utc_now()
     loaded = F.lit(loaded_at).cast("timestamp_ntz")
-    for name, clean in (("customers", clean_customers), ("merchants", clean_merchants)):
+    raw = lake.read("bronze.raw_transactions", batch_id)
+
+    def write_entity(name: str, clean: Callable[[DataFrame], DataFrame]) -> None:
         rows = clean(lake.read(f"bronze.raw_{name}", batch_id)).withColumn("_loaded_at", loaded)
         lake.replace_batch(rows, f"silver.{name}_by_batch", batch_id)
 
-    raw = lake.read("bronze.raw_transactions", batch_id)
-    earlier = None
-    if lake.exists("silver.routed"):
-        earlier = lake.transactions().filter(F.col("batch_id") != batch_id)
-    small_batch = raw.count() <= limit
-    # Written, so that its size is known before the wide rows are joined to it.
-    lake.replace_batch(repeated_ids(raw, earlier, small_batch), "silver.repeated_ids", batch_id)
+    def write_repeated_ids() -> None:
+        earlier = None
+        if lake.exists("silver.routed"):
+            earlier = lake.transactions().filter(F.col("batch_id") != batch_id)
+        # Written, so that its size is known before the wide rows are joined to it.
+        lake.replace_batch(repeated_ids(raw, earlier, raw.count() <= limit),
+                           "silver.repeated_ids", batch_id)
+
+    together(lambda: write_entity("customers", clean_customers),
+             lambda: write_entity("merchants", clean_merchants), write_repeated_ids)
     annotated = annotate(
         raw, lake.read("silver.repeated_ids", batch_id).drop("batch_id"),
-        lake.entity_ids("customers"), lake.entity_ids("merchants"), cfg, as_of, limit)
+        lake.entity_ids("customers"), lake.entity_ids("merchants"), cfg, as_of, limit,
+        {"_customer": lake.read("silver.customers_by_batch"),
+         "_merchant": lake.read("silver.merchants_by_batch")})
     lake.replace_batch(route(annotated, loaded_at), "silver.routed", batch_id, ("route",))
-    return {
-        "silver_count": lake.transactions(batch_id).count(),
-        "quarantine_count": lake.quarantine(batch_id).count(),
-        "customer_count": lake.read("silver.customers_by_batch", batch_id).count(),
-    }
+    counts = together(lake.transactions(batch_id).count, lake.quarantine(batch_id).count,
+                      lake.read("silver.customers_by_batch", batch_id).count)
+    return dict(zip(("silver_count", "quarantine_count", "customer_count"), counts, strict=True))

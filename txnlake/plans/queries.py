@@ -11,16 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from txnlake import schemas
 from txnlake.config import Config
 from txnlake.functions.keys import dense_keys
-from txnlake.functions.lookup import lookup
+from txnlake.functions.lookup import is_small, lookup
 from txnlake.functions.money import cents, cents_average, money_sum, percent, rate
 from txnlake.functions.parse import hours_before, iso_text, parse_amount, parse_date, with_timestamp
-from txnlake.functions.quantiles import quantiles, value_counts
+from txnlake.functions.quantiles import WHOLE, quantiles, unpivoted
 from txnlake.functions.text import fixed_text, stripped
 from txnlake.operators import bronze, controls, gold, quality, silver
 from txnlake.plans import marts, reconciliation, reports
 from txnlake.plans.run import run_batch
 from txnlake.plans.workspace import lake_for
 from txnlake.risk import calibrate, drift, explain, features, gates, iforest, scoring
+from txnlake.session import apply_settings
 from txnlake.sources import feeds
 from txnlake.sources.defects import inject_defects
 from txnlake.sources.files import read_csv, validate_schema
@@ -96,6 +97,14 @@ class Context:
         return self.staged("query_calibrated", lambda: calibrate.calibrate(
             self.features.withColumn("anomaly_score", score)))
 
+    @property
+    def profile(self) -> DataFrame:
+        """Drift profile of the first batch."""
+        key = (self.lake.root, "profile")
+        if key not in _staged:
+            _staged[key] = drift.build_reference(self.lake, self.first_features, "query")
+        return _staged[key]
+
     @property
     def rough(self) -> DataFrame:
         """The feed as one batch with blank ids, unknown methods and untidy codes, annotated."""
@@ -118,6 +127,7 @@ def query(make: Callable[[Context], DataFrame]) -> Callable[[Context], DataFrame
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
+    apply_settings(spark)
     return QUERIES[name](Context(spark, folder))
 
 
@@ -146,7 +156,7 @@ def annotate_rough(c: Context) -> DataFrame:
         raw, repeated, c.lake.entity_ids("customers"), c.lake.entity_ids("merchants"),
         ROUGH_CONFIG, feeds.AS_OF)
     return annotated.withColumns({
-        f"reason_{name}": reason
+        f"reason_{name}": F.expr(reason)
         for name, reason in silver.rule_reasons(ROUGH_CONFIG, feeds.AS_OF).items()})
 
 
@@ -549,8 +559,7 @@ def risk_explained(c: Context) -> DataFrame:
 @query
 def psi_drift(c: Context) -> DataFrame:
     """The first batch as reference against all batches."""
-    profile = c.staged("query_profile", lambda: drift.build_reference(c.first_features))
-    return drift.monitor(c.features, profile)
+    return drift.monitor(c.features, c.profile)
 
 
 @query
@@ -875,8 +884,8 @@ def e05_count_distinct(c: Context) -> DataFrame:
 
 @query
 def e06_median(c: Context) -> DataFrame:
-    counts = value_counts(c.silver, "amount", ["payment_method"])
-    return quantiles(counts, "amount", ["payment_method"], [0.5], few_groups=True).select(
+    small = is_small(c.silver, WHOLE)
+    return quantiles(c.silver, "amount", ["payment_method"], [0.5], True, small).select(
         "payment_method", F.col("quantile").alias("median_amount"))
 
 
@@ -918,16 +927,13 @@ def e12_percentiles(c: Context) -> DataFrame:
 
 @query
 def e13_decile_edges(c: Context) -> DataFrame:
-    profile = c.staged("query_profile", lambda: drift.build_reference(c.first_features))
-    return profile.select("feature", F.posexplode("edges").alias("place", "edge"))
+    return c.profile.select("feature", F.posexplode("edges").alias("place", "edge"))
 
 
 @query
 def e14_histogram(c: Context) -> DataFrame:
     """Rows per bin of the first batch's deciles; values outside are counted apart."""
-    profile = c.staged("query_profile", lambda: drift.build_reference(c.first_features))
-    counts = drift.unpivot_counts(c.features, drift.WATCHED)
-    return drift.histogram(counts, profile.select("feature", "edges")).select(
+    return drift.histogram(unpivoted(c.features, drift.WATCHED), c.profile.select("feature", "edges")).select(
         "feature", F.coalesce("bin", F.lit(-1)).alias("bin"), "rows")
 
 

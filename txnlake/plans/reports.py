@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnlake.functions.lookup import is_small, lookup
 from txnlake.functions.money import cents, cents_average, money_sum, percent
-from txnlake.functions.quantiles import quantiles, value_counts
+from txnlake.functions.quantiles import WHOLE, quantiles
 
 MEASURES = ("rows", "transactions", "priced", "total", "succeeded", "failed")
 
@@ -140,10 +140,9 @@ def segment_amount_medians(fact: DataFrame, customers: DataFrame) -> DataFrame:
     amounts = lookup(fact.select("customer_sk", "transaction_id", "amount"), segments,
                      "customer_sk", how="inner", salt_by="transaction_id")
     # Millionths as whole numbers keep the mean of two middle values exact.
-    counts = value_counts(
-        amounts.withColumn("micros", F.round(F.col("amount") * 1_000_000)), "micros", ["segment"])
+    amounts = amounts.withColumn("micros", F.round(F.col("amount") * 1_000_000))
     few = is_small(customers.select("segment").distinct(), 1_000)
-    return quantiles(counts, "micros", ["segment"], [0.5], few).select(
+    return quantiles(amounts, "micros", ["segment"], [0.5], few, is_small(fact, WHOLE)).select(
         "segment", F.floor((F.col("quantile") + 5_000) / 10_000).alias("median_cents"))
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from txnlake.config import Config
+from txnlake.functions.jobs import together
 from txnlake.operators import bronze, gold, silver
 from txnlake.session import apply_settings, work_folder
 from txnlake.sources import feeds
@@ -25,11 +27,14 @@ def build(spark: SparkSession, folder: str, root: str) -> Lake:
     """Land the feeds of both batches, then build Silver and Gold."""
     lake = Lake(spark, root)
     cfg = Config()
+    landings = []
     for table, feed in (("transactions", feeds.transactions), ("customers", feeds.customers),
                         ("merchants", feeds.merchants)):
         rows = _spread(feed(spark, folder))
         for batch in feeds.BATCHES if table == "transactions" else feeds.BATCHES[:1]:
-            bronze.land(lake, rows.filter(rows.batch_id == batch), table, batch, feeds.AS_OF)
+            landings.append(partial(bronze.land, lake, rows.filter(rows.batch_id == batch), table,
+                                    batch, feeds.AS_OF))
+    together(*landings)
     for batch in feeds.BATCHES:
         silver.build_silver(lake, batch, cfg, feeds.AS_OF, feeds.AS_OF)
     gold.build_gold(lake, cfg)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txnlake.functions.quantiles import quantiles, value_counts
+from txnlake.functions.lookup import is_small
+from txnlake.functions.quantiles import WHOLE, quantiles
 
 # Percentiles that bound the score, and upper ends of the tiers.
 LOW_SHARE, HIGH_SHARE = 0.01, 0.99
@@ -12,8 +13,8 @@ LOW_LIMIT, MEDIUM_LIMIT = 45.0, 75.0
 
 
 def score_bounds(scored: DataFrame, column: str = "anomaly_score") -> DataFrame:
-    """One row: exact 1st and 99th percentile of the raw score."""
-    found = quantiles(value_counts(scored, column, []), column, [], [LOW_SHARE, HIGH_SHARE])
+    """One row: exact 1st and 99th percentile of the raw score of a stored frame."""
+    found = quantiles(scored, column, [], [LOW_SHARE, HIGH_SHARE], small=is_small(scored, WHOLE))
     at = lambda share: F.max(F.when(F.col("share") == share, F.col("quantile")))
     return found.agg(at(LOW_SHARE).alias("low"), at(HIGH_SHARE).alias("high"))
 

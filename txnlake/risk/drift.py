@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txnlake.functions.quantiles import quantiles, unpivot_counts
+from txnlake.functions.lookup import is_small
+from txnlake.functions.quantiles import WHOLE, quantiles, unpivoted
 from txnlake.sources.lake import Lake
 
 # Watched features, number of bins, least share of a bin, drift threshold.
@@ -14,10 +15,11 @@ LEAST_SHARE = 1e-6
 THRESHOLD = 0.20
 
 
-def reference_edges(counts: DataFrame) -> DataFrame:
-    """(feature, edges): distinct deciles of each feature, from counted values."""
+def reference_edges(features: DataFrame) -> DataFrame:
+    """(feature, edges): distinct deciles of each watched feature of a stored frame."""
     shares = [i * (1 / BINS) for i in range(BINS)] + [1.0]
-    cut = quantiles(counts, "value", ["feature"], shares, few_groups=True)
+    cut = quantiles(unpivoted(features, WATCHED), "value", ["feature"], shares, True,
+                    is_small(features, WHOLE // len(WATCHED)))
     return cut.groupBy("feature").agg(
         F.array_sort(F.collect_set("quantile")).alias("edges"))  # at most BINS + 1 values
 
@@ -30,48 +32,45 @@ def _bin(value: Column, edges: Column) -> Column:
         (value >= F.element_at(edges, 1)) & (value < last), inside)
 
 
-def histogram(counts: DataFrame, edges: DataFrame) -> DataFrame:
+def histogram(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """(feature, bin, rows); bin is null for values outside the edges."""
     # `edges` has one row per watched feature.
-    return counts.join(F.broadcast(edges), "feature").groupBy(
+    return rows.filter(F.col("value").isNotNull()).join(F.broadcast(edges), "feature").groupBy(
         "feature", _bin(F.col("value"), F.col("edges")).alias("bin")).agg(
-        F.sum("copies").alias("rows"))
+        F.count("*").alias("rows"))
 
 
-def bin_shares(counts: DataFrame, edges: DataFrame) -> DataFrame:
+def bin_shares(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """(feature, edges, bin, share, out_of_range), one row for every bin, empty ones included."""
-    filled = histogram(counts, edges)
-    totals = filled.groupBy("feature").agg(
-        F.coalesce(F.sum(F.when(F.col("bin").isNotNull(), F.col("rows"))), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(F.col("bin").isNull(), F.col("rows"))), F.lit(0))
-        .alias("out_of_range"))
+    # At most BINS + 1 rows per feature from here on.
+    feature, binned = Window.partitionBy("feature"), F.col("bin").isNotNull()
+    over = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("rows"))).over(feature), F.lit(0))
+    filled = histogram(rows, edges)
     bins = edges.withColumn("bin", F.explode(
         F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0)))))
-    return bins.join(filled.filter("bin is not null"), ["feature", "bin"], "left").join(
-        totals, "feature", "left").select(
-        "feature", "edges", "bin",
-        (F.coalesce("rows", F.lit(0)) / F.greatest(F.coalesce("total", F.lit(0)), F.lit(1)))
-        .alias("share"),
-        F.coalesce("out_of_range", F.lit(0)).alias("out_of_range"))
-
-
-def build_reference(features: DataFrame) -> DataFrame:
-    """(feature, edges, ref_pct): bin edges and the share of each bin, nothing else."""
-    counts = unpivot_counts(features, WATCHED)
-    edges = reference_edges(counts)
-    shares = bin_shares(counts, edges).groupBy("feature", "edges").agg(
-        F.array_sort(F.collect_list(F.struct("bin", "share"))).alias("bins"))  # at most BINS
-    return shares.select("feature", "edges", F.col("bins.share").alias("ref_pct"))
+    every = filled.unionByName(bins.select("feature", "bin", F.lit(0).cast("long").alias("rows")))
+    summed = every.groupBy("feature", "bin").agg(F.sum("rows").alias("rows")).withColumns(
+        {"total": over(binned), "out_of_range": over(~binned)}).filter(binned)
+    share = F.col("rows") / F.greatest(F.col("total"), F.lit(1))
+    return summed.join(F.broadcast(edges), "feature").select(
+        "feature", "edges", "bin", share.alias("share"), "out_of_range")
+
 
+def build_reference(lake: Lake, features: DataFrame, name: str = "drift") -> DataFrame:
+    """(feature, edges, ref_pct) of a stored frame: bin edges and bin shares, nothing else.
 
-def write_reference(lake: Lake, features: DataFrame) -> DataFrame:
-    """Keep the profile of the reference data in the lake."""
-    return lake.stage(build_reference(features), "drift_profile")
+    The profile is kept in the lake under `name`.
+    """
+    edges = lake.stage(reference_edges(features), f"{name}_edges")
+    shares = bin_shares(unpivoted(features, WATCHED), edges).groupBy("feature", "edges").agg(
+        F.array_sort(F.collect_list(F.struct("bin", "share"))).alias("bins"))  # at most BINS
+    return lake.stage(shares.select("feature", "edges", F.col("bins.share").alias("ref_pct")),
+                      f"{name}_profile")
 
 
 def stability(features: DataFrame, profile: DataFrame) -> DataFrame:
     """(feature, psi, out_of_range) with the exact index. Fewer than three edges give 0."""
-    current = bin_shares(unpivot_counts(features, WATCHED), profile.select("feature", "edges"))
+    current = bin_shares(unpivoted(features, WATCHED), profile.select("feature", "edges"))
     reference = profile.select(
         "feature", F.posexplode("ref_pct").alias("bin", "ref_share"))
     now = F.greatest(F.col("share"), F.lit(LEAST_SHARE))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from txnlake.functions.jobs import together
 from txnlake.functions.lookup import BROADCAST_ROWS, hot_keys, lookup
 from txnlake.functions.money import cents_average, micros, money_sum, rate, ratio
 from txnlake.operators.gold import weekday
@@ -50,10 +51,11 @@ def extract_features(lake: Lake, transactions: DataFrame | None = None, scope: s
     different sets of transactions apart.
     """
     transactions = lake.transactions() if transactions is None else transactions
-    customers = lake.stage(customer_profile(transactions, lake.customers()),
-                           f"customer_profile_{scope}")
-    merchants = lake.stage(merchant_profile(transactions, lake.entity_ids("merchants")),
-                           f"merchant_profile_{scope}")
+    customers, merchants = together(
+        lambda: lake.stage(customer_profile(transactions, lake.customers()),
+                           f"customer_profile_{scope}"),
+        lambda: lake.stage(merchant_profile(transactions, lake.entity_ids("merchants")),
+                           f"merchant_profile_{scope}"))
     df = transactions
     for key, profile in (("customer_id", customers), ("merchant_id", merchants)):
         df = lookup(df, profile, key, salt_by="transaction_id", limit=limit,

@@ -7,11 +7,13 @@ table of nodes (trees x at most 2*per_tree - 1 rows), which is why scoring may b
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnlake.risk.features import MODEL_INPUTS, model_inputs
@@ -22,6 +24,9 @@ NODES = (
     "path_length double, sample_rows int"
 )
 
+# Functions of this module travel to the workers themselves, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class ForestParams:
@@ -106,58 +111,45 @@ def fit(features: DataFrame, rows: int, params: ForestParams | None = None) -> D
         grow, NODES)
 
 
-@dataclass(frozen=True)
-class _Forest:
-    """Node arrays of all trees, side by side."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    path: np.ndarray
-    depth: int
-    normal_path: float
-
-    @classmethod
-    def of(cls, nodes: pd.DataFrame) -> _Forest:
-        trees = {tree: number for number, tree in enumerate(sorted(nodes["tree"].unique()))}
-        shape = (len(trees), int(nodes["node"].max()) + 1)
-        place = (nodes["tree"].map(trees).to_numpy(), nodes["node"].to_numpy())
-
-        def table(column: str, kind: type) -> np.ndarray:
-            out = np.zeros(shape, dtype=kind)
-            out[place] = nodes[column].to_numpy()
-            return out
-
-        rows = int(nodes["sample_rows"].max())
-        return cls(table("feature", int), table("threshold", float), table("left_node", int),
-                   table("right_node", int), table("path_length", float),
-                   int(np.ceil(np.log2(max(rows, 2)))), float(expected_path(rows)))
-
-    def score(self, data: np.ndarray) -> np.ndarray:
-        row = np.arange(len(data))[:, None]
-        tree = np.arange(len(self.feature))[None, :]
-        node = np.zeros((len(data), len(self.feature)), dtype=int)
-        for _ in range(self.depth):
-            feature = self.feature[tree, node]
-            inner = feature >= 0
-            goes_left = data[row, np.where(inner, feature, 0)] <= self.threshold[tree, node]
-            child = np.where(goes_left, self.left[tree, node], self.right[tree, node])
-            node = np.where(inner, child, node)
-        return -np.exp2(-self.path[tree, node].mean(axis=1) / max(self.normal_path, 1e-12))
+def node_arrays(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The node table as one array per column, with a row per tree."""
+    trees = {tree: number for number, tree in enumerate(sorted(nodes["tree"].unique()))}
+    place = (nodes["tree"].map(trees).to_numpy(), nodes["node"].to_numpy())
+    arrays = {}
+    for column in ("feature", "threshold", "left_node", "right_node", "path_length"):
+        values = nodes[column].to_numpy()
+        arrays[column] = np.zeros((len(trees), int(nodes["node"].max()) + 1), values.dtype)
+        arrays[column][place] = values
+    arrays["sample_rows"] = nodes["sample_rows"].max()
+    return arrays
+
+
+def score_rows(forest: dict[str, np.ndarray], data: np.ndarray) -> np.ndarray:
+    """Raw score of each row of `data`; all rows walk down all trees level by level."""
+    sample = int(forest["sample_rows"])
+    row = np.arange(len(data))[:, None]
+    tree = np.arange(len(forest["feature"]))[None, :]
+    node = np.zeros((len(data), tree.shape[1]), dtype=int)
+    for _ in range(int(np.ceil(np.log2(max(sample, 2))))):
+        feature = forest["feature"][tree, node]
+        inner = feature >= 0
+        goes_left = data[row, np.where(inner, feature, 0)] <= forest["threshold"][tree, node]
+        child = np.where(goes_left, forest["left_node"][tree, node], forest["right_node"][tree, node])
+        node = np.where(inner, child, node)
+    depth = forest["path_length"][tree, node].mean(axis=1)
+    return -np.exp2(-depth / max(float(expected_path(sample)), 1e-12))
 
 
 def score(features: DataFrame, nodes: DataFrame, column: str = "anomaly_score") -> DataFrame:
     """Add the raw score: minus 2^(-mean path / normal path), so lower is more anomalous."""
     # The forest has a fixed largest size, see ForestParams.
-    forest = features.sparkSession.sparkContext.broadcast(_Forest.of(nodes.toPandas()))
+    forest = features.sparkSession.sparkContext.broadcast(node_arrays(nodes.toPandas()))
 
     @F.pandas_udf("double")
     def scorer(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        model = forest.value
         for columns in batches:
             data = np.column_stack([c.to_numpy(float) for c in columns])
-            yield pd.Series(model.score(np.nan_to_num(data, nan=0.0)))
+            yield pd.Series(score_rows(forest.value, np.nan_to_num(data, nan=0.0)))
 
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in MODEL_INPUTS]
     return features.withColumn(column, scorer(*filled))

@@ -23,18 +23,22 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, "_row_seq")
 
 
-def build(spark: SparkSession, folder: str, root: str) -> Lake:
-    """Land the feeds of both batches, then build Silver and Gold."""
-    lake = Lake(spark, root)
-    cfg = Config()
+def land_feeds(lake: Lake, folder: str) -> None:
+    """Land the feeds of both batches side by side."""
     landings = []
     for table, feed in (("transactions", feeds.transactions), ("customers", feeds.customers),
                         ("merchants", feeds.merchants)):
-        rows = _spread(feed(spark, folder))
+        rows = _spread(feed(lake.spark, folder))
         for batch in feeds.BATCHES if table == "transactions" else feeds.BATCHES[:1]:
             landings.append(partial(bronze.land, lake, rows.filter(rows.batch_id == batch), table,
                                     batch, feeds.AS_OF))
     together(*landings)
+
+
+def build(spark: SparkSession, folder: str, root: str) -> Lake:
+    """Land the feeds of both batches, then build Silver and Gold."""
+    lake, cfg = Lake(spark, root), Config()
+    land_feeds(lake, folder)
     for batch in feeds.BATCHES:
         silver.build_silver(lake, batch, cfg, feeds.AS_OF, feeds.AS_OF)
     gold.build_gold(lake, cfg)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from txnlake.functions import quantiles as Q
 from txnlake.functions.keys import dense_keys
-from txnlake.functions.lookup import HOT_SHARE, hot_keys, lookup
+from txnlake.functions.lookup import LEAST_PARTITIONS, hot_keys, lookup
 
 
 def skewed(spark):
@@ -46,9 +46,11 @@ def test_salt_spreads_the_hot_key(spark):
 
 
 def test_hot_keys_are_few(spark):
-    assert [r.key for r in hot_keys(skewed(spark), "key").collect()] == ["hot"]
-    uniform = spark.range(1000).withColumn("key", F.col("id") % HOT_SHARE)
-    assert hot_keys(uniform, "key").count() == HOT_SHARE
+    found = {r.key: r._salts for r in hot_keys(skewed(spark), "key").collect()}
+    assert found == {"hot": -(-LEAST_PARTITIONS // 3)}
+    uniform = spark.range(6400).withColumn("key", F.col("id") % LEAST_PARTITIONS)
+    assert {r._salts for r in hot_keys(uniform, "key").collect()} == {1}
+    assert hot_keys(uniform, "key").count() == LEAST_PARTITIONS
 
 
 def test_dense_keys_follow_key_order(lake):

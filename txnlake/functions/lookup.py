@@ -1,8 +1,8 @@
 """Joins of many rows to one row per key, safe for a key that holds a large share of the rows.
 
 A lookup side is broadcast only after its rows were counted. Past the limit both sides are
-shuffled, and keys that hold more than a fixed share of the rows are spread over several
-partitions: their rows get a salt, and only their lookup rows are repeated.
+shuffled, and a key with more rows than a partition should hold is spread over as many
+partitions as its share asks for: its rows get a salt, and only its lookup row is repeated.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 200  # a key is hot from 1/200 of the rows on, so there are at most 200 hot keys
-SALTS = 64
+LEAST_PARTITIONS = 64
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
@@ -21,11 +20,23 @@ def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.count() <= limit
 
 
+def partitions_of(df: DataFrame) -> int:
+    """Partitions of a shuffle in this session."""
+    return max(LEAST_PARTITIONS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """Keys with at least 1/HOT_SHARE of the rows: a frame of at most HOT_SHARE rows."""
+    """(key, _salts) of the keys with at least one partition's worth of rows.
+
+    With P partitions that is 1/P of the rows, so there are at most P hot keys; and since a
+    key gets salts by its share, all salts together are at most 2P.
+    """
+    partitions = partitions_of(rows)
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = rows.agg(F.count("*").alias("_all")).scalar()
-    return counts.filter(F.col("_n") * HOT_SHARE >= total).select(key)
+    weight = F.col("_n") * partitions
+    total = rows.agg(F.count("*")).scalar()
+    return counts.filter(weight >= total).select(
+        key, F.ceil(weight / total).cast("int").alias("_salts"))
 
 
 def lookup(
@@ -41,12 +52,13 @@ def lookup(
     """
     if is_small(table if bound is None else bound, limit):
         return rows.join(F.broadcast(table), key, how)
-    hot = (hot_keys(rows, key) if hot is None else hot()).withColumn("_hot", F.lit(True))
+    # At most one row per partition of the session, see hot_keys.
+    hot = F.broadcast(hot_keys(rows, key) if hot is None else hot())
     # Null keys match nothing but would still meet in one partition.
-    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salted = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(spread, F.pmod(F.xxhash64(salt_by), F.lit(SALTS))).otherwise(0).cast("int"))
-    repeated = table.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-                           .otherwise(F.array(F.lit(0)))))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    salts = F.when(F.col(key).isNull(), partitions_of(rows)).otherwise(
+        F.coalesce("_salts", F.lit(1)))
+    salted = rows.join(hot, key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(salt_by), salts).cast("int")).drop("_salts")
+    repeated = table.join(hot, key, "left").withColumn("_salt", F.explode(
+        F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-ACCURACY = 10_000
+ACCURACY = 100_000
 # Three times the error the sketch promises. Groups too small for that are ranked whole.
 MARGIN = 3 / ACCURACY
 WHOLE = 1_000_000

@@ -154,7 +154,6 @@ def run_controls(spark: SparkSession, lake_root: str, batch_id: str, cfg: Config
     """Run the seven controls for a batch and return their rows and the overall verdict."""
     lake = Lake(spark, lake_root)
     cfg = cfg or Config()
-    report = control_report(lake, batch_id, cfg, as_of or utc_now())
-    results = spark.createDataFrame(report.collect(), schemas.CONTROL_RESULT)  # seven rows
-    return {"results": [r.asDict() for r in results.collect()],
-            **overall(results).first().asDict()}
+    results = control_report(lake, batch_id, cfg, as_of or utc_now()).collect()  # seven rows
+    verdict = overall(spark.createDataFrame(results, schemas.CONTROL_RESULT)).first()
+    return {"results": [r.asDict() for r in results], **verdict.asDict()}

@@ -212,6 +212,6 @@ def run_dq_checks(spark: SparkSession, lake_root: str, cfg: Config | None = None
     as_of = as_of or utc_now()
     checks = standard_checks(lake, cfg, baseline_txn_count or cfg.expected_transactions, as_of)
     rows = run_checks(lake.transactions(), "silver.transactions", checks, as_of.isoformat())
-    results = spark.createDataFrame(rows.collect(), schemas.DQ_RESULT)  # fourteen rows
-    return {"results": [r.asDict() for r in results.collect()],
-            **quality_score(results).first().asDict()}
+    results = rows.collect()  # fourteen rows
+    score = quality_score(spark.createDataFrame(results, schemas.DQ_RESULT)).first()
+    return {"results": [r.asDict() for r in results], **score.asDict()}

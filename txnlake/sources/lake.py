@@ -27,9 +27,11 @@ class Lake:
             raise ValueError(f"batch id may hold letters, digits, _ . and -: {batch_id!r}")
         return f"{path}/batch_id={batch_id}"
 
-    def _stored(self, table: str) -> DataFrame | None:
+    def _stored(self, table: str, batch_id: str | None = None) -> DataFrame | None:
+        # Reading the folder of one batch lists the files of that batch only.
+        reader = self.spark.read.schema(schemas.TABLES[table]).option("basePath", self.path(table))
         try:
-            return self.spark.read.schema(schemas.TABLES[table]).parquet(self.path(table))
+            return reader.parquet(self.path(table, batch_id))
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -39,16 +41,15 @@ class Lake:
         return self._stored(table) is not None
 
     def read(self, table: str, batch_id: str | None = None) -> DataFrame:
-        """A stored table with its fixed schema; empty when nothing was written yet.
+        """A stored table, or one batch of it, with its fixed schema.
 
-        A batch filter is a partition filter, so other batches are not read.
+        It is empty when nothing was written yet.
         """
         schema = schemas.TABLES[table]
-        df = self._stored(table)
+        df = self._stored(table, batch_id)
         if df is None:
             df = self.spark.createDataFrame([], schema)
-        df = df.select(*schema.names)
-        return df if batch_id is None else df.filter(F.col("batch_id") == batch_id)
+        return df.select(*schema.names)
 
     def replace_batch(self, df: DataFrame, table: str, batch_id: str,
                       partition_by: tuple[str, ...] = ()) -> None:

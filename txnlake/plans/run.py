@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from txnlake.config import Config
+from txnlake.functions.jobs import together
 from txnlake.operators.bronze import ingest, utc_now
 from txnlake.operators.controls import run_controls
 from txnlake.operators.gold import build_warehouse
@@ -35,21 +36,26 @@ def run_batch(spark: SparkSession, lake_root: str, transactions_path: str, custo
               as_of: datetime | None = None, expected_transactions: int | None = None) -> DataFrame:
     """Land, validate, model, check and score one batch; returns (batch_id, stage, metric, value).
 
-    The stages depend on each other and run in this order. Running a batch again replaces it.
+    Checks, controls and scoring only read the finished layers, so they run side by side.
+    Running a batch again replaces it.
     """
     cfg = cfg or Config()
     as_of = as_of or utc_now()
-    stages: dict[str, Callable[[], dict[str, Any]]] = {
-        "ingest": lambda: ingest(spark, lake_root, transactions_path, customers_path,
-                                 merchants_path, batch_id, cfg),
-        "warehouse": lambda: build_warehouse(spark, lake_root, batch_id, cfg, as_of),
-        "quality": lambda: run_dq_checks(spark, lake_root, cfg, expected_transactions, as_of),
-        "controls": lambda: run_controls(spark, lake_root, batch_id, cfg, as_of),
-        "risk": lambda: run_risk_scoring(spark, lake_root, scored_at=as_of),
-    }
-    rows = []
-    for stage, work in stages.items():
+    rows: list[tuple[str, str, str, str]] = []
+
+    def stage(name: str, work: Callable[[], dict[str, Any]]) -> list[tuple[str, str, str, str]]:
         start = time.monotonic()
-        rows += [(batch_id, stage, metric, value) for metric, value in flat(work())]
-        rows.append((batch_id, stage, "seconds", f"{time.monotonic() - start:.2f}"))
+        found = [(batch_id, name, metric, value) for metric, value in flat(work())]
+        return [*found, (batch_id, name, "seconds", f"{time.monotonic() - start:.2f}")]
+
+    rows += stage("ingest", lambda: ingest(
+        spark, lake_root, transactions_path, customers_path, merchants_path, batch_id, cfg))
+    rows += stage("warehouse", lambda: build_warehouse(spark, lake_root, batch_id, cfg, as_of))
+    for part in together(
+        lambda: stage("quality", lambda: run_dq_checks(
+            spark, lake_root, cfg, expected_transactions, as_of)),
+        lambda: stage("controls", lambda: run_controls(spark, lake_root, batch_id, cfg, as_of)),
+        lambda: stage("risk", lambda: run_risk_scoring(spark, lake_root, scored_at=as_of)),
+    ):
+        rows += part
     return spark.createDataFrame(rows, SUMMARY)

@@ -23,15 +23,17 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, "_row_seq")
 
 
-def land_feeds(lake: Lake, folder: str) -> None:
-    """Land the feeds of both batches side by side."""
+def land_feeds(lake: Lake, folder: str, one_batch: bool = False) -> None:
+    """Land the feeds side by side, transactions in their two batches or in one."""
+    first = feeds.BATCHES[0]
     landings = []
     for table, feed in (("transactions", feeds.transactions), ("customers", feeds.customers),
                         ("merchants", feeds.merchants)):
         rows = _spread(feed(lake.spark, folder))
-        for batch in feeds.BATCHES if table == "transactions" else feeds.BATCHES[:1]:
-            landings.append(partial(bronze.land, lake, rows.filter(rows.batch_id == batch), table,
-                                    batch, feeds.AS_OF))
+        split = table == "transactions" and not one_batch
+        for batch in feeds.BATCHES if split else [first]:
+            part = rows.filter(rows.batch_id == batch) if split else rows
+            landings.append(partial(bronze.land, lake, part, table, batch, feeds.AS_OF))
     together(*landings)
 
 

@@ -27,10 +27,11 @@ def _padded(prefix: str, number: Column, width: int) -> Column:
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Raw transaction feed: twelve text columns and the row number."""
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = spark.read.parquet(f"{folder}/events.parquet").withColumn(
+        "_k", F.get_json_object("props", "$.k").cast("long"))
     merchants = spark.read.parquet(f"{folder}/supplier.parquet").agg(F.count("*")).scalar()
     e, ts = F.col("event_id"), F.col("ts")
-    k = F.get_json_object("props", "$.k").cast("long")
+    k = F.col("_k")
     second = ts >= F.lit(SECOND_BATCH)
     amount = F.col("value").cast("decimal(18,2)")
 

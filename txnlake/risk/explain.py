@@ -11,7 +11,10 @@ _GAP = "\x01"  # never part of a reason
 
 
 def reasons() -> list[Column]:
-    """Reasons in order of importance; a reason that does not apply is null."""
+    """Reasons in order of importance; a reason that does not apply is null.
+
+    Wording, limits and order are fixed values.
+    """
     c = F.col
     amount, ratio = c("amount"), c("amount_ratio")
     say = lambda *parts: F.concat(*[

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txnlake.operators.bronze import ingest
 from txnlake.plans.run import run_batch
+from txnlake.risk.scoring import train
 from txnlake.sources.defects import inject_defects
 from txnlake.sources.files import UnreadableFile, read_csv, validate_schema
 
@@ -153,6 +154,9 @@ def test_whole_batch(lake, good):
     assert found["controls", "overall_status"] == "PASS"
     assert found["risk", "total_scored"] == "20"
     assert lake.read("gold.fact_transactions_risk").count() == 20
+    record = train(lake)
+    assert (record["training_rows"], record["model_type"]) == (20, "IsolationForest")
+    assert len(record["feature_columns"]) == 8 and 0 <= record["high_risk_rate"] <= 1
 
 
 def clean_feed(spark, rows=20_000):

@@ -602,7 +602,7 @@ def batch_gate(c: Context) -> DataFrame:
                 F.lit(batch).alias("batch"), F.lit(layer).alias("layer"),
                 F.col("quality_score").alias("dq_score")))
     scores = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    joined = scores.join(F.broadcast(counts), scores.batch == counts.batch_id).select(
+    joined = scores.join(counts, scores.batch == counts.batch_id).select(
         F.concat_ws("/", "batch", "layer").alias("batch_id"), "dq_score",
         verdict.alias("control_status"), F.col("delta").alias("reconciliation_delta"))
     return gates.batch_gate(joined)

@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from txnlake.plans.queries import QUERIES as REGISTERED
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = {name: query for name, query in entry_point.queries().items() if name in REGISTERED}
+ORACLE = {name: sql for name, sql in entry_point.oracle_sql().items() if name in REGISTERED}
 # Forest, planted defects and run times have no SQL form; test_risk and test_ingest cover them.
 ROWS_ONLY = {"iforest_scores", "iforest_metadata", "injected_defects", "run_summary"}
 # Ninety days of a tiny table have no country with fifty rows.

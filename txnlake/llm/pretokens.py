@@ -5,18 +5,16 @@ from __future__ import annotations
 import json
 import re
 
-import regex
 from tokenizers import Tokenizer
 
-#: Characters whose classes are the same in every Unicode version in use. Texts with any other
-#: character are split by the tokenizer's own splitter, with the same result.
-COMMON = re.compile("[\\t-\\r\\x20-\\x7e\\x85\\xa0-\\u024f\\u2010-\\u2027\\u2030-\\u205e]*")
-SPACE = "\\t-\\r\\x20\\x85\\xa0"
-WORDS = f"'s|'t|'re|'ve|'m|'ll|'d|\\p{{L}}+|\\p{{N}}|[^{SPACE}\\p{{L}}\\p{{N}}]+"
-PIECES = (f"'s|'t|'re|'ve|'m|'ll|'d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{SPACE}\\p{{L}}\\p{{N}}]+"
-          f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Characters whose classes are the same in every Unicode version in use, without numbers other
+#: than 0-9. Texts with any other character are split by the tokenizer itself, with the same result.
+COMMON = re.compile("[\t-\r\x20-\x7e\x85\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
+LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+WORDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\\s0-9{LETTER}]+"
+PIECES = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\\s+(?!\\S)|\\s+")
 #: Words a worker remembers; longer ones than LONG are not remembered.
-REMEMBERED, LONG = 200_000, 64
+REMEMBERED, LONG = 500_000, 64
 
 
 def byte_letters() -> list[str]:
@@ -42,7 +40,7 @@ class Splitter:
         self.added = {token["content"]: token["id"] for token in added}
         choices = "|".join(re.escape(text) for text in sorted(self.added, key=len, reverse=True))
         self.between = re.compile(f"({choices})") if choices else None
-        self.find, self.lower = regex.compile(pattern).findall, lower
+        self.find, self.lower = re.compile(pattern).findall, lower
 
     def pieces(self, text: str) -> list[str]:
         """Odd places hold added tokens."""

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from txnlake.llm.common import fresh_folder, whole
-from txnlake.llm.pretokens import LONG, PIECES, REMEMBERED, Splitter
+from txnlake.llm.pretokens import LONG, PIECES, REMEMBERED, Splitter, byte_letters
 
 #: Bytes of text that one file holds, about; a file is read as a whole when it is indexed.
 FILE_BYTES = 16 << 20
@@ -68,26 +68,33 @@ class Encoder:
                         and settings["use_regex"] and not settings["add_prefix_space"])
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
+        self.model, self.letters = tokenizer.model, byte_letters()
         self.known: dict[str, bytes] = {}
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(one.ids, self.kind).tobytes()
-                for one in self.splitter.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.splitter.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word by the tokenizer's model."""
+        tokens = self.model.tokenize("".join([self.letters[byte] for byte in word.encode()]))
+        return b"".join([token.id.to_bytes(self.width, "little") for token in tokens])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, in self.width little-endian bytes each."""
         pieces = self.splitter.pieces(text)
         words = self.splitter.words(text) if self.by_word and len(pieces) == 1 else None
         if words is None:
-            return self._plain([text])[0]
+            return self._whole(text)
         if len(self.known) > REMEMBERED:
             self.known = {}
-        if fresh := [word for word in set(words).difference(self.known) if len(word) <= LONG]:
-            self.known.update(zip(fresh, self._plain(fresh)))
+        known = self.known
+        for word in set(words).difference(known):
+            if len(word) <= LONG:
+                known[word] = self._word(word)
         try:
-            return b"".join([self.known[word] for word in words])
+            return b"".join([known[word] for word in words])
         except KeyError:
-            return b"".join([self.known[word] if len(word) <= LONG else self._plain([word])[0] for word in words])
+            return b"".join([known[word] if len(word) <= LONG else self._word(word) for word in words])
 
 
 @lru_cache(maxsize=2)

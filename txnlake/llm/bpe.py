@@ -14,6 +14,7 @@ from txnlake.llm.pretokens import LONG, REMEMBERED, WORDS, Splitter, byte_letter
 
 NEVER = np.iinfo(np.int64).max
 END = "\0"
+NO_MERGE = (NEVER, -1)
 
 
 class Codec:
@@ -35,7 +36,10 @@ class Codec:
         self.names |= {number: token for token, number in self.splitter.added.items()}
         spelled = lambda token: token.removesuffix(suffix) + END if token.endswith(suffix) else token
         self.vocab = {spelled(token): number for token, number in model["vocab"].items()}
-        self.longest = max(map(len, self.vocab))
+        # Longest token by its first two letters.
+        self.reach: dict[str, int] = {}
+        for spelling in self.vocab:
+            self.reach[spelling[:2]] = max(len(spelling), self.reach.get(spelling[:2], 1))
         self.letters = byte_letters()
         self.size = max(self.names) + 1
         parts = [merge if isinstance(merge, list) else merge.split(" ") for merge in model["merges"]]
@@ -44,7 +48,7 @@ class Codec:
         made = np.array([model["vocab"][a.removesuffix(suffix) + b if a.endswith(suffix) else a + b] for a, b in parts], np.int64)
         self.merges = {(a, b): (rank, c) for rank, (a, b, c) in enumerate(zip(left.tolist(), right.tolist(), made.tolist()))}
         self._index(left, right, made)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
     def _index(self, left: np.ndarray, right: np.ndarray, made: np.ndarray) -> None:
         """Spines of all tokens, and which tokens encode themselves."""
@@ -103,9 +107,9 @@ class Codec:
     def _proposal(self, spelling: str) -> list[int]:
         """Greedy longest match; the word end stays with the last letter."""
         result, at, size = [], 0, len(spelling)
-        vocab = self.vocab
+        vocab, reach = self.vocab, self.reach
         while at < size:
-            for end in range(min(size, at + self.longest), at, -1):
+            for end in range(min(size, at + reach.get(spelling[at:at + 2], 1)), at, -1):
                 if end != size - 1 and (number := vocab.get(spelling[at:end])) is not None:
                     break
             result.append(number)
@@ -114,8 +118,26 @@ class Codec:
 
     def _merged(self, spelling: str) -> list[int]:
         """Merging step by step: always the lowest rank, of equal ones the leftmost."""
-        letters = [*spelling[:-2], spelling[-2:]]
-        tokens = [self.vocab[letter] for letter in letters]
+        tokens = [self.vocab[letter] for letter in (*spelling[:-2], spelling[-2:])]
+        if len(tokens) > LONG:
+            return self._merged_long(tokens)
+        found = self.merges.get
+        pairs = [found(pair, NO_MERGE) for pair in zip(tokens, tokens[1:])]
+        while pairs:
+            best = min(pairs)
+            if best is NO_MERGE:
+                break
+            at = pairs.index(best)
+            tokens[at:at + 2] = [best[1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = found((tokens[at - 1], best[1]), NO_MERGE)
+            if at < len(pairs):
+                pairs[at] = found((best[1], tokens[at + 1]), NO_MERGE)
+        return tokens
+
+    def _merged_long(self, tokens: list[int]) -> list[int]:
+        """The same for long words, with the pairs in a heap."""
         after, before = [*range(1, len(tokens)), -1], [*range(-1, len(tokens) - 1)]
         heap = []
 
@@ -137,8 +159,8 @@ class Codec:
             offer(at)
         return [token for token in tokens if token >= 0]
 
-    def _learn(self, spellings: dict[str, str]) -> dict[str, tuple[int, ...]]:
-        """Codes of words by their spelling: one check for the pairs of all proposals."""
+    def _learn(self, spellings: dict[str, str]) -> dict[str, bytes]:
+        """Codes of words by their spelling, as int32 bytes: one check for the pairs of all proposals."""
         words = list(spellings)
         proposals = [self._proposal(spellings[word]) for word in words]
         sizes = np.fromiter(map(len, proposals), np.int64, len(words))
@@ -150,12 +172,12 @@ class Codec:
         pairs, which = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
         crossed = self._crossing(pairs // self.size, pairs % self.size)
         failing[owner[inner[crossed[which]]]] = True
-        return {word: tuple(self._merged(spellings[word]) if failed else proposal)
+        return {word: np.array(self._merged(spellings[word]) if failed else proposal, np.int32).tobytes()
                 for word, proposal, failed in zip(words, proposals, failing.tolist())}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as the tokenizer gives them without adding special tokens."""
-        split: list[list[tuple[str, ...] | list | int]] = []
+        split: list[list[list[str] | bytes]] = []
         fresh: dict[str, str] = {}
         if len(self.known) > REMEMBERED:
             self.known = {}
@@ -163,32 +185,32 @@ class Codec:
             parts: list = []
             for place, piece in enumerate(self.splitter.pieces(text)):
                 if place % 2:
-                    parts.append(self.splitter.added[piece])
+                    parts.append(np.int32(self.splitter.added[piece]).tobytes())
                     continue
                 words = self.splitter.words(piece)
                 if words is None:
                     words = [word + END for word in self.splitter.asked(piece)]
                     fresh.update((word, word) for word in words if word not in self.known)
                 else:
-                    fresh.update((word, "".join([self.letters[byte] for byte in word.encode()]) + END)
-                                 for word in set(words).difference(self.known) if word not in fresh)
+                    for word in set(words).difference(self.known):
+                        if word not in fresh:
+                            fresh[word] = "".join([self.letters[byte] for byte in word.encode()]) + END
                 parts.append(words)
             split.append(parts)
-        known = self.known
-        if fresh:
-            learned = self._learn(fresh)
-            known |= {word: ids for word, ids in learned.items() if len(word) <= LONG}
-            known = known | learned if any(len(word) > LONG for word in learned) else known
+        known, long = self.known, {}
+        for word, ids in (self._learn(fresh) if fresh else {}).items():
+            (known if len(word) <= LONG else long)[word] = ids
         result = []
         for parts in split:
-            ids: list[int] = []
+            octets = []
             for part in parts:
-                if isinstance(part, int):
-                    ids.append(part)
+                if isinstance(part, bytes):
+                    octets.append(part)
+                elif long and not long.keys().isdisjoint(part):
+                    octets += [long[word] if word in long else known[word] for word in part]
                 else:
-                    for word in part:
-                        ids += known[word]
-            result.append(ids)
+                    octets += map(known.__getitem__, part)
+            result.append(np.frombuffer(b"".join(octets), np.int32))
         return result
 
     def decode(self, ids: list[int]) -> str:
@@ -225,7 +247,7 @@ def encoded(text: Column, path: str) -> Column:
         offsets, ids = [0], []
         for start, end in _slices([len(value) for value in values]):
             for row in own.encode(values[start:end]):
-                ids.append(np.array(row, np.int32))
+                ids.append(row)
                 offsets.append(offsets[-1] + len(row))
         flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
@@ -238,6 +260,6 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def run(rows: pa.Array) -> pa.Array:
         own = codec(path)
-        return pa.array([own.decode(row.as_py() or ()) for row in rows], pa.string())
+        return pa.array([own.decode(row.values.to_pylist() if row.is_valid else ()) for row in rows], pa.string())
 
     return run(ids)

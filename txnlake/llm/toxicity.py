@@ -210,11 +210,22 @@ def dense(places, times, size: int) -> np.ndarray:
     return result
 
 
+def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many rows of a partition have each term: one row for each term."""
+    found = np.zeros(0, np.int64)
+    for batch in batches:
+        places = [*batch["places"], found[:0]]
+        counts = np.bincount(np.concatenate(places).astype(np.int64), minlength=len(found))
+        counts[:len(found)] += found
+        found = counts
+    yield pd.DataFrame({"place": np.flatnonzero(found), "n": found[found > 0]})
+
+
 def learn(counted: DataFrame, picked: DataFrame, row_id: str, terms: int, weights: dict) -> Model:
     """A model from the picked rows (id, _label), with document frequencies over all rows."""
     total = counted.count()
-    frequency = {row["place"]: row["n"] for row in counted.select(F.explode("_terms.places").alias("place")).groupBy(
-        "place").agg(F.count("*").alias("n")).collect()}
+    frequency = {row["place"]: row["n"] for row in counted.select("_terms.places").mapInPandas(
+        _frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
     idf = np.array([math.log((1 + total) / (1 + frequency.get(place, 0))) + 1 for place in range(terms)])
     # At most 2 * most small rows; of a repeated id the row with the smallest counts.
     rows = counted.join(picked, row_id).groupBy(row_id).agg(

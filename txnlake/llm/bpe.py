@@ -42,6 +42,7 @@ class Codec:
             self.reach[spelling[:2]] = max(len(spelling), self.reach.get(spelling[:2], 1))
         self.letters = byte_letters()
         self.size = max(self.names) + 1
+        self.spelled = [self.names.get(number) for number in range(self.size)]
         parts = [merge if isinstance(merge, list) else merge.split(" ") for merge in model["merges"]]
         left = np.array([model["vocab"][a] for a, _ in parts], np.int64)
         right = np.array([model["vocab"][b] for _, b in parts], np.int64)
@@ -213,10 +214,10 @@ class Codec:
             result.append(np.frombuffer(b"".join(octets), np.int32))
         return result
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by one space, as this vocabulary has no decoder; unknown ids are skipped."""
-        names = self.names
-        return " ".join([names[number] for number in ids if number in names])
+        known = ids[(ids >= 0) & (ids < self.size)]
+        return " ".join([name for name in map(self.spelled.__getitem__, known.tolist()) if name is not None])
 
 
 @lru_cache(maxsize=2)
@@ -226,7 +227,7 @@ def codec(path: str) -> Codec:
 
 
 #: Characters of texts that are encoded at a time, so that memory does not follow the batch.
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 
 def _slices(sizes: list[int]) -> list[tuple[int, int]]:
@@ -260,6 +261,7 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def run(rows: pa.Array) -> pa.Array:
         own = codec(path)
-        return pa.array([own.decode(row.values.to_pylist() if row.is_valid else ()) for row in rows], pa.string())
+        none = np.zeros(0, np.int32)
+        return pa.array([own.decode(row.values.drop_null().to_numpy() if row.is_valid else none) for row in rows], pa.string())
 
     return run(ids)

@@ -14,7 +14,7 @@ LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 WORDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\\s0-9{LETTER}]+"
 PIECES = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\\s+(?!\\S)|\\s+")
 #: Words a worker remembers; longer ones than LONG are not remembered.
-REMEMBERED, LONG = 500_000, 64
+REMEMBERED, LONG = 250_000, 64
 
 
 def byte_letters() -> list[str]:

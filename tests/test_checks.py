@@ -138,6 +138,18 @@ def test_fact_controls(spark):
         "1 transactions with invalid amount (null, <=0, or >1000000)")
 
 
+def test_schema_control_reads_the_stored_columns(spark, lake):
+    row = lambda: controls.control_report(
+        lake, "B1", Config(), AS_OF).filter("control_id = 'CTL-06'").first()
+    assert row().status == "FAIL"
+    for table in schemas.CONTROLLED_GOLD:
+        lake.replace(spark.createDataFrame([], schemas.TABLES[table]), table)
+    assert row().status == "PASS"
+    spark.range(1).withColumnRenamed("id", "customer_sk").write.mode("overwrite").parquet(
+        lake.path("gold.dim_customer"))
+    assert row().status == "FAIL"
+
+
 def test_schema_control(spark):
     gold = {t: spark.createDataFrame([], schemas.TABLES[t]) for t in schemas.CONTROLLED_GOLD}
     assert controls.schema_control(gold, "now").first().detail == "All expected columns present"

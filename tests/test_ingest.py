@@ -7,8 +7,10 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from txnlake import schemas
 from txnlake.operators.bronze import ingest
 from txnlake.plans.run import run_batch
 from txnlake.risk.scoring import train
@@ -189,3 +191,16 @@ def test_at_least_one_defect(spark):
     assert inject_defects(small, rates).filter("amount = ''").count() == 0
     one = inject_defects(small, rates, at_least_one=True)
     assert (one.filter("amount = ''").count(), one.filter("customer_id = ''").count()) == (1, 0)
+
+
+def test_a_failed_replacement_keeps_the_old_batch(spark, lake):
+    schema = schemas.TABLES["bronze.ingestion_audit"]
+    row = tuple("a" if f.dataType.simpleString() == "string" else None for f in schema.fields)
+    good = spark.createDataFrame([row, row], schema)
+    lake.replace_batch(good, "bronze.ingestion_audit", "B1")
+    bad = good.withColumn(schema.names[0], F.raise_error(F.lit("unreadable")).cast("string"))
+    with pytest.raises(PySparkException):
+        lake.replace_batch(bad, "bronze.ingestion_audit", "B1")
+    assert lake.read("bronze.ingestion_audit", "B1").count() == 2
+    lake.replace_batch(good.limit(1), "bronze.ingestion_audit", "B1")
+    assert lake.read("bronze.ingestion_audit", "B1").count() == 1

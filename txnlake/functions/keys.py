@@ -25,4 +25,4 @@ def dense_keys(lake: Lake, df: DataFrame, key: str, name: str) -> DataFrame:
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     numbered = placed.join(F.broadcast(offsets), "_part")
     return numbered.select(
-        (F.col("_offset") + F.col("_place") + 1).cast("int").alias(name), *df.columns)
+        (F.col("_offset") + F.col("_place") + 1).cast("long").alias(name), *df.columns)

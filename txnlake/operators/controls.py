@@ -129,10 +129,9 @@ def control_report(lake: Lake, batch_id: str, cfg: Config, as_of: datetime,
                    executed_at: str | None = None) -> DataFrame:
     """The seven control rows."""
     executed_at = executed_at or as_of.isoformat()
-    gold = {table: lake.fact() if table == "gold.fact_transactions" else lake.read(table)
-            for table in schemas.CONTROLLED_GOLD}
+    gold = {table: lake.as_stored(table) for table in schemas.CONTROLLED_GOLD}
     return (
-        fact_controls(gold["gold.fact_transactions"], cfg, executed_at)
+        fact_controls(lake.fact(), cfg, executed_at)
         .unionByName(freshness_control(lake.transactions(), cfg.freshness_sla_hours, as_of,
                                        executed_at))
         .unionByName(schema_control(gold, executed_at))

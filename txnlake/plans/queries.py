@@ -509,8 +509,8 @@ def ctl_05(c: Context) -> DataFrame:
 
 @query
 def ctl_06(c: Context) -> DataFrame:
-    tables = {"gold.fact_transactions": c.fact, "gold.dim_customer": c.customers,
-              "gold.dim_merchant": c.merchants}
+    """The columns that the stored files have."""
+    tables = {table: c.lake.as_stored(table) for table in schemas.CONTROLLED_GOLD}
     return controls.schema_control(tables, RUN_AT)
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from txnlake import schemas
 
@@ -51,27 +52,44 @@ class Lake:
             df = self.spark.createDataFrame([], schema)
         return df.select(*schema.names)
 
+    def as_stored(self, table: str) -> DataFrame:
+        """A table with the columns its files have; without any when nothing was written."""
+        try:
+            return self.spark.read.parquet(self.path(table))
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return self.spark.createDataFrame([], T.StructType([]))
+            raise
+
     def replace_batch(self, df: DataFrame, table: str, batch_id: str,
                       partition_by: tuple[str, ...] = ()) -> None:
         """Write one batch over whatever this batch held before, and nothing else."""
         columns = [f.name for f in schemas.TABLES[table].fields if f.name != "batch_id"]
-        (
-            _typed(df, table).select(*columns).write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*partition_by).parquet(self.path(table, batch_id))
-        )
+        self._swap(_typed(df, table).select(*columns).write.partitionBy(*partition_by),
+                   self.path(table, batch_id))
 
     def replace(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
         """Full refresh of a table."""
-        (
-            _typed(df, table).write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*partition_by).parquet(self.path(table))
-        )
+        self._swap(_typed(df, table).write.partitionBy(*partition_by), self.path(table))
+
+    def _swap(self, writer: DataFrameWriter, path: str) -> None:
+        """Write to a fresh folder and put it in the place of path only when that has worked.
+
+        Rows that cannot be read or computed leave the old folder as it was; a replacement also
+        clears partitions that became empty.
+        """
+        fresh = f"{self.root}/staging/fresh-{uuid.uuid4().hex}"
+        writer.parquet(fresh)
+        old, new = (self.spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
+        files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(old, True)
+        files.mkdirs(old.getParent())
+        if not files.rename(new, old):
+            raise OSError(f"cannot move {fresh} to {path}")
 
     def append_missing(self, df: DataFrame, table: str, key: str) -> None:
-        """Insert the rows whose key the table does not hold yet."""
-        new = df.dropDuplicates([key]).join(self.read(table).select(key), key, "left_anti")
+        """Insert the rows whose key the table does not hold yet; of equal keys the smallest row."""
+        new = first_by_key(df, key, F.struct(*df.columns)).join(self.read(table).select(key), key, "left_anti")
         _typed(new, table).write.mode("append").parquet(self.path(table))
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:

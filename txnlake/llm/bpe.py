@@ -14,7 +14,14 @@ from txnlake.llm.pretokens import LONG, REMEMBERED, WORDS, Splitter, byte_letter
 
 NEVER = np.iinfo(np.int64).max
 END = "\0"
-NO_MERGE = (NEVER, -1)
+#: Letters are bytes; the last one of a word counts as another letter.
+LAST, LETTERS = 256, 512
+
+
+def _cut(flat: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Runs of tokens as int32 bytes."""
+    octets, ends = flat.astype(np.int32).tobytes(), (4 * np.cumsum(counts)).tolist()
+    return [octets[start:end] for start, end in zip([0, *ends], ends)]
 
 
 class Codec:
@@ -23,7 +30,7 @@ class Codec:
     A word is encoded by greedy longest match first. Two adjacent tokens are compatible if no
     merge across their border comes before the merges that build them; if all adjacent pairs are
     compatible, and every token encodes itself, the proposal is what merging gives. Other words
-    are merged step by step.
+    are merged step by step, many at a time.
     """
 
     def __init__(self, path: str):
@@ -36,11 +43,7 @@ class Codec:
         self.names |= {number: token for token, number in self.splitter.added.items()}
         spelled = lambda token: token.removesuffix(suffix) + END if token.endswith(suffix) else token
         self.vocab = {spelled(token): number for token, number in model["vocab"].items()}
-        # Longest token by its first two letters.
-        self.reach: dict[str, int] = {}
-        for spelling in self.vocab:
-            self.reach[spelling[:2]] = max(len(spelling), self.reach.get(spelling[:2], 1))
-        self.letters = byte_letters()
+        self.codes = {letter: code for code, letter in enumerate(byte_letters())}
         self.size = max(self.names) + 1
         self.spelled = [self.names.get(number) for number in range(self.size)]
         parts = [merge if isinstance(merge, list) else merge.split(" ") for merge in model["merges"]]
@@ -49,6 +52,7 @@ class Codec:
         made = np.array([model["vocab"][a.removesuffix(suffix) + b if a.endswith(suffix) else a + b] for a, b in parts], np.int64)
         self.merges = {(a, b): (rank, c) for rank, (a, b, c) in enumerate(zip(left.tolist(), right.tolist(), made.tolist()))}
         self._index(left, right, made)
+        self._grow()
         self.known: dict[str, bytes] = {}
 
     def _index(self, left: np.ndarray, right: np.ndarray, made: np.ndarray) -> None:
@@ -56,7 +60,7 @@ class Codec:
         ranks = np.arange(len(left))
         keys = left * self.size + right
         order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], ranks[order]
+        self.keys, self.ranks, self.made = keys[order], ranks[order], made[order]
         parent_left, parent_right = np.full(self.size, -1), np.full(self.size, -1)
         birth = np.full(self.size, -1)
         parent_left[made], parent_right[made], birth[made] = left, right, ranks
@@ -105,37 +109,91 @@ class Codec:
                 crossed[at] = (rank < self.right_end[i][left[at]]) & (rank <= self.left_end[j][right[at]]) & (rank < NEVER)
         return crossed
 
-    def _proposal(self, spelling: str) -> list[int]:
-        """Greedy longest match; the word end stays with the last letter."""
-        result, at, size = [], 0, len(spelling)
-        vocab, reach = self.vocab, self.reach
-        while at < size:
-            for end in range(min(size, at + reach.get(spelling[at:at + 2], 1)), at, -1):
-                if end != size - 1 and (number := vocab.get(spelling[at:end])) is not None:
-                    break
-            result.append(number)
-            at = end
-        return result
-
-    def _merged(self, spelling: str) -> list[int]:
-        """Merging step by step: always the lowest rank, of equal ones the leftmost."""
-        tokens = [self.vocab[letter] for letter in (*spelling[:-2], spelling[-2:])]
-        if len(tokens) > LONG:
-            return self._merged_long(tokens)
-        found = self.merges.get
-        pairs = [found(pair, NO_MERGE) for pair in zip(tokens, tokens[1:])]
-        while pairs:
-            best = min(pairs)
-            if best is NO_MERGE:
-                break
-            at = pairs.index(best)
-            tokens[at:at + 2] = [best[1]]
-            del pairs[at]
-            if at:
-                pairs[at - 1] = found((tokens[at - 1], best[1]), NO_MERGE)
-            if at < len(pairs):
-                pairs[at] = found((best[1], tokens[at + 1]), NO_MERGE)
-        return tokens
+    def _grow(self) -> None:
+        """The trie of all tokens over letters; the last letter of a word is its byte plus LAST."""
+        step: dict[int, int] = {}
+        token = [-1] * (1 + LETTERS)
+        for spelling, number in self.vocab.items():
+            letters = [self.codes[letter] for letter in spelling.removesuffix(END)]
+            letters[-1] += LAST if spelling.endswith(END) else 0
+            node = 1 + letters[0]
+            for letter in letters[1:]:
+                following = step.setdefault(node * LETTERS + letter, len(token))
+                if following == len(token):
+                    token.append(-1)
+                node = following
+            token[node] = number
+        self.token = np.array(token)
+        self.steps = np.array(sorted(step), np.int64)
+        self.nodes = np.array([step[key] for key in self.steps.tolist()], np.int64)
+
+    def _proposals(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and tokens of greedy longest matches; a match never passes the last letter of a word.
+
+        The longest match is found for all places at once, then one walk follows the matches.
+        """
+        padded = np.append(letters, 0)
+        node = 1 + letters
+        best, reach = self.token[node], np.ones(len(letters), np.int64)
+        at, depth = np.arange(len(letters)), 1
+        while len(at):
+            key = node * LETTERS + padded[at + depth]
+            place = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            going = self.steps[place] == key
+            at, node, depth = at[going], self.nodes[place[going]], depth + 1
+            token = self.token[node]
+            complete = token >= 0
+            best[at[complete]], reach[at[complete]] = token[complete], depth
+        starts, place, steps = [], 0, reach.tolist()
+        while place < len(steps):
+            starts.append(place)
+            place += steps[place]
+        starts = np.array(starts, np.int64)
+        if (best[starts] < 0).any():
+            raise ValueError("a letter is missing from the vocabulary")
+        return starts, best[starts]
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of each pair of tokens, or NEVER, and what it makes."""
+        key = left * self.size + right
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, self.ranks[place], NEVER), self.made[place]
+
+    def _merged(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merging of many words step by step: always the lowest rank, of equal ones the leftmost.
+
+        Words lie in rows of one width with a border cell on each side, and each round does the next
+        merge of all rows that have one. Returns all tokens in order and their number per word.
+        """
+        rows, width = len(sizes), int(sizes.max()) + 2
+        cells = np.full(rows * width, -1, np.int64)
+        first = np.arange(rows) * width + 1
+        inside = np.repeat(first, sizes) + np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        cells[inside] = tokens
+        after, before = np.arange(rows * width) + 1, np.arange(rows * width) - 1
+        ranks, makes = np.full(rows * width, NEVER), np.full(rows * width, -1, np.int64)
+        self._offer(inside, cells, after, ranks, makes)
+        open_rows = np.arange(rows)
+        by_row = ranks.reshape(rows, width)
+        while len(open_rows):
+            at = open_rows * width + by_row[open_rows].argmin(axis=1)
+            going = ranks[at] < NEVER
+            open_rows, at = open_rows[going], at[going]
+            gone = after[at]
+            cells[at], cells[gone], ranks[gone] = makes[at], -1, NEVER
+            after[at] = after[gone]
+            before[after[at]] = at
+            self._offer(at, cells, after, ranks, makes)
+            left = before[at]
+            self._offer(left[cells[left] >= 0], cells, after, ranks, makes)
+        kept = cells >= 0
+        return cells[kept], kept.reshape(rows, width).sum(axis=1)
+
+    def _offer(self, at: np.ndarray, cells: np.ndarray, after: np.ndarray, ranks: np.ndarray, makes: np.ndarray) -> None:
+        """Look up the merges of the tokens at some places with those after them."""
+        right = cells[after[at]]
+        found, made = self._rank(cells[at], right)
+        ranks[at], makes[at] = np.where(right >= 0, found, NEVER), made
 
     def _merged_long(self, tokens: list[int]) -> list[int]:
         """The same for long words, with the pairs in a heap."""
@@ -160,26 +218,42 @@ class Codec:
             offer(at)
         return [token for token in tokens if token >= 0]
 
-    def _learn(self, spellings: dict[str, str]) -> dict[str, bytes]:
-        """Codes of words by their spelling, as int32 bytes: one check for the pairs of all proposals."""
-        words = list(spellings)
-        proposals = [self._proposal(spellings[word]) for word in words]
-        sizes = np.fromiter(map(len, proposals), np.int64, len(words))
-        flat = np.fromiter((token for proposal in proposals for token in proposal), np.int64, sizes.sum())
-        owner = np.repeat(np.arange(len(words)), sizes)
+    def _learn(self, fresh: dict[str, bytes]) -> dict[str, bytes]:
+        """Codes of words as int32 bytes: one check for the pairs of all proposals, merging for failing words."""
+        words = list(fresh)
+        sizes = np.fromiter(map(len, fresh.values()), np.int64, len(words))
+        letters = np.frombuffer(b"".join(fresh.values()), np.uint8).astype(np.int64)
+        ends = np.cumsum(sizes)
+        letters[ends - 1] += LAST
+        starts, flat = self._proposals(letters)
+        owner = np.searchsorted(ends, starts, side="right")
         failing = np.zeros(len(words), bool)
         failing[owner[~self.own[flat]]] = True
         inner = np.nonzero(owner[1:] == owner[:-1])[0]
         pairs, which = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
         crossed = self._crossing(pairs // self.size, pairs % self.size)
         failing[owner[inner[crossed[which]]]] = True
-        return {word: np.array(self._merged(spellings[word]) if failed else proposal, np.int32).tobytes()
-                for word, proposal, failed in zip(words, proposals, failing.tolist())}
+        codes = _cut(flat, np.bincount(owner, minlength=len(words)))
+        # Rows of similar length share a matrix, so padding at most doubles it.
+        width = np.where(sizes <= LONG, np.maximum(4, 2 ** np.ceil(np.log2(sizes)).astype(np.int64)), 0)
+        base = self.token[1 + letters]
+        for one in np.unique(width[failing]).tolist():
+            chosen = np.nonzero(failing & (width == one))[0]
+            if one:
+                many = sizes[chosen]
+                inside = np.repeat(ends[chosen] - many - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                merged = _cut(*self._merged(base[inside], many))
+            else:
+                merged = [np.array(self._merged_long(base[ends[word] - sizes[word]:ends[word]].tolist()), np.int32).tobytes()
+                          for word in chosen]
+            for word, ids in zip(chosen.tolist(), merged):
+                codes[word] = ids
+        return dict(zip(words, codes))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as the tokenizer gives them without adding special tokens."""
         split: list[list[list[str] | bytes]] = []
-        fresh: dict[str, str] = {}
+        fresh: dict[str, bytes] = {}
         if len(self.known) > REMEMBERED:
             self.known = {}
         for text in texts:
@@ -191,11 +265,9 @@ class Codec:
                 words = self.splitter.words(piece)
                 if words is None:
                     words = [word + END for word in self.splitter.asked(piece)]
-                    fresh.update((word, word) for word in words if word not in self.known)
+                    fresh.update((word, bytes(map(self.codes.__getitem__, word[:-1]))) for word in words if word not in self.known)
                 else:
-                    for word in set(words).difference(self.known):
-                        if word not in fresh:
-                            fresh[word] = "".join([self.letters[byte] for byte in word.encode()]) + END
+                    fresh.update((word, word.encode()) for word in set(words).difference(self.known))
                 parts.append(words)
             split.append(parts)
         known, long = self.known, {}

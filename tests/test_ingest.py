@@ -185,6 +185,12 @@ def test_defects_come_at_their_rates(spark):
     assert dirty.exceptAll(again).count() == 0
 
 
+def test_repeated_ids_are_spread_over_many_donors(spark):
+    dirty = inject_defects(clean_feed(spark), {"duplicate_transaction_id": 0.1}, seed=3)
+    copies = dirty.groupBy("transaction_id").count().filter("count > 1").selectExpr("count(*)", "max(count)").first()
+    assert copies[0] > 250 and copies[1] < 30
+
+
 def test_at_least_one_defect(spark):
     rates = {"null_amount": 1e-9, "null_customer_id": 0.0}
     small = clean_feed(spark, 50)

@@ -54,6 +54,12 @@ def test_forest_does_not_depend_on_partitions(spark):
     assert set(sizes) == set(range(25)) and set(sizes.values()) == {64}
 
 
+def test_trees_of_a_large_table_share_no_row(spark):
+    params = iforest.ForestParams(trees=3, per_tree=16)
+    drawn = iforest.sample_rows(iforest.model_inputs(feature_rows(spark)), 2000, params, "transaction_id")
+    assert {tuple(r) for r in drawn.groupBy("tree").count().collect()} == {(0, 16), (1, 16), (2, 16)}
+
+
 def test_other_seed_gives_another_forest(spark):
     rows = feature_rows(spark, 300)
     params = iforest.ForestParams(trees=5, per_tree=64, seed=1)

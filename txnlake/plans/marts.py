@@ -139,16 +139,15 @@ def models(lake: Lake) -> dict[str, DataFrame]:
     }
 
 
-def materialise(lake: Lake) -> dict[str, DataFrame]:
-    """Staging and intermediate models become temporary views, marts become tables."""
+def materialise(lake: Lake, wanted: tuple[str, ...] = ("fct_transactions", "payment_daily_metrics")) -> dict[str, DataFrame]:
+    """Staging and intermediate models become temporary views, the wanted marts become tables."""
     frames = models(lake)
     for name, frame in frames.items():
         if name.startswith(("stg_", "int_")):
             frame.createOrReplaceTempView(name)
-        else:
-            path = f"{lake.root}/marts/{name}"
-            frame.write.mode("overwrite").parquet(path)
-            frames[name] = lake.spark.read.parquet(path)
+        elif name in wanted:
+            by_date = ("date_sk",) if name == "fct_transactions" else ()
+            frames[name] = lake.mart(frame.hint("rebalance", *by_date) if by_date else frame, name, by_date)
     return frames
 
 

@@ -346,12 +346,12 @@ def int_transaction_metrics(c: Context) -> DataFrame:
 
 @query
 def mart_fct_transactions(c: Context) -> DataFrame:
-    return marts.materialise(c.lake)["fct_transactions"]
+    return marts.materialise(c.lake, ("fct_transactions",))["fct_transactions"]
 
 
 @query
 def mart_payment_daily(c: Context) -> DataFrame:
-    return marts.materialise(c.lake)["payment_daily_metrics"]
+    return marts.materialise(c.lake, ("payment_daily_metrics",))["payment_daily_metrics"]
 
 
 @query

@@ -34,7 +34,6 @@ class ForestParams:
     per_tree: int = 256
     seed: int = 42
     contamination: float = 0.03  # kept with the model; scores and tiers do not use it
-    pool: int = 1 << 16  # rows the trees pick from
 
     def __post_init__(self) -> None:
         if not 2 <= self.per_tree <= 4096 or not 1 <= self.trees <= 1000:
@@ -49,17 +48,20 @@ def _unit_hash(*parts: Column) -> Column:
 def sample_rows(inputs: DataFrame, rows: int, params: ForestParams, key: str = "transaction_id") -> DataFrame:
     """Rows (tree, place, inputs...): up to `per_tree` rows per tree, drawn without replacement.
 
-    A pool of about `pool` rows is drawn first with one hash per row. Each tree then keeps
-    the rows of the pool with the smallest hashes of its own.
+    Each tree is offered about four times the rows it wants and keeps those with its smallest
+    hashes, so it falls short practically never. A row of a large table is offered to one tree
+    at most, which takes two hashes a row; a row of a small one is tried for every tree.
     """
     seed = F.lit(params.seed)
-    pool = inputs.select(key, *MODEL_INPUTS).filter(
-        _unit_hash(F.col(key), seed) < min(1.0, params.pool / max(rows, 1)))
-    # Four times the wanted rows pass the first cut, so a tree falls short practically never.
-    share = min(1.0, 4 * params.per_tree / max(min(rows, params.pool), 1))
-    trees = F.filter(F.sequence(F.lit(0), F.lit(params.trees - 1)),
-                     lambda tree: _unit_hash(F.col(key), tree, seed) < share)
-    drawn = pool.withColumn("tree", F.explode(trees))
+    offered = 4 * params.per_tree
+    df = inputs.select(key, *MODEL_INPUTS)
+    if rows > offered * params.trees:
+        drawn = df.filter(_unit_hash(F.col(key), seed) < offered * params.trees / rows).withColumn(
+            "tree", F.pmod(F.xxhash64(F.lit("tree"), key, seed), F.lit(params.trees)).cast("int"))
+    else:
+        trees = F.filter(F.sequence(F.lit(0), F.lit(params.trees - 1)),
+                         lambda tree: _unit_hash(F.col(key), tree, seed) < min(1.0, offered / max(rows, 1)))
+        drawn = df.withColumn("tree", F.explode(trees))
     by_hash = Window.partitionBy("tree").orderBy(_unit_hash(F.col(key), F.col("tree"), seed), key)
     return drawn.withColumn("place", F.row_number().over(by_hash)).filter(
         F.col("place") <= params.per_tree).drop(key)

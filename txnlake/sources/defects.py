@@ -10,7 +10,7 @@ from txnlake.config import DEFECT_RATES
 
 # Statuses that validation has to reject.
 BAD_STATUSES = ("DECLINED", "UNKNOWN", "ERR", "null", "CANCELLED")
-DONORS = 4096
+ROWS_PER_DONOR = 64
 
 
 def _hash(kind: str, seed: int) -> Column:
@@ -47,11 +47,13 @@ def inject_defects(df: DataFrame, rates: dict[str, float] | None = None, seed: i
     flag = lambda kind: F.col(f"_{kind}") if kind in rates else F.lit(False)
     token = lambda kind: F.lower(F.lpad(F.hex(_number(kind, seed, 1 << 32)), 8, "0"))
 
-    # A repeated id is taken from a clean row of the same hash class: one donor per class.
-    by_class = F.pmod(_hash("donor", seed), F.lit(DONORS)).alias("_class")
+    # A repeated id is taken from a clean row of the same hash class. Classes grow with the rows,
+    # so no id is repeated often and the join has no hot key.
+    classes = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / ROWS_PER_DONOR))).scalar()
+    by_class = F.pmod(_hash("donor", seed), classes).alias("_class")
     donors = df_flags.filter(~flag("duplicate_transaction_id")).groupBy(by_class).agg(
         F.min("transaction_id").alias("_donor"))
-    df_flags = df_flags.withColumn("_class", by_class).join(F.broadcast(donors), "_class", "left")
+    df_flags = df_flags.withColumn("_class", by_class).join(donors, "_class", "left")
 
     later = F.lit(as_of).cast("timestamp_ntz") + F.make_dt_interval(
         days=(_number("future_timestamp", seed, 30) + 1).cast("int"))

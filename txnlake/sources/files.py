@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from txnlake import schemas
-from txnlake.functions.lookup import BROADCAST_ROWS
+from txnlake.functions.lookup import hot_keys, lookup
 
 _CSV = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "columnPruning": "false"}
 
@@ -57,28 +57,32 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     df = df.withColumns({
         "_row_seq": F.col("_metadata.file_block_start")
         + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),
-        "_file": F.input_file_name(),
+        "_file": F.col("_metadata.file_path"),
     })
     wider = ", ".join(f"`c{i}` string" for i in range(len(names) + 1))
     overflow = F.from_csv("_corrupt", wider, {"escape": '"'})[f"c{len(names)}"].isNotNull()
     guard = F.when(F.col("_corrupt").isNotNull() & overflow,
                    F.raise_error(F.concat(F.lit("more fields than columns: "), "_corrupt")))
-    df = _ordered_by_file(df)
+    df = _ordered_by_file(df, path)
     text = [F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names]
     return df.select(F.coalesce(guard.cast("string"), text[0]).alias(names[0]), *text[1:],
                      "_row_seq")
 
 
-def _ordered_by_file(df: DataFrame) -> DataFrame:
-    """Put the files of a path one after the other, in the order of their names."""
-    files = sorted(df.inputFiles())
-    if len(files) < 2:
-        return df
-    rank = df.sparkSession.createDataFrame(
-        list(zip(files, range(len(files)), strict=True)), "_file string, _rank long")
-    # One row per file; the list is already in hand, so its size is known.
-    rank = F.broadcast(rank) if len(files) <= BROADCAST_ROWS else rank
-    return df.join(rank, "_file", "left").withColumn(
-        "_row_seq", F.shiftleft("_rank", 43) + F.col("_row_seq"))
-
+def _ordered_by_file(df: DataFrame, path: str) -> DataFrame:
+    """Put the files of a path one after the other, in the order of their names.
 
+    Each file gets a range of places of its own. A row's place in its file is below the file's
+    length plus the rows its task has read, and no task reads more bytes than a partition may
+    hold or the largest file does. The list of files is a table; only names and lengths are read.
+    """
+    spark = df.sparkSession
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"), "length")
+    if files.count() < 2:
+        return df
+    partition = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    task = F.greatest(F.lit(partition).cast("long"), files.agg(F.max("length")).scalar())
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum(F.col("length") + task).over(before), F.lit(0)).alias("_start"))
+    placed = lookup(df, starts, "_file", salt_by="_row_seq", hot=lambda: hot_keys(df, "_file"))
+    return placed.withColumn("_row_seq", F.col("_start") + F.col("_row_seq"))

@@ -72,6 +72,12 @@ class Lake:
         """Full refresh of a table."""
         self._swap(_typed(df, table).write.partitionBy(*partition_by), self.path(table))
 
+    def mart(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Full refresh of a mart, read back with its columns in the same order."""
+        path = f"{self.root}/marts/{name}"
+        self._swap(df.write.partitionBy(*partition_by), path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
     def _swap(self, writer: DataFrameWriter, path: str) -> None:
         """Write to a fresh folder and put it in the place of path only when that has worked.
 

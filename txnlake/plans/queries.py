@@ -617,6 +617,34 @@ def iforest_scores(c: Context) -> DataFrame:
         "transaction_id", "anomaly_score", "risk_score", "risk_tier", "risk_reasons")
 
 
+@query
+def risk_table(c: Context) -> DataFrame:
+    """The stored risk table, at home and abroad: its rows, and how many break a promise about scores."""
+    scored = c.staged("query_forest", lambda: iforest.score(
+        c.features, c.lake.stage(iforest.fit(c.features, c.features.count()), "query_nodes")))
+    table = "gold.fact_transactions_risk"
+    c.lake.replace(explain.add_explanations(calibrate.calibrate(scored)).withColumn(
+        "_scored_at", F.lit(feeds.AS_OF).cast("timestamp_ntz")), table)
+    breaks = lambda promise: F.count_if(~F.coalesce(F.expr(promise), F.lit(False)))
+    return c.lake.read(table).groupBy("country_mismatch").agg(
+        F.count("*").alias("scored"), F.countDistinct("transaction_id").alias("transactions"),
+        money_sum("amount").cast("decimal(28,2)").cast("double").alias("amount"),
+        breaks("risk_score BETWEEN 0 AND 100").alias("risk_out_of_range"),
+        breaks("risk_tier = CASE WHEN risk_score <= 45 THEN 'LOW' WHEN risk_score <= 75 THEN 'MEDIUM' "
+               "ELSE 'HIGH' END").alias("tier_off"),
+        breaks("(risk_tier = 'LOW') = (risk_reasons = 'Within standard baseline behavior')").alias("reason_off"),
+        breaks("(contains(risk_reasons, 'Cross-border') AND country_mismatch = 1) OR "
+               "NOT contains(risk_reasons, 'Cross-border')").alias("border_off"))
+
+
+@query
+def model_record(c: Context) -> DataFrame:
+    """The stored model record, read back."""
+    path = scoring.write_metadata(c.lake, scoring.model_metadata(c.calibrated))
+    stored = c.spark.read.schema(schemas.MODEL_METADATA).json(path)
+    return stored.withColumn("feature_columns", F.array_join("feature_columns", ","))
+
+
 @query
 def iforest_metadata(c: Context) -> DataFrame:
     scored = c.staged("query_forest", lambda: iforest.score(

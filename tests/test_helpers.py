@@ -89,6 +89,32 @@ def test_quantiles_per_group_with_a_null_group(spark, small):
     assert got == {None: 148.5, 1: 149.5, 2: 150.5}
 
 
+def test_slices_rank_ties_infinities_and_nulls(spark, monkeypatch):
+    monkeypatch.setattr(Q, "WHOLE", 100)
+    values = [float("-inf")] * 40 + [float("inf")] * 30 + [1e308, -1e308, 0.0, -0.0] * 20 + [0.25] * 50
+    data = [(g, v) for g in ("a", None) for v in [*values, *[float(i) for i in range(500)]]] + [("a", None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(5)
+    got = {(r.g, r.share): r.quantile for r in Q.quantiles(df, "v", ["g"], [0.0, 0.3, 0.9, 1.0]).collect()}
+    ordered = sorted(v for g, v in data if g is None)
+    for share in (0.3, 0.9):
+        place = share * (len(ordered) - 1)
+        low, high = ordered[int(place)], ordered[int(place) + 1]
+        for g in ("a", None):
+            assert got[g, share] == pytest.approx(low + (high - low) * (place - int(place)))
+
+
+def test_no_task_ranks_a_whole_bracket(spark, monkeypatch):
+    """Values of a bracket are ranked in slices, which hold a small part of it each."""
+    monkeypatch.setattr(Q, "WHOLE", 100)
+    monkeypatch.setattr(Q, "MARGIN", 0.25)
+    df = spark.range(40_000).select(F.struct(F.lit(1).alias("one")).alias("_g"), (F.col("id") * 0.5).alias("_v"))
+    ends = df.withColumn("_ends", F.array(F.lit(5000.0), F.lit(15000.0)))
+    sizes = ends.filter("_v BETWEEN 5000 AND 15000").groupBy(Q._slice().alias("s")).count()
+    assert sizes.count() > 4000 and sizes.agg(F.max("count")).first()[0] < 10
+    got = Q.quantiles(df.select(F.col("_v").alias("v")), "v", [], [0.5]).first().quantile
+    assert got == float(np.quantile(np.arange(40_000) * 0.5, 0.5))
+
+
 def test_brackets_keep_few_rows(spark, monkeypatch):
     monkeypatch.setattr(Q, "WHOLE", 100)
     rows = spark.range(200_000).select(F.struct(F.lit(1)).alias("_g"), F.rand(3).alias("_v"))

@@ -3,15 +3,19 @@
 A sketch brackets the place of each wanted quantile. Rows outside all brackets are only
 counted, in partial sums; the few rows inside are counted per value and ranked. So nothing but
 the brackets is shuffled or sorted, and the sketch decides the amount of work, not the result.
+Ranks inside brackets are taken in many slices of each bracket, after counting the rows of each
+slice, so no task ranks a whole bracket.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 100_000
+# Slices that each stretch between two ends of brackets is ranked in.
+SLICES = 4096
 # Three times the error the sketch promises. Groups too small for that are ranked whole.
 MARGIN = 3 / ACCURACY
 WHOLE = 1_000_000
@@ -88,4 +92,27 @@ def _ranked_in_brackets(rows: DataFrame, shares: list[float], sized) -> DataFram
     inside = (F.col("_n") <= WHOLE) | inside
     skipped = bracketed.groupBy("_g").agg(F.max("_n").alias("_n"), *[
         F.count_if(~inside & (v < low(i))).alias(f"_skip{i}") for i in range(len(shares))])
-    return _ranked(bracketed.filter(inside).select("_g", "_v")).join(sized(skipped), "_g")
+    kept = bracketed.filter(inside).select("_g", "_v", _slice().alias("_s"))
+    return _ranked_in_slices(kept, sized).join(sized(skipped), "_g")
+
+
+def _slice() -> Column:
+    """(stretch, slice) of a value between the ends of the brackets; it never falls as the value grows."""
+    return F.expr(f"""transform(array(array_sort(_ends)), e -> transform(array(size(filter(e, x -> x <= _v))), at ->
+        named_struct('stretch', at, 'slice', CASE WHEN at = 0 OR at = size(e) THEN 0 ELSE cast(least({SLICES - 1},
+            floor(nanvl(try_divide(_v - e[at - 1], e[at] - e[at - 1]), 0D) * {SLICES})) AS int) END))[0])[0]""")
+
+
+def _ranked_in_slices(rows: DataFrame, sized) -> DataFrame:
+    """_ranked for rows with a slice _s: ranks inside slices, moved up by the rows of the slices below.
+
+    The window over a group sees one row per slice, at most SLICES for each stretch.
+    """
+    counted = rows.groupBy("_g", "_s", "_v").agg(F.count("*").alias("_copies"))
+    upto = F.sum("_copies").over(
+        Window.partitionBy("_g", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    below = F.coalesce(F.sum("_rows").over(
+        Window.partitionBy("_g").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    slices = rows.groupBy("_g", "_s").agg(F.count("*").alias("_rows")).select("_g", "_s", below.alias("_below"))
+    return counted.withColumn("_within", upto).join(sized(slices), ["_g", "_s"]).select(
+        "_g", "_v", "_copies", (F.col("_within") + F.col("_below")).alias("_upto"))

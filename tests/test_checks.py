@@ -115,6 +115,28 @@ def test_score(spark):
     assert quality.quality_score(spark.createDataFrame([], "status string")).first().quality_score == 0.0
 
 
+def test_checks_by_group_equal_checks_of_each_group(spark):
+    """Groups are measured together; one without rows counts as an empty table."""
+    df = frame(spark, 30, transaction_id={1: "T4", 7: "T10"}, customer_id={3: "C9", 5: None}, amount={8: -1.0},
+               currency={0: "X"}).withColumn("g", F.when(F.substring("transaction_id", 2, 9).cast("int") % 3 == 1, "a").otherwise("b"))
+    groups = spark.createDataFrame([("a", 12), ("b", 90), ("none", 5)], "g string, expected int")
+    parent = spark.createDataFrame([("C1",)], "customer_id string")
+
+    def checks(expected):
+        return [quality.not_null("customer_id", 0.01, 0.05), quality.uniqueness("transaction_id"), quality.amount_positive(0, 0),
+                quality.valid_values("currency", ("GBP",), 0, 0), quality.freshness("ts", 24, AS_OF), quality.volume(expected, 0.3),
+                quality.referential_integrity("t", "customer_id", parent, "p", "customer_id", 0, 0)]
+
+    found = quality.run_checks_by(df, "g", groups, "t", checks(F.col("expected")), "now")
+    rows = found.collect()
+    for group, expected in (("a", 12), ("b", 90), ("none", 5)):
+        alone = quality.run_checks(df.filter(F.col("g") == group), "t", checks(expected), "now").collect()
+        assert sorted(r[1:] for r in rows if r.g == group) == sorted(tuple(r) for r in alone)
+    scores = {r.g: r.quality_score for r in quality.quality_score(found, ["g"]).collect()}
+    assert set(scores) == {"a", "b", "none"} and scores["none"] == quality.quality_score(
+        quality.run_checks(df.limit(0), "t", checks(5), "now")).first().quality_score
+
+
 def test_shared_checks_take_one_scan(spark, lake):
     path = f"{lake.root}/t"
     frame(spark, 50).write.parquet(path)

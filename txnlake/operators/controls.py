@@ -47,9 +47,10 @@ def _result(control: str, passed: Column, detail: Column, checked: Column, faile
         (F.lit(usual) if advice is None else advice).alias("remediation"))
 
 
-def _rows(one: DataFrame, results: list[Column]) -> DataFrame:
-    return one.select(F.explode(F.array(*results)).alias("r")).select(
-        *[F.col(f"r.{name}") for name in schemas.CONTROL_RESULT.names])
+def _rows(one: DataFrame, results: list[Column], by: list[str] | None = None) -> DataFrame:
+    by = by or []
+    return one.select(*by, F.explode(F.array(*results)).alias("r")).select(
+        *by, *[F.col(f"r.{name}") for name in schemas.CONTROL_RESULT.names])
 
 
 def _zero_failures(control: str, failed: Column, words: str, executed_at: str) -> Column:
@@ -111,8 +112,9 @@ def schema_control(gold: dict[str, DataFrame], executed_at: str) -> DataFrame:
         F.lit(len(schemas.CONTROLLED_GOLD)), F.lit(len(gaps)), executed_at)])
 
 
-def reconciliation_control(reconciled: DataFrame, executed_at: str) -> DataFrame:
-    """CTL-07: no raw row of the batch is unaccounted for."""
+def reconciliation_control(reconciled: DataFrame, executed_at: str,
+                           by: list[str] | None = None) -> DataFrame:
+    """CTL-07: no raw row of the batch is unaccounted for. Columns in `by` are kept in front."""
     c = F.col
     balanced = c("delta") == 0
     text = lambda name: c(name).cast("string")
@@ -122,23 +124,37 @@ def reconciliation_control(reconciled: DataFrame, executed_at: str) -> DataFrame
         F.when(balanced, " (balanced)").otherwise(" (UNACCOUNTED RECORDS)"))
     return _rows(reconciled, [_result(
         "CTL-07", balanced, detail, c("raw_count"), F.abs("delta"), executed_at,
-        F.when(balanced, "").otherwise(CONTROLS["CTL-07"][1]))])
+        F.when(balanced, "").otherwise(CONTROLS["CTL-07"][1]))], by)
 
 
-def control_report(lake: Lake, batch_id: str, cfg: Config, as_of: datetime,
-                   executed_at: str | None = None) -> DataFrame:
-    """The seven control rows."""
-    executed_at = executed_at or as_of.isoformat()
+def table_controls(lake: Lake, cfg: Config, as_of: datetime, executed_at: str) -> DataFrame:
+    """CTL-01 to CTL-06, which look at whole tables."""
     gold = {table: lake.as_stored(table) for table in schemas.CONTROLLED_GOLD}
     return (
         fact_controls(lake.fact(), cfg, executed_at)
         .unionByName(freshness_control(lake.transactions(), cfg.freshness_sla_hours, as_of,
                                        executed_at))
         .unionByName(schema_control(gold, executed_at))
-        .unionByName(reconciliation_control(reconciliation(lake, batch_id), executed_at))
     )
 
 
+def batch_verdicts(lake: Lake, reconciled: DataFrame, cfg: Config, as_of: datetime,
+                   executed_at: str) -> DataFrame:
+    """(batch_id, control_status) over all seven controls, for each reconciled batch."""
+    failing = overall(table_controls(lake, cfg, as_of, executed_at)).select("fail_count").scalar()
+    own = F.col("status") == "PASS"
+    return reconciliation_control(reconciled, executed_at, ["batch_id"]).select(
+        "batch_id", F.when(own & (failing == 0), "PASS").otherwise("FAIL").alias("control_status"))
+
+
+def control_report(lake: Lake, batch_id: str, cfg: Config, as_of: datetime,
+                   executed_at: str | None = None) -> DataFrame:
+    """The seven control rows."""
+    executed_at = executed_at or as_of.isoformat()
+    return table_controls(lake, cfg, as_of, executed_at).unionByName(
+        reconciliation_control(reconciliation(lake, batch_id), executed_at))
+
+
 def overall(report: DataFrame) -> DataFrame:
     """(pass_count, fail_count, overall_status): PASS only without any FAIL."""
     failing = F.col("fail_count")

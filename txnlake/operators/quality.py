@@ -30,7 +30,7 @@ class Check:
     detail: Column
     verdict: Callable[[Column], Column]
     shared: dict[str, Column] = field(default_factory=dict)
-    own: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
+    own: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = field(default_factory=dict)
     failure_rate: Column | None = None
 
     def result(self, dataset: str, executed_at: str) -> Column:
@@ -64,17 +64,21 @@ def not_null(column: str, warn: float, fail: float) -> Check:
                  threshold(warn, fail), {name: F.count_if(empty)})
 
 
-def surplus_rows(df: DataFrame, column: str) -> DataFrame:
-    """One row: rows beyond the first of each value of `column`. Null is a value of its own."""
-    counts = df.groupBy(column).agg(F.count("*").alias("cnt")).filter(F.col("cnt") > 1)
-    return counts.agg(F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).alias("surplus"))
+def surplus_rows(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
+    """Rows beyond the first of each value of `column`. Null is a value of its own.
+
+    One row, or with `by` one row for each group that has such rows.
+    """
+    by = by or []
+    counts = df.groupBy(*by, column).agg(F.count("*").alias("cnt")).filter(F.col("cnt") > 1)
+    return counts.groupBy(*by).agg(F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).alias("surplus"))
 
 
 def uniqueness(column: str, warn: float = 0.0, fail: float = 0.0) -> Check:
     name = f"unique__{column}"
     return Check(name, "UNIQUENESS", F.col(name),
                  _counted(f"Column '{column}' has ", F.col(name), " duplicate extra rows"),
-                 threshold(warn, fail), own={name: lambda df: surplus_rows(df, column)})
+                 threshold(warn, fail), own={name: lambda df, by: surplus_rows(df, column, by)})
 
 
 def amount_positive(warn: float, fail: float) -> Check:
@@ -93,14 +97,17 @@ def valid_values(column: str, allowed: tuple[str, ...], warn: float, fail: float
                  threshold(warn, fail), {name: F.count_if(~F.col(column).isin(*allowed))})
 
 
-def unmatched_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """One row: child rows without a parent, null keys included.
+def unmatched_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
+                   by: list[str] | None = None) -> DataFrame:
+    """Child rows without a parent, null keys included.
 
-    Child rows are counted per key first, so the join sees each key once.
+    One row, or with `by` one row for each group that has such rows. Child rows are counted per
+    key first, so the join sees each key once in a group.
     """
-    keys = child.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
+    by = by or []
+    keys = child.groupBy(*by, F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
     parents = parent.select(F.col(parent_column).alias("_key"))
-    return keys.join(parents, "_key", "left_anti").agg(
+    return keys.join(parents, "_key", "left_anti").groupBy(*by).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("unmatched"))
 
 
@@ -112,7 +119,7 @@ def referential_integrity(dataset: str, column: str, parent: DataFrame, parent_n
         name, "REFERENTIAL_INTEGRITY", F.col(measure),
         _counted("", F.col(measure), f" rows in {dataset}.{column} with no match in {parent_name}"),
         threshold(warn, fail),
-        own={measure: lambda df: unmatched_rows(df, column, parent, parent_column)})
+        own={measure: lambda df, by: unmatched_rows(df, column, parent, parent_column, by)})
 
 
 def freshness(column: str, sla_hours: int, as_of: datetime) -> Check:
@@ -154,7 +161,7 @@ def run_checks(df: DataFrame, dataset: str, checks: list[Check], executed_at: st
     for check in checks:
         shared.update(check.shared)
     measured = df.agg(F.count("*").alias("_total"), *[m.alias(n) for n, m in shared.items()])
-    own = {name: make(df).scalar() for check in checks for name, make in check.own.items()}
+    own = {name: make(df, []).scalar() for check in checks for name, make in check.own.items()}
     if own:
         measured = measured.withColumns(own)
     results = F.array(*[check.result(dataset, executed_at) for check in checks])
@@ -162,6 +169,30 @@ def run_checks(df: DataFrame, dataset: str, checks: list[Check], executed_at: st
         *[F.col(f"r.{name}") for name in schemas.DQ_RESULT.names])
 
 
+def run_checks_by(df: DataFrame, by: str, groups: DataFrame, dataset: str, checks: list[Check],
+                  executed_at: str) -> DataFrame:
+    """run_checks for every row of `groups`, as result rows with the column `by` in front.
+
+    `groups` has one row per group; its other columns can be used by the checks. All groups are
+    measured together, so the number of jobs does not depend on how many there are. A group
+    without rows is measured as an empty table.
+    """
+    shared: dict[str, Column] = {}
+    for check in checks:
+        shared.update(check.shared)
+    counted = {"_total", *(name for name in shared if name != "_latest")}
+    measured = groups.join(df.groupBy(by).agg(
+        F.count("*").alias("_total"), *[m.alias(n) for n, m in shared.items()]), by, "left")
+    for check in checks:
+        for name, make in check.own.items():
+            measured = measured.join(make(df, [by]).toDF(by, name), by, "left")
+            counted.add(name)
+    measured = measured.fillna(0, sorted(counted))
+    results = F.array(*[check.result(dataset, executed_at) for check in checks])
+    return measured.select(by, F.explode(results).alias("r")).select(
+        by, *[F.col(f"r.{name}") for name in schemas.DQ_RESULT.names])
+
+
 def expected_volume(rows: int | Column, cfg: Config) -> int | Column:
     """Rows expected in Silver out of so many raw rows."""
     if isinstance(rows, int):
@@ -190,16 +221,16 @@ def standard_checks(lake: Lake, cfg: Config, raw_rows: int | Column, as_of: date
     ]
 
 
-def quality_score(results: DataFrame) -> DataFrame:
-    """(quality_score, pass_count, warn_count, fail_count); a WARN counts half."""
-    status = F.col("status")
-    counted = results.agg(
+def quality_score(results: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(by..., quality_score, pass_count, warn_count, fail_count); a WARN counts half."""
+    status, by = F.col("status"), by or []
+    counted = results.groupBy(*by).agg(
         F.count("*").alias("n"), F.count_if(status == "PASS").alias("pass_count"),
         F.count_if(status == "WARN").alias("warn_count"),
         F.count_if(status == "FAIL").alias("fail_count"))
     halves = F.col("pass_count") * 2 + F.col("warn_count")
     return counted.select(
-        F.coalesce(ratio(halves, F.col("n") * 2, 1000, 10), F.lit(0.0)).alias("quality_score"),
+        *by, F.coalesce(ratio(halves, F.col("n") * 2, 1000, 10), F.lit(0.0)).alias("quality_score"),
         "pass_count", "warn_count", "fail_count")
 
 

@@ -586,26 +586,20 @@ def model_gate(c: Context) -> DataFrame:
 
 @query
 def batch_gate(c: Context) -> DataFrame:
-    """Score of the raw and the Silver rows of each batch, with its controls and its delta."""
-    counts = reconciliation.reconcile(reconciliation.batch_counts(c.lake))
-    verdict = controls.overall(controls.fact_controls(c.fact, c.cfg, RUN_AT)).select(
-        "overall_status").scalar()
-    parts = []
-    for batch in feeds.BATCHES:
-        for layer, rows in (("raw", c.typed_raw), ("silver", c.silver)):
-            checks = quality.standard_checks(
-                c.lake, c.cfg, counts.filter(F.col("batch_id") == batch).select(
-                    "raw_count").scalar(), feeds.AS_OF)[:12]
-            report = quality.run_checks(
-                rows.filter(F.col("batch_id") == batch), layer, checks, RUN_AT)
-            parts.append(quality.quality_score(report).select(
-                F.lit(batch).alias("batch"), F.lit(layer).alias("layer"),
-                F.col("quality_score").alias("dq_score")))
-    scores = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    joined = scores.join(counts, scores.batch == counts.batch_id).select(
-        F.concat_ws("/", "batch", "layer").alias("batch_id"), "dq_score",
-        verdict.alias("control_status"), F.col("delta").alias("reconciliation_delta"))
-    return gates.batch_gate(joined)
+    """Fourteen checks on the raw and the Silver rows of each batch, its seven controls and its delta."""
+    counts = c.staged("query_batch_counts", lambda: reconciliation.reconcile(
+        reconciliation.batch_counts(c.lake)))
+    checks = quality.standard_checks(c.lake, c.cfg, F.col("raw_count"), feeds.AS_OF)
+    scores = [
+        quality.quality_score(quality.run_checks_by(
+            rows, "batch_id", counts.select("batch_id", "raw_count"), layer, checks, RUN_AT),
+            ["batch_id"]).withColumn("layer", F.lit(layer))
+        for layer, rows in (("raw", c.typed_raw), ("silver", c.silver))]
+    verdicts = controls.batch_verdicts(c.lake, counts, c.cfg, feeds.AS_OF, RUN_AT)
+    joined = scores[0].unionByName(scores[1]).join(counts, "batch_id").join(verdicts, "batch_id")
+    return gates.batch_gate(joined.select(
+        F.concat_ws("/", "batch_id", "layer").alias("batch_id"), F.col("quality_score").alias("dq_score"),
+        "control_status", F.col("delta").alias("reconciliation_delta")))
 
 
 @query

@@ -1302,15 +1302,20 @@ def ingest_audit(c: Context) -> DataFrame:
 
 @query
 def injected_defects(c: Context) -> DataFrame:
-    """Rows changed per field when defects are planted at the usual rates."""
+    """Rows changed per field when defects are planted at the usual rates, and what they became."""
     clean = feeds.transactions(c.spark, c.folder)
     dirty = inject_defects(clean, seed=7, as_of=feeds.AS_OF)
-    pairs = clean.alias("a").join(dirty.alias("b"), "_row_seq")
     fields = ["transaction_id", "customer_id", "merchant_id", "timestamp", "amount", "currency",
               "status"]
-    changed = pairs.agg(F.count("*").alias("all_rows"), *[
-        F.count_if(F.col(f"a.{f}") != F.col(f"b.{f}")).alias(f) for f in fields])
-    return changed.unpivot(["all_rows"], fields, "field", "changed")
+    pairs = clean.alias("a").join(dirty.alias("b"), "_row_seq")
+    values = F.explode(F.array(*[
+        F.struct(F.lit(f).alias("field"), F.col(f"a.{f}").alias("old"), F.col(f"b.{f}").alias("new"))
+        for f in fields])).alias("v")
+    changed = F.col("old") != F.col("new")
+    new = F.when(changed, F.col("new"))
+    return pairs.select(values).select("v.*").groupBy("field").agg(
+        F.count("*").alias("all_rows"), F.count_if(changed).alias("changed"),
+        F.countDistinct(new).alias("values"), F.min(new).alias("least"), F.max(new).alias("greatest"))
 
 
 @query

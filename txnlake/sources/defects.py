@@ -14,7 +14,9 @@ ROWS_PER_DONOR = 64
 
 
 def _hash(kind: str, seed: int) -> Column:
-    return F.xxhash64(F.col("_row_seq"), F.lit(kind), F.lit(seed))
+    """Sixty bits of an MD5, which any SQL engine can repeat."""
+    key = F.concat_ws("|", F.col("_row_seq").cast("string"), F.lit(kind), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
 def _number(kind: str, seed: int, below: int) -> Column:

@@ -103,6 +103,15 @@ def test_slices_rank_ties_infinities_and_nulls(spark, monkeypatch):
             assert got[g, share] == pytest.approx(low + (high - low) * (place - int(place)))
 
 
+def test_a_missed_bracket_never_takes_a_value_of_another(spark, monkeypatch):
+    """Brackets of a tenth of a row around places between two values: an error, not a guess."""
+    monkeypatch.setattr(Q, "WHOLE", 100)
+    monkeypatch.setattr(Q, "MARGIN", 1e-5)
+    df = spark.range(9551).select(F.col("id").cast("double").alias("v"))
+    with pytest.raises(Exception, match="outside its bracket"):
+        Q.quantiles(df, "v", [], [0.01, 0.99]).collect()
+
+
 def test_no_task_ranks_a_whole_bracket(spark, monkeypatch):
     """Values of a bracket are ranked in slices, which hold a small part of it each."""
     monkeypatch.setattr(Q, "WHOLE", 100)

@@ -45,13 +45,16 @@ def quantiles(df: DataFrame, value: str, by: list[str], shares: list[float],
         ranked = _ranked(rows)
         whole = Window.partitionBy("_g")
         ranked = ranked.withColumn("_n", F.sum("_copies").over(whole)).withColumns(
-            {f"_skip{i}": F.lit(0) for i in range(len(shares))})
+            {f"_skip{i}": F.lit(0) for i in range(len(shares))} | {
+                f"_{end}{i}": F.lit(None).cast("double") for i in range(len(shares)) for end in ("low", "high")})
     else:
         ranked = _ranked_in_brackets(rows, shares, sized)
 
     # As SQL text, because there are four expressions per share.
     place = [f"(double('{float(q)!r}') * (_n - 1))" for q in shares]
-    value_at = "max(CASE WHEN {place} - _skip{i} >= _upto - _copies AND {place} - _skip{i} < _upto THEN _v END)"
+    # Values of another bracket do not count.
+    value_at = ("max(CASE WHEN {place} - _skip{i} >= _upto - _copies AND {place} - _skip{i} < _upto "
+                "AND (_low{i} IS NULL OR _v BETWEEN _low{i} AND _high{i}) THEN _v END)")
     ends = [
         F.expr(value_at.format(place=f"{edge}({p})", i=i)).alias(f"_{edge}{i}")
         for i, p in enumerate(place) for edge in ("floor", "ceil")]
@@ -91,7 +94,9 @@ def _ranked_in_brackets(rows: DataFrame, shares: list[float], sized) -> DataFram
         v.between(low(i), F.col("_ends")[2 * i + 1]) for i in range(len(shares))])
     inside = (F.col("_n") <= WHOLE) | inside
     skipped = bracketed.groupBy("_g").agg(F.max("_n").alias("_n"), *[
-        F.count_if(~inside & (v < low(i))).alias(f"_skip{i}") for i in range(len(shares))])
+        F.count_if(~inside & (v < low(i))).alias(f"_skip{i}") for i in range(len(shares))], *[
+        F.max(F.when(F.col("_n") > WHOLE, F.col("_ends")[2 * i + at])).alias(f"_{end}{i}")
+        for i in range(len(shares)) for at, end in enumerate(("low", "high"))])
     kept = bracketed.filter(inside).select("_g", "_v", _slice().alias("_s"))
     return _ranked_in_slices(kept, sized).join(sized(skipped), "_g")
 

@@ -15,12 +15,15 @@ from txnlake.llm.common import whole
 Q = 8
 #: Characters of a passage; longer items are cut into passages that overlap by half.
 PASSAGE = 160
+#: Characters of the windows of an item, and from one window's start to the next. Every excerpt of
+#: WINDOW + STRIDE - 1 characters holds a whole window, wherever it begins.
+WINDOW, STRIDE = 80, 16
 #: Edits that a passage may have for each of its characters.
 EDIT_SHARE = 0.1
 #: Items with fewer characters are no evidence of a leak and match nothing.
 SHORTEST = 40
 #: Diagonals that a band advances by; it is longer by the edit budget, so bands overlap.
-BAND = 32
+BAND = 16
 #: Characters of items in one index, which is what a task holds in memory.
 BLOCK_CHARS = 1 << 20
 #: Characters of texts searched at a time.
@@ -91,13 +94,12 @@ class Passages:
             codes = codes[inside[0]:inside[-1] + 1] if len(inside) else codes[:0]
             if len(codes) < SHORTEST:
                 continue
-            last = max(0, len(codes) - PASSAGE)
-            for start in sorted({*range(0, last, PASSAGE // 2), last}):
-                passage = codes[start:start + PASSAGE]
+            for passage in self._cut(codes, PASSAGE, PASSAGE // 2) + (
+                    self._cut(codes, WINDOW, STRIDE) if len(codes) > WINDOW else []):
                 self.items.append(item)
                 self.codes.append(passage)
                 self.budgets.append(int(len(passage) * EDIT_SHARE))
-        sizes = np.array([len(passage) for passage in self.codes], np.int64)
+        self.sizes = sizes = np.array([len(passage) for passage in self.codes], np.int64)
         self.budgets = np.array(self.budgets, np.int64)
         # Q-gram lemma: so many q-grams stay, in a band of as many diagonals as edits plus one.
         self.least = sizes + 1 - Q * (self.budgets + 1)
@@ -112,6 +114,12 @@ class Passages:
         self.bitmap = np.zeros(1 << BITMAP, bool)
         self.bitmap[self.hashes >> np.uint64(64 - BITMAP)] = True
 
+    @staticmethod
+    def _cut(codes: np.ndarray, size: int, step: int) -> list[np.ndarray]:
+        """Parts of so many codes, one every step and one at the end."""
+        last = max(0, len(codes) - size)
+        return [codes[start:start + size] for start in sorted({*range(0, last, step), last})]
+
     def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(passage, band) pairs that share enough q-grams with the text."""
         hashes = gram_hashes(codes)
@@ -152,26 +160,27 @@ class Passages:
         A cell holds edits and start together; a row takes a substitution, a letter left out and,
         by a running minimum, letters put in.
         """
-        width, size = BAND + 3 * (MOST_EDITS + 1), max(len(one) for one in self.codes)
-        base = band * BAND - PASSAGE - MOST_EDITS
-        lengths = np.array([len(self.codes[one]) for one in passage])
+        lengths, most = self.sizes[passage], int(self.budgets[passage].max())
+        width, size = BAND + 3 * (most + 1), int(lengths.max())
+        base = band * BAND - PASSAGE - most
         letters = np.zeros((len(passage), size), np.uint32)
         for row, one in enumerate(passage):
             letters[row, :lengths[row]] = self.codes[one]
-        step = 1 << 20
-        across = np.arange(width)
-        cells = np.broadcast_to(across, (len(passage), width)).astype(np.int64)
-        result = np.zeros((len(passage), width), np.int64)
-        window = base[:, None] + across
+        place = base[:, None] + np.arange(width + size)
+        around = codes[np.clip(place, 0, len(codes) - 1)]
+        around[(place < 0) | (place >= len(codes))] = 0x110000
+        step = np.int32(1 << 20)
+        across = np.arange(width, dtype=np.int32)
+        cells = np.tile(across, (len(passage), 1))
+        result = np.zeros((len(passage), width), np.int32)
+        ends = set(lengths.tolist())
         for row in range(size):
-            place = window + row
-            inside = (place >= 0) & (place < len(codes))
-            seen = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], 0x110000)
-            following = cells + step * (seen != letters[:, row, None])
+            following = cells + step * (around[:, row:row + width] != letters[:, row, None])
             following[:, :-1] = np.minimum(following[:, :-1], cells[:, 1:] + step)
             cells = np.minimum.accumulate(following - step * across, axis=1) + step * across
-            done = lengths == row + 1
-            result[done] = cells[done]
+            if row + 1 in ends:
+                done = lengths == row + 1
+                result[done] = cells[done]
         best = result.argmin(axis=1)
         value = result[np.arange(len(passage)), best]
         return value // step, base + value % step, base + lengths + best
@@ -183,6 +192,9 @@ class Passages:
         if not len(self.hashes) or len(codes) < Q:
             return [[] for _ in texts]
         passage, band = self.candidates(codes)
+        # Passages of one length are aligned together.
+        order = np.argsort(self.sizes[passage], kind="stable")
+        passage, band = passage[order], band[order]
         for low in range(0, len(passage), ALIGNED):
             part = slice(low, low + ALIGNED)
             edits, first, after = self.align(codes, passage[part], band[part])
@@ -236,9 +248,11 @@ def contamination(rows: DataFrame, benchmark: DataFrame, text: str = "text", ite
                   item_text: str = "text") -> DataFrame:
     """All rows with matches: array<struct<item_id, passages, edits, start, end>>.
 
-    A row matches an item if its whole text holds one of the item's passages (160 characters, the
-    whole item if shorter) with at most a tenth of its characters edited, after lower-casing and
-    turning every run of signs into one space. start and end are characters of the text. Texts
+    A row matches an item if its whole text holds one of the item's passages with at most a tenth
+    of its characters edited, after lower-casing and turning every run of signs into one space.
+    Passages are 160 characters every 80, the whole item if shorter, and 80 characters every 16. So
+    every excerpt of 95 characters or more is found at any offset if at most 8 of them are edited;
+    a longer one may have 8 edits for each whole 80 characters beyond its first 15. start and end are characters of the text. Texts
     that are null or empty match nothing, nor do items without an id or text or with fewer than 40
     characters. Items of equal id are one item. Items are searched in blocks of a million
     characters, each in its own pass over the rows, so a benchmark of any size fits a task. A

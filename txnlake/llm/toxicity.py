@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from txnlake.llm.common import held_out, stage, whole
@@ -17,18 +16,16 @@ from txnlake.llm.common import held_out, stage, whole
 #: Labelled rows of each class that the examples are drawn from, at most. The only bound on data:
 #: it is the sample the classifier is fitted on.
 EXAMPLES = 2048
-#: Terms that are kept: those whose presence depends most on the label.
-TERMS = 512
-#: Least chi-square of a kept term; chance alone exceeds it about once in two million terms.
-LEAST_CHI = 25.0
 #: Neighbours that vote, and the weight of the prior beside them.
 NEIGHBOURS, PRIOR_WEIGHT = 15, 0.25
 #: Examples in a block of the index.
 BLOCK = 64
-#: Texts scored at a time.
-ROWS = 1024
+#: Texts scored at a time, and blocks of each that are read before the bounds decide on the others.
+ROWS, FIRST = 64, 2
 WORD = re.compile(r"[^\W\d_]+")
 EPSILON = 1e-9
+#: Decimals of a cosine, so that the order of sums leaves equal ones equal.
+DECIMALS = 9
 
 
 def words_of(text: str) -> list[str]:
@@ -48,124 +45,153 @@ def sampled(labelled: DataFrame, row_id: str, label: str, most: int) -> tuple[Da
     return parts[0].unionByName(parts[1]), weights
 
 
-def chosen_terms(examples: DataFrame, terms: int = TERMS, least: float = LEAST_CHI) -> list[str]:
-    """Terms of the examples (text, _label) whose presence depends on the label, most dependent first."""
-    @F.pandas_udf("array<string>")
-    def different(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(set(words_of(value))) for value in texts])
+def word_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, word, times) of all different words of the texts; words are 64-bit digests."""
+    found = [Counter(words_of(text)) for text in texts]
+    digests = b"".join([blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest() for one in found for word in one])
+    times = np.array([often for one in found for often in one.values()], np.int64)
+    return np.repeat(np.arange(len(found)), [len(one) for one in found]), np.frombuffer(digests, np.int64), times
 
-    words = stage(examples.select("_label", different("text").alias("words")), "words")
-    totals = {row["_label"]: row["n"] for row in words.groupBy("_label").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = float(totals.get(1, 0)), float(totals.get(0, 0))
-    a, b = F.col("a"), F.col("b")
-    c, d = toxic - a, clean - b
-    below = (a + b) * (c + d) * toxic * clean
-    chi = (toxic + clean) * (a * d - b * c) * (a * d - b * c) / F.nullif(below, F.lit(0.0))
-    found = words.select("_label", F.explode("words").alias("word")).groupBy("word").agg(
-        F.count_if(F.col("_label") == 1).cast("double").alias("a"),
-        F.count_if(F.col("_label") == 0).cast("double").alias("b"))
-    return [row["word"] for row in found.withColumn("chi", chi).filter(F.col("chi") >= least).orderBy(
-        F.desc("chi"), "word").limit(terms).collect()]
+
+def _places(known: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Places of words among sorted known ones, -1 for the others."""
+    if not len(known):
+        return np.full(len(words), -1)
+    spot = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    return np.where(known[spot] == words, spot, -1)
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All places of some ranges, one range after the other."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
 class Index:
-    """Labelled examples as unit TF-IDF vectors in blocks, with the largest weight of each term in a block.
+    """Posting lists of all terms of the examples, in blocks of examples with the largest weight of each block.
 
     No example of a block can have a larger cosine than the product of the query and those
-    weights. Blocks are visited by that bound; a query is done when the next bound is below its
-    last neighbour, so the neighbours are exact.
+    weights. The blocks of the largest bounds are read first; then all blocks whose bound is not
+    below the last neighbour so far, so the neighbours are exact.
     """
 
-    def __init__(self, vectors: np.ndarray, ids: list, labels: np.ndarray, weights: np.ndarray):
-        length = np.linalg.norm(vectors, axis=1)
-        some = np.flatnonzero(length > 0)
-        # Examples with the same strongest term lie together, which makes the bounds tight.
-        order = some[np.lexsort((some, vectors[some].argmax(axis=1)))] if len(some) else some
-        self.vectors = vectors[order] / length[order, None]
-        self.ids, self.labels, self.weights = [ids[place] for place in order], labels[order], weights[order]
-        starts = range(0, len(order), BLOCK)
-        self.most = np.array([self.vectors[low:low + BLOCK].max(axis=0) for low in starts]).reshape(len(starts), vectors.shape[1])
-
-    def nearest(self, queries: np.ndarray, count: int, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, row: np.ndarray, words: np.ndarray, weights: np.ndarray, common: np.ndarray, size: int):
+        self.terms, term = np.unique(words, return_inverse=True)
+        # Examples with the same prevailing word, mostly of one language, lie together, which makes the bounds tight.
+        strongest = np.full(size, -1)
+        order = np.lexsort((term, common))
+        strongest[row[order]] = term[order]
+        self.order = np.lexsort((np.arange(size), strongest))
+        self.size, self.blocks = size, -(-size // BLOCK)
+        place = np.empty(size, np.int64)
+        place[self.order] = np.arange(size)
+        place = place[row]
+        order = np.lexsort((place, term))
+        self.place, self.weight, term = place[order], weights[order], term[order]
+        # A list is a run of postings of one term in one block.
+        lists = term * max(1, self.blocks) + self.place // BLOCK
+        self.first = np.flatnonzero(np.concatenate([[True], lists[1:] != lists[:-1]])) if len(lists) else np.zeros(0, np.int64)
+        self.count = np.diff(np.append(self.first, len(lists)))
+        self.block = self.place[self.first] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, self.first) if len(lists) else self.weight
+        self.lists = np.searchsorted(term[self.first], np.arange(len(self.terms) + 1))
+
+    def nearest(self, size: int, row: np.ndarray, words: np.ndarray, weights: np.ndarray, count: int,
+                left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(cosines, places) of the nearest examples of unit queries; place -1 where there are fewer.
 
         Only cosines above zero count; equal ones are ordered by place. left_out names the place
         of an example that each query must not meet.
         """
-        size = len(queries)
         best, where = np.zeros((size, count)), np.full((size, count), -1)
-        if not len(self.vectors):
+        term = _places(self.terms, words)
+        row, weights, term = row[term >= 0], weights[term >= 0], term[term >= 0]
+        if not len(term):
             return best, where
-        bounds = queries @ self.most.T
-        order = np.argsort(-bounds, axis=1, kind="stable")
-        active = np.arange(size)
-        for turn in range(order.shape[1]):
-            bound = bounds[active, order[active, turn]]
-            active = active[(bound > EPSILON) & (bound >= best[active, -1] - EPSILON)]
-            if not len(active):
-                break
-            blocks = order[active, turn]
-            for block in np.unique(blocks):
-                rows = active[blocks == block]
-                part = slice(block * BLOCK, (block + 1) * BLOCK)
-                found = queries[rows] @ self.vectors[part].T
-                places = np.broadcast_to(np.arange(len(self.vectors))[part], found.shape)
-                if left_out is not None:
-                    found = np.where(places == left_out[rows, None], 0.0, found)
-                self._merge(best, where, rows, found, places)
+        often = self.lists[term + 1] - self.lists[term]
+        entry, row, weights = _ranges(self.lists[term], often), np.repeat(row, often), np.repeat(weights, often)
+        pair = row * self.blocks + self.block[entry]
+        bounds = np.bincount(pair, weights * self.most[entry], size * self.blocks).reshape(size, -1)
+        leading = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
+        read = np.zeros(bounds.shape, bool)
+        np.put_along_axis(read, leading, True, axis=1)
+        found = self._read(size, entry, row, weights, pair, read, left_out)
+        last = np.sort(found, axis=1)[:, -count] if self.size >= count else np.zeros(size)
+        rest = ~read & (bounds >= last[:, None] - 2 * EPSILON)
+        found += self._read(size, entry, row, weights, pair, rest, left_out)
+        last = np.partition(found, -count, axis=1)[:, -count] if self.size >= count else np.zeros(size)
+        own, place = np.nonzero((found >= last[:, None]) & (found > EPSILON))
+        order = np.lexsort((place, -found[own, place], own))
+        own, place = own[order], place[order]
+        rank = np.arange(len(own)) - np.searchsorted(own, own)
+        own, place, rank = own[rank < count], place[rank < count], rank[rank < count]
+        best[own, rank], where[own, rank] = found[own, place], place
         return best, where
 
-    @staticmethod
-    def _merge(best: np.ndarray, where: np.ndarray, rows: np.ndarray, found: np.ndarray, places: np.ndarray) -> None:
-        count = best.shape[1]
-        values = np.concatenate([best[rows], np.where(found > EPSILON, found, 0.0)], axis=1)
-        spots = np.concatenate([where[rows], np.where(found > EPSILON, places, -1)], axis=1)
-        order = np.lexsort((spots, -values), axis=1)[:, :count]
-        best[rows] = np.take_along_axis(values, order, axis=1)
-        where[rows] = np.take_along_axis(spots, order, axis=1)
+    def _read(self, size, entry, row, weights, pair, chosen, left_out) -> np.ndarray:
+        """Cosines with the examples of the chosen blocks, zero elsewhere."""
+        part = chosen.ravel()[pair]
+        entry, often = entry[part], self.count[entry[part]]
+        posting = _ranges(self.first[entry], often)
+        found = np.bincount(np.repeat(row[part], often) * self.size + self.place[posting],
+                            np.repeat(weights[part], often) * self.weight[posting], size * self.size)
+        found = np.round(found.reshape(size, self.size), DECIMALS)
+        if left_out is not None:
+            some = np.flatnonzero(left_out >= 0)
+            found[some, left_out[some]] = 0.0
+        return found
 
 
 class Model:
-    """Weights of the terms, the index and the calibration."""
+    """Document frequencies of all words, the index and the calibration."""
 
-    def __init__(self, terms: int, idf: np.ndarray, ids: list, counts: np.ndarray, labels: np.ndarray,
-                 weights: np.ndarray):
-        self.terms, self.idf = terms, idf
+    def __init__(self, total: int, words: np.ndarray, frequency: np.ndarray, ids: list, texts: list[str],
+                 labels: np.ndarray, weights: np.ndarray):
+        self.total, self.words, self.frequency = total, words, frequency
         self.prior = float((labels * weights).sum() / max(weights.sum(), EPSILON))
-        self.index = Index(self.weighted(counts), ids, labels, weights)
-        self._calibrate(counts, labels, weights, ids)
+        row, own, unit = self.weighted(texts)
+        widespread = np.unique(own, return_inverse=True, return_counts=True)
+        self.index = Index(row, own, unit, unit * widespread[2][widespread[1]], len(ids))
+        order = self.index.order
+        self.ids, self.labels, self.weights = [ids[place] for place in order], labels[order], weights[order]
+        self._calibrate([texts[place] for place in order])
 
-    def weighted(self, counts: np.ndarray) -> np.ndarray:
-        """TF-IDF of counts, with the logarithm of the count as TF."""
-        return np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0) * self.idf
+    def weighted(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, word, weight) of unit TF-IDF vectors of whole texts, with the logarithm of the count as TF.
 
-    def votes(self, counts: np.ndarray, left_out: np.ndarray | None = None):
+        A word that is not among the frequent ones occurs in one text.
+        """
+        row, words, times = word_counts(texts)
+        place = _places(self.words, words)
+        often = np.where(place >= 0, self.frequency[place], 1) if len(self.words) else np.ones(len(words))
+        weights = (1 + np.log(times)) * (np.log((1 + self.total) / (1 + often)) + 1)
+        length = np.sqrt(np.bincount(row, weights * weights, len(texts)))
+        return row, words, weights / length[row]
+
+    def votes(self, texts: list[str], left_out: np.ndarray | None = None):
         """(share of toxic votes, whether there was any neighbour, cosines, places).
 
         A vote has the weight of its cosine, so nearer examples count more.
         """
-        vectors = self.weighted(counts)
-        length = np.linalg.norm(vectors, axis=1)
-        some = length > 0
-        vectors[some] /= length[some, None]
-        near, where = self.index.nearest(vectors, NEIGHBOURS, left_out)
+        near, where = self.index.nearest(len(texts), *self.weighted(texts), NEIGHBOURS, left_out)
         there = where >= 0
-        if len(self.index.labels):
-            power = np.where(there, near * self.index.weights[where], 0.0)
-            toxic = (power * self.index.labels[where]).sum(axis=1)
+        if len(self.labels):
+            power = np.where(there, near * self.weights[where], 0.0)
+            toxic = (power * self.labels[where]).sum(axis=1)
         else:
             power, toxic = np.zeros(near.shape), np.zeros(len(near))
         share = (toxic + PRIOR_WEIGHT * self.prior) / (power.sum(axis=1) + PRIOR_WEIGHT)
         return share, there.any(axis=1), near, where
 
-    def _calibrate(self, counts, labels, weights, ids) -> None:
+    def _calibrate(self, texts: list[str]) -> None:
         """Rising steps from the share of votes to how often such examples are toxic.
 
         Each example votes without itself. Examples without any neighbour have their own share.
         """
-        place = {one: number for number, one in enumerate(self.index.ids)}
-        own = np.array([place.get(one, -2) for one in ids])
-        share, some, _, _ = self.votes(counts, own)
+        labels, weights = self.labels, self.weights
+        parts = [self.votes(texts[low:low + ROWS], np.arange(low, min(low + ROWS, len(texts))))[:2]
+                 for low in range(0, len(texts), ROWS)]
+        share = np.concatenate([part[0] for part in parts]) if parts else np.zeros(0)
+        some = np.concatenate([part[1] for part in parts]) if parts else np.zeros(0, bool)
         lonely = ~some
         total = weights[lonely].sum()
         self.lonely = float(((labels * weights)[lonely].sum() + self.prior) / (total + 1))
@@ -180,9 +206,9 @@ class Model:
         self.edges = np.array([step[0] for step in steps])
         self.levels = np.array([(step[1] + self.prior) / (step[2] + 1) for step in steps])
 
-    def score(self, counts: np.ndarray):
-        """(calibrated score, cosines, places) for rows of term counts."""
-        share, some, near, where = self.votes(counts)
+    def score(self, texts: list[str]):
+        """(calibrated score, cosines, places) of texts."""
+        share, some, near, where = self.votes(texts)
         if len(self.edges):
             level = self.levels[np.maximum(np.searchsorted(self.edges, share, side="right") - 1, 0)]
         else:
@@ -190,50 +216,33 @@ class Model:
         return np.where(some, level, self.lonely), near, where
 
 
-def term_counts(rows: DataFrame, terms: list[str], text: str) -> DataFrame:
-    """Rows with places and times: which of the terms a whole text has, and how often."""
-    lookup = {term: place for place, term in enumerate(terms)}
-
-    @F.pandas_udf("places array<int>, times array<int>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found = [Counter([lookup[word] for word in words_of(value) if word in lookup]) for value in texts]
-        return pd.DataFrame({"places": [list(one) for one in found], "times": [list(one.values()) for one in found]})
-
-    return rows.withColumn("_terms", run(whole(text)))
-
+def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many rows of a partition have each word: one row for each word."""
+    words, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        texts = batch["text"].tolist()
+        found = [word_counts(texts[low:low + ROWS])[1] for low in range(0, len(texts), ROWS)]
+        more, times = np.unique(np.concatenate([words[:0], *found]), return_counts=True)
+        words, place = np.unique(np.concatenate([words, more]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([counts, times]), len(words)).astype(np.int64)
+    yield pd.DataFrame({"word": words, "n": counts})
 
-def dense(places, times, size: int) -> np.ndarray:
-    """Term counts of some rows as a matrix."""
-    result = np.zeros((len(places), size))
-    for row, (own, often) in enumerate(zip(places, times)):
-        result[row, own] = often
-    return result
 
+def learn(texts: DataFrame, examples: DataFrame, row_id: str, weights: dict) -> Model:
+    """A model from the examples (id, text, _label), with document frequencies over all texts.
 
-def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How many rows of a partition have each term: one row for each term."""
-    found = np.zeros(0, np.int64)
-    for batch in batches:
-        places = [*batch["places"], found[:0]]
-        counts = np.bincount(np.concatenate(places).astype(np.int64), minlength=len(found))
-        counts[:len(found)] += found
-        found = counts
-    yield pd.DataFrame({"place": np.flatnonzero(found), "n": found[found > 0]})
-
-
-def learn(counted: DataFrame, picked: DataFrame, row_id: str, terms: int, weights: dict) -> Model:
-    """A model from the picked rows (id, _label), with document frequencies over all rows."""
-    total = counted.count()
-    frequency = {row["place"]: row["n"] for row in counted.select("_terms.places").mapInPandas(
-        _frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([math.log((1 + total) / (1 + frequency.get(place, 0))) + 1 for place in range(terms)])
-    # At most 2 * most small rows; of a repeated id the row with the smallest counts.
-    rows = counted.join(picked, row_id).groupBy(row_id).agg(
-        F.min("_terms").alias("_terms"), F.max("_label").alias("_label")).collect()
+    The driver and each task hold a number and a count for every word of two texts or more.
+    """
+    frequency = texts.mapInPandas(_frequencies, "word long, n long").groupBy("word").agg(
+        F.sum("n").alias("n")).filter("n > 1").toArrow()
+    words, often = (np.asarray(frequency[name].to_numpy()) for name in ("word", "n"))
+    order = np.argsort(words)
+    # At most 2 * most rows; of a repeated id the smallest text.
+    rows = examples.groupBy(row_id).agg(F.min("text").alias("text"), F.max("_label").alias("_label")).collect()
     rows = sorted(rows, key=lambda row: row[0])
-    counts = dense([row["_terms"]["places"] for row in rows], [row["_terms"]["times"] for row in rows], terms)
     kinds = np.array([float(row["_label"]) for row in rows])
-    return Model(terms, idf, [row[0] for row in rows], counts, kinds, np.array([weights[int(kind)] for kind in kinds]))
+    return Model(texts.count(), words[order], often[order], [row[0] for row in rows], [row["text"] for row in rows],
+                 kinds, np.array([weights[int(kind)] for kind in kinds]))
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, text: str = "text", row_id: str = "doc_id", label: str = "toxic",
@@ -243,7 +252,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, text: str = "text", row_id
     Examples are labelled rows that are not held out: at most `most` of each class. A score reads
     the text alone: its nearest examples by TF-IDF cosine vote with their cosines, and the share
     of toxic votes is calibrated by how the examples fare among each other. Texts that are null,
-    empty or without any kept term have no neighbours and share one low score. evidence lists the
+    empty or without any word of an example have no neighbours and share one low score. evidence lists the
     nearest examples as (id, cosine, label). keep names the columns that pass through, all by
     default. An id with several labels is toxic if any of them
     says so; without any labels all scores are 0. Columns named like the results are replaced.
@@ -256,28 +265,27 @@ def toxicity(documents: DataFrame, labels: DataFrame, text: str = "text", row_id
     picked, weights = sampled(present, row_id, "_label", most)
     # At most 2 * most rows, by the two limits above.
     picked = F.broadcast(stage(picked, "examples"))
-    terms = chosen_terms(documents.join(picked, row_id).select("_label", whole(text).alias("text")))
-    counted = stage(term_counts(documents, terms, text).select(*keep, "_terms"), "terms")
-    model = learn(counted, picked, row_id, len(terms), weights)
-    size, names = len(terms), model.index.ids
+    known = documents.join(picked, row_id).select(row_id, "_label", whole(text).alias("text"))
+    model = learn(documents.select(whole(text).alias("text")), known, row_id, weights)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("score double, evidence array<struct<id:long,cosine:double,label:int>>")
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = shared.value
         for batch in batches:
-            scores, evidence = np.zeros(len(batch)), []
-            places, times = batch["places"].tolist(), batch["times"].tolist()
-            for low in range(0, len(batch), ROWS):
+            scores, evidence, texts = np.zeros(len(batch)), [], batch.tolist()
+            for low in range(0, len(texts), ROWS):
                 part = slice(low, low + ROWS)
-                scores[part], near, where = model.score(dense(places[part], times[part], size))
+                scores[part], near, where = own.score(texts[part])
                 for row_near, row_where in zip(near, where):
-                    evidence.append([{"id": names[spot], "cosine": cosine, "label": int(model.index.labels[spot])}
+                    evidence.append([{"id": own.ids[spot], "cosine": cosine, "label": int(own.labels[spot])}
                                      for cosine, spot in zip(row_near.tolist(), row_where.tolist()) if spot >= 0])
             yield pd.DataFrame({"score": scores, "evidence": evidence})
 
     if not model.prior:
-        scored = counted.withColumn("_found", F.struct(F.lit(0.0).alias("score"), F.array().cast(
+        scored = documents.withColumn("_found", F.struct(F.lit(0.0).alias("score"), F.array().cast(
             "array<struct<id:long,cosine:double,label:int>>").alias("evidence")))
     else:
-        scored = counted.withColumn("_found", run("_terms"))
+        scored = documents.withColumn("_found", run(whole(text)))
     return scored.select(*keep, held_out(row_id).alias("held_out"), F.col("_found.score").alias("score"),
                          (F.col("_found.score") >= 0.3).cast("int").alias("predicted"), F.col("_found.evidence").alias("evidence"))

@@ -12,7 +12,7 @@ from txnlake.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql(spark, folder, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations", "embeddings"):
+    for table in ("documents", "conversations", "embeddings", "labels"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     result = connection.execute(ORACLE[name])
     names = [one[0] for one in result.description]

@@ -70,8 +70,37 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
     e.vec_id = m.component_id AS kept
 FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON e.vec_id = m.a"""
 
+# Keys of the sample come from MD5, so the whole mix can be followed: shares by filling up, then a running sum.
+MIX = r"""
+WITH quality AS (SELECT doc_id, CASE max(quality) WHEN 1 THEN 2.0 ELSE 0.5 END AS quality FROM labels
+    WHERE doc_id IS NOT NULL AND quality IN (0, 1) GROUP BY doc_id),
+sized AS (SELECT d.doc_id, d.source, len(regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST(coalesce(q.quality, 1.0) AS DOUBLE) AS quality, md5(coalesce(d.text, '')) AS digest
+    FROM documents d LEFT JOIN quality q ON d.doc_id = q.doc_id),
+keyed AS (SELECT *, -ln((CAST('0x' || substr(md5(concat_ws(':', 'mix', coalesce(CAST(doc_id AS VARCHAR), ''), size, digest)), 1, 13)
+    AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / quality AS real FROM sized),
+rows AS (SELECT *, CAST(least(floor(real / (real + 1) * 1152921504606846976::DOUBLE), 1152921504606846975) AS BIGINT) AS key FROM keyed),
+numbered AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number
+    FROM rows GROUP BY source),
+weighted AS (SELECT *, CASE number % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS weight FROM numbered),
+filled AS (SELECT *, coalesce(sum(3 * source_size) OVER below, 0) AS held, coalesce(sum(weight) OVER below, 0) AS gone,
+    sum(source_size) OVER () AS total, sum(weight) OVER () AS weights FROM weighted
+    WINDOW below AS (ORDER BY source_size / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+rates AS (SELECT min(CAST(total - held AS DOUBLE) / CAST(weights - gone AS DOUBLE)) AS rate FROM filled
+    WHERE CAST(total - held AS DOUBLE) / CAST(weights - gone AS DOUBLE) * weight <= 3 * source_size),
+aimed AS (SELECT source, CAST(source_size AS BIGINT) AS source_size,
+    least(weight * coalesce(rate, 0), CAST(3 * source_size AS DOUBLE)) AS target FROM filled, rates),
+running AS (SELECT r.doc_id, r.size, a.source_size, a.target, CAST(floor(a.target + 0.5) AS BIGINT) AS budget,
+    coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key, r.doc_id NULLS FIRST, r.size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM rows r JOIN aimed a ON r.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+    budget // source_size * size + least(size, greatest(0, budget % source_size - before)) END AS BIGINT) AS taken
+FROM running"""
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": _secrets(),
     "op5_preference_format": PREFERENCES,
     "op7_embedding_tiles": EMBEDDINGS,
+    "op11_source_mix": MIX,
 }

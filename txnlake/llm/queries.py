@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnlake.llm import bpe, chat, decontaminate, embeddings, language, records, secret_scan, sharding, simhash, toxicity
-from txnlake.llm.common import fresh_folder, table
+from txnlake.llm import (bpe, chat, decontaminate, embeddings, language, mixing, records, runs, secret_scan, sharding,
+                         simhash, toxicity, whitening)
+from txnlake.llm.common import fresh_folder, id_text, table, whole
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -85,8 +86,50 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("row_id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of all documents the mix takes; good documents are drawn four times as often as bad ones."""
+    known = table(spark, sf_dir, "labels").filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+    qualities = known.groupBy("doc_id").agg(F.when(F.max("quality") == 1, 2.0).otherwise(0.5).alias("quality"))
+    taken = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), qualities=qualities)
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _with_planted_runs(doc_id: str, text: str):
+    """The text as the contract has it: in a tenth of the documents the words from one on repeat with some period."""
+    # Lambda variables hold what would otherwise be worked out again for every word.
+    planted = r"""transform(array(filter(split(whole, '[\\x20\\x09-\\x0D]+'), w -> w != '')), w -> CASE WHEN size(w) = 0 THEN '' ELSE
+        transform(array(named_struct('a', g % size(w), 'p', 1 + (size(w) - g % size(w)) div (3 + g % 8))), at -> array_join(
+            transform(sequence(0, size(w) - 1), i -> w[cast(if(i < at.a, i, at.a + (i - at.a) % at.p) AS int)]), ' '))[0] END)[0]"""
+    h = F.crc32(F.encode(id_text(doc_id), "UTF-8"))
+    return lambda rows: rows.select(doc_id, whole(text).alias("whole"), h.alias("h"), F.expr("0L").alias("g")).withColumn(
+        "g", F.floor(F.col("h") / 10)).select(doc_id, F.when(F.col("h") % 10 == 0, F.expr(planted)).otherwise(F.col("whole")).alias("text"))
+
+
+def op12_square_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in all documents, and what is left without their repeats, as digests."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text").transform(_with_planted_runs("doc_id", "text"))
+    found = runs.periodic_runs(documents).drop("text")
+    longest = F.array_max(F.transform("runs", lambda one: F.struct(
+        one["length"].alias("length"), (-one["start"]).alias("start"), (-one["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda one: F.concat(
+        F.concat_ws(",", one["start"].cast("string"), one["length"].cast("string"), one["period"].cast("string")), F.lit("\n"))), "")
+    told = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("most"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return told.select("doc_id", "n_runs", (-F.col("most.start")).alias("start"), F.col("most.length").alias("length"),
+                       (-F.col("most.period")).alias("period"),
+                       F.floor(1000 * F.col("most.length") / -F.col("most.period")).alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings, projected on the eight leading components and scaled to unit variance."""
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_secret_scan, op2_histogram_shards, op3_rank_order_language, op4_nearest_toxicity, op5_preference_format,
-        op6_simhash, op7_embedding_tiles, op8_decontaminate, op9_bpe, op10_token_records)
+        op6_simhash, op7_embedding_tiles, op8_decontaminate, op9_bpe, op10_token_records, op11_source_mix, op12_square_runs,
+        op13_whitening)
 }

@@ -83,10 +83,10 @@ rows AS (SELECT *, CAST(least(floor(real / (real + 1) * 1152921504606846976::DOU
 numbered AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number
     FROM rows GROUP BY source),
 weighted AS (SELECT *, CASE number % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS weight FROM numbered),
-filled AS (SELECT *, coalesce(sum(3 * source_size) OVER below, 0) AS held, coalesce(sum(weight) OVER below, 0) AS gone,
+filled AS (SELECT *, row_number() OVER (ORDER BY source_size / weight, number) AS place, coalesce(sum(3 * source_size) OVER below, 0) AS held, coalesce(sum(weight) OVER below, 0) AS gone,
     sum(source_size) OVER () AS total, sum(weight) OVER () AS weights FROM weighted
     WINDOW below AS (ORDER BY source_size / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-rates AS (SELECT min(CAST(total - held AS DOUBLE) / CAST(weights - gone AS DOUBLE)) AS rate FROM filled
+rates AS (SELECT arg_min(CAST(total - held AS DOUBLE) / CAST(weights - gone AS DOUBLE), place) AS rate FROM filled
     WHERE CAST(total - held AS DOUBLE) / CAST(weights - gone AS DOUBLE) * weight <= 3 * source_size),
 aimed AS (SELECT source, CAST(source_size AS BIGINT) AS source_size,
     least(weight * coalesce(rate, 0), CAST(3 * source_size AS DOUBLE)) AS target FROM filled, rates),

@@ -312,18 +312,17 @@ def _slices(sizes: list[int]) -> list[tuple[int, int]]:
     return [*result, (start, len(sizes))] if start < len(sizes) else result
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0] + [len(row) for row in rows])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *rows]), pa.int32()))
+
+
 def encoded(text: Column, path: str) -> Column:
     """Ids of whole texts as array<int>; a null text is the empty text and has none."""
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
         own, values = codec(path), texts.to_pylist()
-        offsets, ids = [0], []
-        for start, end in _slices([len(value) for value in values]):
-            for row in own.encode(values[start:end]):
-                ids.append(row)
-                offsets.append(offsets[-1] + len(row))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+        return _lists([row for start, end in _slices([len(value) for value in values]) for row in own.encode(values[start:end])])
 
     return run(whole(text))
 
@@ -337,3 +336,15 @@ def decoded(ids: Column, path: str) -> Column:
         return pa.array([own.decode(row.values.drop_null().to_numpy() if row.is_valid else none) for row in rows], pa.string())
 
     return run(ids)
+
+
+def round_trip(text: Column, path: str) -> Column:
+    """struct(ids, decoded): `encoded` and `decoded` of whole texts in one call, so each text is encoded once."""
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def run(texts: pa.Array) -> pa.Array:
+        own, values, ids = codec(path), texts.to_pylist(), []
+        for start, end in _slices([len(value) for value in values]):
+            ids += own.encode(values[start:end])
+        return pa.StructArray.from_arrays([_lists(ids), pa.array([own.decode(row) for row in ids], pa.string())], names=["ids", "decoded"])
+
+    return run(whole(text))

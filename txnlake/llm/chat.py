@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from txnlake.llm.common import whole
 
-PIECE = "<|{}|>\n{}\n"
-
 
 def rendered(role: Column, text: Column) -> Column:
     """A turn in the chat template."""

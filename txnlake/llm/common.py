@@ -41,16 +41,3 @@ def held_out(column: Column | str) -> Column:
 def whole(text: Column | str) -> Column:
     """A text, empty where it is null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-
-
-def spread(rows: DataFrame, column: str) -> DataFrame:
-    """Deal rows of a heavy task over all cores where the input has fewer splits than cores."""
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores, column) if len(rows.inputFiles()) < cores else rows
-
-
-def plain_columns(rows: DataFrame, taken: list[str]) -> list[str]:
-    """Columns that can pass through beside the result columns: those without a clashing name."""
-    lowered = {name.lower() for name in taken}
-    return [name for name in rows.columns if name.lower() not in lowered]

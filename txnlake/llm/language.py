@@ -27,7 +27,7 @@ BORDER = 1
 def _letters() -> np.ndarray:
     """The code of each letter; BORDER for any other character."""
     codes = np.full(0x110000, BORDER, np.int64)
-    known = np.fromiter((code for code in range(0x32000) if chr(code).isalpha()), np.int64)
+    known = np.fromiter((code for code in range(0x110000) if chr(code).isalpha()), np.int64)
     codes[known] = known
     return codes
 
@@ -45,8 +45,10 @@ def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths[0] += 1
     owner = np.repeat(np.arange(len(parts)), lengths)
     letter = codes != BORDER
+    # A border stays after a letter, and before the first text, so every word has one on each side.
     keep = letter.copy()
     keep[1:] |= letter[:-1]
+    keep[0] = True
     # Characters get small numbers in their order, so that an n-gram and its text fit one long.
     alphabet = np.union1d([0, BORDER], np.flatnonzero(np.bincount(codes)))
     size = len(alphabet)
@@ -177,7 +179,8 @@ def identify(rows: DataFrame, text: str = "text", lang: str = "lang", row_id: st
     """All rows with held_out, lang_pred and score.
 
     Profiles are learned from all rows that are not held out and have a language; a prediction
-    reads the text alone. Ids may be null or repeated. Without any profile every text is `und`.
+    reads the text alone, whatever lies beside it in a batch. A task holds some dozens of bytes for each
+    character of a slice of its texts, or of one longer text. Ids may be null or repeated. Without any profile every text is `und`.
     Columns of the input named like the results are replaced.
     """
     rows = rows.drop("held_out", "lang_pred", "score")

@@ -11,6 +11,8 @@ from tokenizers import Tokenizer
 #: than 0-9. Texts with any other character are split by the tokenizer itself, with the same result.
 COMMON = re.compile("[\t-\r\x20-\x7e\x85\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞]*")
 LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+#: Lower-casing turns some of these into letters beyond, so words have those as well.
+LETTER += "".join(sorted({low for code in range(0x250) if len(low := chr(code).lower()) == 1 and ord(low) > 0x24F}))
 WORDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\\s0-9{LETTER}]+"
 PIECES = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\\s+(?!\\S)|\\s+")
 #: Words a worker remembers; longer ones than LONG are not remembered.

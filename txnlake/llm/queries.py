@@ -72,11 +72,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and what they decode to, as digests."""
-    path = public_tokenizers.path(WORD_VOCABULARY)
-    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text"), path).alias("ids"))
-    return coded.withColumn("decoded", bpe.decoded(F.col("ids"), path)).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = table(spark, sf_dir, "documents").select(
+        "doc_id", bpe.round_trip(F.col("text"), public_tokenizers.path(WORD_VOCABULARY)).alias("coded"))
+    return coded.select(
+        "doc_id", F.size("coded.ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("coded.ids", " "), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,10 +52,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and the digest of what the ids decode to."""
-    path = public_tokenizers.path(VOCABULARY)
-    coded = docs.select("doc_id", bpe.encoded(F.col("text"), path).alias("ids"))
-    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                        F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"))
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), public_tokenizers.path(VOCABULARY)).alias("coded"))
+    return coded.select("doc_id", "coded.ids", F.size("coded.ids").cast("long").alias("n_tokens"),
+                        F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

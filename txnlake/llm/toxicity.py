@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from txnlake.llm.common import held_out, stage, whole
@@ -21,16 +22,25 @@ NEIGHBOURS, PRIOR_WEIGHT = 15, 0.25
 #: Examples in a block of the index.
 BLOCK = 64
 #: Texts scored at a time, and blocks of each that are read before the bounds decide on the others.
-ROWS, FIRST = 64, 2
+ROWS, FIRST = 128, 2
+#: The terms with the longest posting lists have them as dense rows of each block, if at least one example in HOT_SHARE
+#: has the term. This changes work only.
+HOT_TERMS, HOT_SHARE = 512, 16
 WORD = re.compile(r"[^\W\d_]+")
+#: Texts of these characters have no other letters than a-z and those beyond ASCII, so bytes can be split faster.
+PLAIN = re.compile("[\0-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u024f]*")
+SIGNS = bytes(code if code >= 0x80 or chr(code).isalpha() else 0x20 for code in range(256))
 EPSILON = 1e-9
 #: Decimals of a cosine, so that the order of sums leaves equal ones equal.
 DECIMALS = 9
 
 
-def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
-    return WORD.findall(text.lower())
+def words_of(text: str) -> list[bytes]:
+    """Runs of letters, in lower case and UTF-8."""
+    low = text.lower()
+    if PLAIN.fullmatch(low):
+        return low.encode().translate(SIGNS).split()
+    return [word.encode("utf-8", "surrogatepass") for word in WORD.findall(low)]
 
 
 def sampled(labelled: DataFrame, row_id: str, label: str, most: int) -> tuple[DataFrame, dict[int, float]]:
@@ -45,20 +55,30 @@ def sampled(labelled: DataFrame, row_id: str, label: str, most: int) -> tuple[Da
     return parts[0].unionByName(parts[1]), weights
 
 
-def word_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, word, times) of all different words of the texts; words are 64-bit digests."""
-    found = [Counter(words_of(text)) for text in texts]
-    digests = b"".join([blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest() for one in found for word in one])
-    times = np.array([often for one in found for often in one.values()], np.int64)
-    return np.repeat(np.arange(len(found)), [len(one) for one in found]), np.frombuffer(digests, np.int64), times
+class Vocabulary:
+    """The words of the examples, in order, with their places."""
 
+    def __init__(self, texts: list[str]):
+        self.words = sorted(set(chain.from_iterable(map(words_of, texts))))
+        self.place = {word: place for place, word in enumerate(self.words)}
 
-def _places(known: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Places of words among sorted known ones, -1 for the others."""
-    if not len(known):
-        return np.full(len(words), -1)
-    spot = np.minimum(np.searchsorted(known, words), len(known) - 1)
-    return np.where(known[spot] == words, spot, -1)
+    def __reduce__(self):
+        # Only the words travel.
+        return _vocabulary, (self.words,)
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place, times) of all different words of the texts; place -1 for words that no example has."""
+        found = [Counter(words_of(text)) for text in texts]
+        sizes = [len(one) for one in found]
+        place = np.fromiter(map(self.place.get, chain.from_iterable(found), repeat(-1)), np.int64, sum(sizes))
+        times = np.fromiter(chain.from_iterable(one.values() for one in found), np.int64, sum(sizes))
+        return np.repeat(np.arange(len(found)), sizes), place, times
+
+
+def _vocabulary(words: list[bytes]) -> Vocabulary:
+    own = Vocabulary([])
+    own.words, own.place = words, {word: place for place, word in enumerate(words)}
+    return own
 
 
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -71,11 +91,11 @@ class Index:
 
     No example of a block can have a larger cosine than the product of the query and those
     weights. The blocks of the largest bounds are read first; then all blocks whose bound is not
-    below the last neighbour so far, so the neighbours are exact.
+    below the last neighbour so far, so the neighbours are exact. The longest lists are dense in
+    each block, so their part of a block is a product of matrices.
     """
 
-    def __init__(self, row: np.ndarray, words: np.ndarray, weights: np.ndarray, common: np.ndarray, size: int):
-        self.terms, term = np.unique(words, return_inverse=True)
+    def __init__(self, row: np.ndarray, term: np.ndarray, weights: np.ndarray, common: np.ndarray, size: int, terms: int):
         # Examples with the same prevailing word, mostly of one language, lie together, which makes the bounds tight.
         strongest = np.full(size, -1)
         order = np.lexsort((term, common))
@@ -85,6 +105,16 @@ class Index:
         place = np.empty(size, np.int64)
         place[self.order] = np.arange(size)
         place = place[row]
+        often = np.bincount(term, minlength=terms)
+        hot = np.flatnonzero(often * HOT_SHARE >= size)
+        hot = np.sort(hot[np.argsort(-often[hot], kind="stable")[:HOT_TERMS]])
+        self.hot = np.full(terms, -1)
+        self.hot[hot] = np.arange(len(hot))
+        self.dense = np.zeros((self.blocks, len(hot), BLOCK))
+        own = self.hot[term] >= 0
+        self.dense[place[own] // BLOCK, self.hot[term[own]], place[own] % BLOCK] = weights[own]
+        self.dense_most = self.dense.max(axis=2, initial=0.0).T
+        term, place, weights = term[~own], place[~own], weights[~own]
         order = np.lexsort((place, term))
         self.place, self.weight, term = place[order], weights[order], term[order]
         # A list is a run of postings of one term in one block.
@@ -93,9 +123,9 @@ class Index:
         self.count = np.diff(np.append(self.first, len(lists)))
         self.block = self.place[self.first] // BLOCK
         self.most = np.maximum.reduceat(self.weight, self.first) if len(lists) else self.weight
-        self.lists = np.searchsorted(term[self.first], np.arange(len(self.terms) + 1))
+        self.lists = np.searchsorted(term[self.first], np.arange(terms + 1))
 
-    def nearest(self, size: int, row: np.ndarray, words: np.ndarray, weights: np.ndarray, count: int,
+    def nearest(self, size: int, row: np.ndarray, term: np.ndarray, weights: np.ndarray, count: int,
                 left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(cosines, places) of the nearest examples of unit queries; place -1 where there are fewer.
 
@@ -103,21 +133,23 @@ class Index:
         of an example that each query must not meet.
         """
         best, where = np.zeros((size, count)), np.full((size, count), -1)
-        term = _places(self.terms, words)
-        row, weights, term = row[term >= 0], weights[term >= 0], term[term >= 0]
-        if not len(term):
+        if not len(term) or not self.size:
             return best, where
+        hot = self.hot[term]
+        queries = np.zeros((size, self.dense.shape[1]))
+        queries[row[hot >= 0], hot[hot >= 0]] = weights[hot >= 0]
+        row, term, weights = row[hot < 0], term[hot < 0], weights[hot < 0]
         often = self.lists[term + 1] - self.lists[term]
         entry, row, weights = _ranges(self.lists[term], often), np.repeat(row, often), np.repeat(weights, often)
         pair = row * self.blocks + self.block[entry]
-        bounds = np.bincount(pair, weights * self.most[entry], size * self.blocks).reshape(size, -1)
+        bounds = np.bincount(pair, weights * self.most[entry], size * self.blocks).reshape(size, -1) + queries @ self.dense_most
         leading = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
         read = np.zeros(bounds.shape, bool)
         np.put_along_axis(read, leading, True, axis=1)
-        found = self._read(size, entry, row, weights, pair, read, left_out)
-        last = np.sort(found, axis=1)[:, -count] if self.size >= count else np.zeros(size)
+        found = self._read(size, queries, entry, row, weights, pair, read, left_out)
+        last = np.partition(found, -count, axis=1)[:, -count] if self.size >= count else np.zeros(size)
         rest = ~read & (bounds >= last[:, None] - 2 * EPSILON)
-        found += self._read(size, entry, row, weights, pair, rest, left_out)
+        found += self._read(size, queries, entry, row, weights, pair, rest, left_out)
         last = np.partition(found, -count, axis=1)[:, -count] if self.size >= count else np.zeros(size)
         own, place = np.nonzero((found >= last[:, None]) & (found > EPSILON))
         order = np.lexsort((place, -found[own, place], own))
@@ -127,14 +159,17 @@ class Index:
         best[own, rank], where[own, rank] = found[own, place], place
         return best, where
 
-    def _read(self, size, entry, row, weights, pair, chosen, left_out) -> np.ndarray:
+    def _read(self, size, queries, entry, row, weights, pair, chosen, left_out) -> np.ndarray:
         """Cosines with the examples of the chosen blocks, zero elsewhere."""
         part = chosen.ravel()[pair]
         entry, often = entry[part], self.count[entry[part]]
-        posting = _ranges(self.first[entry], often)
-        found = np.bincount(np.repeat(row[part], often) * self.size + self.place[posting],
-                            np.repeat(weights[part], often) * self.weight[posting], size * self.size)
-        found = np.round(found.reshape(size, self.size), DECIMALS)
+        posting, width = _ranges(self.first[entry], often), self.blocks * BLOCK
+        found = np.bincount(np.repeat(row[part], often) * width + self.place[posting],
+                            np.repeat(weights[part], often) * self.weight[posting], size * width).reshape(size, self.blocks, BLOCK)
+        for block in np.flatnonzero(chosen.any(axis=0)):
+            own = np.flatnonzero(chosen[:, block])
+            found[own, block] += queries[own] @ self.dense[block]
+        found = np.round(found.reshape(size, width)[:, :self.size], DECIMALS)
         if left_out is not None:
             some = np.flatnonzero(left_out >= 0)
             found[some, left_out[some]] = 0.0
@@ -142,30 +177,33 @@ class Index:
 
 
 class Model:
-    """Document frequencies of all words, the index and the calibration."""
+    """The words of the examples with their document frequencies, the index and the calibration."""
 
-    def __init__(self, total: int, words: np.ndarray, frequency: np.ndarray, ids: list, texts: list[str],
+    def __init__(self, total: int, vocabulary: Vocabulary, frequency: np.ndarray, ids: list, texts: list[str],
                  labels: np.ndarray, weights: np.ndarray):
-        self.total, self.words, self.frequency = total, words, frequency
+        self.total, self.vocabulary = total, vocabulary
+        self.rarity = np.log((1 + total) / (1 + frequency)) + 1
+        self.unseen = float(np.log((1 + total) / 2) + 1)
         self.prior = float((labels * weights).sum() / max(weights.sum(), EPSILON))
         row, own, unit = self.weighted(texts)
-        widespread = np.unique(own, return_inverse=True, return_counts=True)
-        self.index = Index(row, own, unit, unit * widespread[2][widespread[1]], len(ids))
+        often = np.bincount(own, minlength=len(vocabulary.words))
+        self.index = Index(row, own, unit, unit * often[own], len(ids), len(vocabulary.words))
         order = self.index.order
         self.ids, self.labels, self.weights = [ids[place] for place in order], labels[order], weights[order]
         self._calibrate([texts[place] for place in order])
 
     def weighted(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, word, weight) of unit TF-IDF vectors of whole texts, with the logarithm of the count as TF.
+        """(row, place, weight) of unit TF-IDF vectors of whole texts, with the logarithm of the count as TF.
 
-        A word that is not among the frequent ones occurs in one text.
+        A word that no example has counts for the length of a text like one that occurs in one text.
         """
-        row, words, times = word_counts(texts)
-        place = _places(self.words, words)
-        often = np.where(place >= 0, self.frequency[place], 1) if len(self.words) else np.ones(len(words))
-        weights = (1 + np.log(times)) * (np.log((1 + self.total) / (1 + often)) + 1)
+        row, place, times = self.vocabulary.counts(texts)
+        known = place >= 0
+        weights = 1 + np.log(times)
+        weights[known] *= self.rarity[place[known]]
+        weights[~known] *= self.unseen
         length = np.sqrt(np.bincount(row, weights * weights, len(texts)))
-        return row, words, weights / length[row]
+        return row[known], place[known], weights[known] / length[row[known]]
 
     def votes(self, texts: list[str], left_out: np.ndarray | None = None):
         """(share of toxic votes, whether there was any neighbour, cosines, places).
@@ -216,33 +254,42 @@ class Model:
         return np.where(some, level, self.lonely), near, where
 
 
-def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How many rows of a partition have each word: one row for each word."""
-    words, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for batch in batches:
-        texts = batch["text"].tolist()
-        found = [word_counts(texts[low:low + ROWS])[1] for low in range(0, len(texts), ROWS)]
-        more, times = np.unique(np.concatenate([words[:0], *found]), return_counts=True)
-        words, place = np.unique(np.concatenate([words, more]), return_inverse=True)
-        counts = np.bincount(place, np.concatenate([counts, times]), len(words)).astype(np.int64)
-    yield pd.DataFrame({"word": words, "n": counts})
+def document_frequencies(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """How many of all texts have each word of a vocabulary.
+
+    A task holds one count for each word of the vocabulary, whatever its texts hold.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = shared.value.place
+        totals = np.zeros(len(place), np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                found = [spot for spot in map(place.get, set(words_of(text))) if spot is not None]
+                totals[found] += 1
+        some = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_pydict({"place": some.astype(np.int32), "n": totals[some]})
+
+    found = texts.mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    result = np.zeros(len(vocabulary.words), np.int64)
+    result[found["place"].to_numpy()] = found["n"].to_numpy()
+    return result
 
 
 def learn(texts: DataFrame, examples: DataFrame, row_id: str, weights: dict) -> Model:
     """A model from the examples (id, text, _label), with document frequencies over all texts.
 
-    The driver and each task hold a number and a count for every word of two texts or more.
+    The driver and each task hold the words of the examples, so their memory follows the documented
+    number of examples and not the corpus.
     """
-    frequency = texts.mapInPandas(_frequencies, "word long, n long").groupBy("word").agg(
-        F.sum("n").alias("n")).filter("n > 1").toArrow()
-    words, often = (np.asarray(frequency[name].to_numpy()) for name in ("word", "n"))
-    order = np.argsort(words)
     # At most 2 * most rows; of a repeated id the smallest text.
     rows = examples.groupBy(row_id).agg(F.min("text").alias("text"), F.max("_label").alias("_label")).collect()
     rows = sorted(rows, key=lambda row: row[0])
     kinds = np.array([float(row["_label"]) for row in rows])
-    return Model(texts.count(), words[order], often[order], [row[0] for row in rows], [row["text"] for row in rows],
-                 kinds, np.array([weights[int(kind)] for kind in kinds]))
+    vocabulary = Vocabulary([row["text"] for row in rows])
+    return Model(texts.count(), vocabulary, document_frequencies(texts, vocabulary), [row[0] for row in rows],
+                 [row["text"] for row in rows], kinds, np.array([weights[int(kind)] for kind in kinds]))
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, text: str = "text", row_id: str = "doc_id", label: str = "toxic",

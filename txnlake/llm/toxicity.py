@@ -68,11 +68,14 @@ class Vocabulary:
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, place, times) of all different words of the texts; place -1 for words that no example has."""
-        found = [Counter(words_of(text)) for text in texts]
-        sizes = [len(one) for one in found]
-        place = np.fromiter(map(self.place.get, chain.from_iterable(found), repeat(-1)), np.int64, sum(sizes))
-        times = np.fromiter(chain.from_iterable(one.values() for one in found), np.int64, sum(sizes))
-        return np.repeat(np.arange(len(found)), sizes), place, times
+        places, times = [], []
+        for text in texts:
+            found = Counter(words_of(text))
+            places.append(np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found)))
+            times.append(np.fromiter(found.values(), np.int64, len(found)))
+        none = np.zeros(0, np.int64)
+        return (np.repeat(np.arange(len(texts)), [len(one) for one in places]), np.concatenate([none, *places]),
+                np.concatenate([none, *times]))
 
 
 def _vocabulary(words: list[bytes]) -> Vocabulary:
@@ -165,7 +168,8 @@ class Index:
         entry, often = entry[part], self.count[entry[part]]
         posting, width = _ranges(self.first[entry], often), self.blocks * BLOCK
         found = np.bincount(np.repeat(row[part], often) * width + self.place[posting],
-                            np.repeat(weights[part], often) * self.weight[posting], size * width).reshape(size, self.blocks, BLOCK)
+                            np.repeat(weights[part], often) * self.weight[posting], size * width)
+        found = found.astype(np.float64, copy=False).reshape(size, self.blocks, BLOCK)
         for block in np.flatnonzero(chosen.any(axis=0)):
             own = np.flatnonzero(chosen[:, block])
             found[own, block] += queries[own] @ self.dense[block]

@@ -11,6 +11,8 @@ from txnlake.llm import bpe, decontaminate, secret_scan, simhash, toxicity
 from txnlake.llm.common import fresh_folder, stage, table
 
 VOCABULARY = "word_bpe_49k.json"
+#: Characters of a text that a match must span to be a leak; single words and short phrases of a benchmark are none.
+LEAST_LEAK = 40
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -34,9 +36,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item."""
+    """Documents that hold no passage of a benchmark item of 40 characters or more."""
     found = decontaminate.contamination(_packed(docs), table(spark, sf_dir, "benchmark"))
-    return found.filter(F.size("matches") == 0).select("_row.*")
+    leaks = F.filter("matches", lambda one: one["end"] - one["start"] >= LEAST_LEAK)
+    return found.filter(F.size(leaks) == 0).select("_row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 QUERIES = {name: query for name, query in entry_point.queries().items() if name in REGISTERED}
 ORACLE = {name: sql for name, sql in entry_point.oracle_sql().items() if name in REGISTERED}
-# Forest and run times have no SQL form; test_risk and test_ingest cover them.
-ROWS_ONLY = {"iforest_scores", "iforest_metadata", "run_summary"}
+# Run times have no SQL form; test_ingest covers them.
+ROWS_ONLY = {"run_summary"}
 # Ninety days of a tiny table have no country with fifty rows.
 MAY_BE_EMPTY = {"a07_country_failures"}
 

@@ -54,10 +54,21 @@ def test_forest_does_not_depend_on_partitions(spark):
     assert set(sizes) == set(range(25)) and set(sizes.values()) == {64}
 
 
-def test_trees_of_a_large_table_share_no_row(spark):
-    params = iforest.ForestParams(trees=3, per_tree=16)
-    drawn = iforest.sample_rows(iforest.model_inputs(feature_rows(spark)), 2000, params, "transaction_id")
-    assert {tuple(r) for r in drawn.groupBy("tree").count().collect()} == {(0, 16), (1, 16), (2, 16)}
+def test_draws_are_the_lowest_places(spark):
+    """The bound on places changes nothing: at any size, a tree has the rows of its lowest places."""
+    inputs = iforest.model_inputs(feature_rows(spark))
+    ids = [r.transaction_id for r in inputs.select("transaction_id").collect()]
+    params = iforest.ForestParams(trees=4, per_tree=16)
+    found = iforest.sample_rows(inputs, 2000, params).collect()
+    amounts = {r.transaction_id: r.amount for r in inputs.collect()}
+    for tree in range(4):
+        factor = 1 + iforest.drawn(42, tree, "factor") % (iforest.PRIME - 1)
+        shift = iforest.drawn(42, tree, "shift") % iforest.PRIME
+        place = {one: (iforest.drawn("row", one) % iforest.PRIME * factor + shift) % iforest.PRIME for one in ids}
+        expected = [amounts[one] for one in sorted(ids, key=lambda one: (place[one], one))[:16]]
+        assert [r.amount for r in sorted((r for r in found if r.tree == tree), key=lambda r: r.place)] == expected
+    whole = iforest.sample_rows(inputs, 1, params).select("tree", "place", "amount").collect()
+    assert {tuple(r) for r in whole} == {(r.tree, r.place, r.amount) for r in found}
 
 
 def test_other_seed_gives_another_forest(spark):

@@ -643,7 +643,8 @@ def model_record(c: Context) -> DataFrame:
 def iforest_metadata(c: Context) -> DataFrame:
     scored = c.staged("query_forest", lambda: iforest.score(
         c.features, c.lake.stage(iforest.fit(c.features, c.features.count()), "query_nodes")))
-    return scoring.model_metadata(calibrate.calibrate(scored))
+    return scoring.model_metadata(calibrate.calibrate(scored)).withColumn(
+        "feature_columns", F.array_join("feature_columns", ","))
 
 
 # ---------------------------------------------------------------------------

@@ -1,12 +1,14 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) on Spark.
 
-Each tree is grown in its own group from at most `per_tree` rows. The rows are picked by hash,
-so the forest does not depend on partitions, order or retries. The grown forest is a small
+Each tree is grown in its own group from at most `per_tree` rows. Rows and splits are drawn by MD5
+of the seed, the tree and the node, so the forest does not depend on partitions, order or retries,
+and SQL can grow the same one. The grown forest is a small
 table of nodes (trees x at most 2*per_tree - 1 rows), which is why scoring may broadcast it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,31 +42,39 @@ class ForestParams:
             raise ValueError("a forest has 1..1000 trees of 2..4096 rows")
 
 
-def _unit_hash(*parts: Column) -> Column:
-    """Uniform number in [0, 1) that depends on the values only."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / float(1 << 40)
+#: Draws of rows are places modulo this prime.
+PRIME = (1 << 31) - 1
+#: Parts of a unit that path lengths are counted in, so that their sums are exact, and decimals of a score.
+PATH_UNITS, SCORE_DECIMALS = 10**9, 9
+
+
+def drawn(*parts: object) -> int:
+    """A number below 2^52 from the MD5 of some values joined by colons."""
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16)
 
 
 def sample_rows(inputs: DataFrame, rows: int, params: ForestParams, key: str = "transaction_id") -> DataFrame:
-    """Rows (tree, place, inputs...): up to `per_tree` rows per tree, drawn without replacement.
+    """Rows (tree, place, inputs...): `per_tree` rows per tree, drawn without replacement.
 
-    Each tree is offered about four times the rows it wants and keeps those with its smallest
-    hashes, so it falls short practically never. A row of a large table is offered to one tree
-    at most, which takes two hashes a row; a row of a small one is tried for every tree.
+    A row has one hash; each tree turns it into a place of its own, by a factor and a shift modulo
+    a prime, and takes the rows with its lowest places. Every row is open to every tree, however
+    many there are. Only places below a bound that about four times the wanted rows reach are sorted,
+    so a tree falls short practically never.
     """
-    seed = F.lit(params.seed)
-    offered = 4 * params.per_tree
-    df = inputs.select(key, *MODEL_INPUTS)
-    if rows > offered * params.trees:
-        drawn = df.filter(_unit_hash(F.col(key), seed) < offered * params.trees / rows).withColumn(
-            "tree", F.pmod(F.xxhash64(F.lit("tree"), key, seed), F.lit(params.trees)).cast("int"))
-    else:
-        trees = F.filter(F.sequence(F.lit(0), F.lit(params.trees - 1)),
-                         lambda tree: _unit_hash(F.col(key), tree, seed) < min(1.0, offered / max(rows, 1)))
-        drawn = df.withColumn("tree", F.explode(trees))
-    by_hash = Window.partitionBy("tree").orderBy(_unit_hash(F.col(key), F.col("tree"), seed), key)
-    return drawn.withColumn("place", F.row_number().over(by_hash)).filter(
-        F.col("place") <= params.per_tree).drop(key)
+    bound = F.lit(PRIME if rows <= 4 * params.per_tree else 4 * params.per_tree * PRIME // rows + 1)
+    numbers = [(1 + drawn(params.seed, tree, "factor") % (PRIME - 1), drawn(params.seed, tree, "shift") % PRIME)
+               for tree in range(params.trees)]
+    factors, shifts = (F.array(*[F.lit(pair[at]).cast("long") for pair in numbers]) for at in (0, 1))
+    digest = F.md5(F.concat_ws(":", F.lit("row"), F.col(key).cast("string")))
+    hashed = inputs.select(key, *MODEL_INPUTS, F.pmod(
+        F.conv(F.substring(digest, 1, 13), 16, 10).cast("long"), F.lit(PRIME)).alias("_hash"))
+    place = lambda tree: (F.col("_hash") * F.get(factors, tree) + F.get(shifts, tree)) % PRIME
+    trees = F.array(*[F.lit(tree) for tree in range(params.trees)])
+    open_to = hashed.withColumn("tree", F.explode(F.filter(trees, lambda tree: place(tree) < bound))).withColumn(
+        "_at", place(F.col("tree")))
+    lowest = Window.partitionBy("tree").orderBy("_at", key)
+    return open_to.withColumn("place", F.row_number().over(lowest)).filter(
+        F.col("place") <= params.per_tree).select("tree", "place", *MODEL_INPUTS)
 
 
 def expected_path(rows: np.ndarray | int) -> np.ndarray:
@@ -76,27 +86,26 @@ def expected_path(rows: np.ndarray | int) -> np.ndarray:
 
 
 def grow_tree(data: np.ndarray, tree: int, seed: int) -> list[tuple]:
-    """Nodes of one tree over at most a few thousand rows."""
-    random = np.random.default_rng([seed, tree])
+    """Nodes of one tree over at most a few thousand rows; the root is 1, node n has the children 2n and 2n + 1."""
     limit = int(np.ceil(np.log2(max(len(data), 2))))
-    nodes: list[list] = [[]]
-    open_nodes = [(0, np.arange(len(data)), 0)]
+    nodes: list[tuple] = []
+    open_nodes = [(1, np.arange(len(data)), 0)]
     while open_nodes:
         node, members, depth = open_nodes.pop()
         part = data[members]
         low, high = part.min(axis=0), part.max(axis=0)
         splittable = np.flatnonzero(high > low)
         if depth >= limit or len(members) <= 1 or len(splittable) == 0:
-            nodes[node] = [-1, 0.0, -1, -1, depth + float(expected_path(len(members)))]
+            path = round(depth + float(expected_path(len(members))), 9)
+            nodes.append((tree, node, -1, 0.0, -1, -1, path, len(data)))
             continue
-        feature = int(random.choice(splittable))
-        cut = float(random.uniform(low[feature], high[feature]))
+        feature = int(splittable[drawn(seed, tree, node, "feature") % len(splittable)])
+        share = drawn(seed, tree, node, "cut") / float(1 << 52)
+        cut = float(low[feature] + (high[feature] - low[feature]) * share)
         goes_left = part[:, feature] <= cut
-        left, right = len(nodes), len(nodes) + 1
-        nodes += [[], []]
-        nodes[node] = [feature, cut, left, right, 0.0]
-        open_nodes += [(left, members[goes_left], depth + 1), (right, members[~goes_left], depth + 1)]
-    return [(tree, number, *fields, len(data)) for number, fields in enumerate(nodes)]
+        nodes.append((tree, node, feature, cut, 2 * node, 2 * node + 1, 0.0, len(data)))
+        open_nodes += [(2 * node, members[goes_left], depth + 1), (2 * node + 1, members[~goes_left], depth + 1)]
+    return nodes
 
 
 def fit(features: DataFrame, rows: int, params: ForestParams | None = None) -> DataFrame:
@@ -122,6 +131,8 @@ def node_arrays(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
         values = nodes[column].to_numpy()
         arrays[column] = np.zeros((len(trees), int(nodes["node"].max()) + 1), values.dtype)
         arrays[column][place] = values
+    # Paths in whole units, so that their sums do not depend on the order.
+    arrays["path_length"] = np.rint(arrays["path_length"] * PATH_UNITS).astype(np.int64)
     arrays["sample_rows"] = nodes["sample_rows"].max()
     return arrays
 
@@ -131,19 +142,23 @@ def score_rows(forest: dict[str, np.ndarray], data: np.ndarray) -> np.ndarray:
     sample = int(forest["sample_rows"])
     row = np.arange(len(data))[:, None]
     tree = np.arange(len(forest["feature"]))[None, :]
-    node = np.zeros((len(data), tree.shape[1]), dtype=int)
+    node = np.ones((len(data), tree.shape[1]), dtype=int)
     for _ in range(int(np.ceil(np.log2(max(sample, 2))))):
         feature = forest["feature"][tree, node]
         inner = feature >= 0
         goes_left = data[row, np.where(inner, feature, 0)] <= forest["threshold"][tree, node]
         child = np.where(goes_left, forest["left_node"][tree, node], forest["right_node"][tree, node])
         node = np.where(inner, child, node)
-    depth = forest["path_length"][tree, node].mean(axis=1)
-    return -np.exp2(-depth / max(float(expected_path(sample)), 1e-12))
+    depth = forest["path_length"][tree, node].sum(axis=1) / (float(PATH_UNITS) * tree.shape[1])
+    return np.round(-np.exp2(-depth / max(float(expected_path(sample)), 1e-12)), SCORE_DECIMALS)
 
 
 def score(features: DataFrame, nodes: DataFrame, column: str = "anomaly_score") -> DataFrame:
-    """Add the raw score: minus 2^(-mean path / normal path), so lower is more anomalous."""
+    """Add the raw score: minus 2^(-mean path / normal path), so lower is more anomalous.
+
+    All rows of an Arrow batch walk down all trees together, which takes about a tenth of the
+    time of higher-order functions over the node table.
+    """
     # The forest has a fixed largest size, see ForestParams.
     forest = features.sparkSession.sparkContext.broadcast(node_arrays(nodes.toPandas()))
 

@@ -69,13 +69,13 @@ SHARES = [0.0, 0.01, 0.1, 0.30000000000000004, 0.5, 0.99, 1.0]
 
 
 @pytest.mark.parametrize("kind", ["normal", "ties", "one", "two"])
-@pytest.mark.parametrize("path", ["small", "whole", "brackets"])
+@pytest.mark.parametrize("path", ["small", "refined", "few bins"])
 def test_quantiles_equal_numpy(spark, monkeypatch, kind, path):
     random = np.random.default_rng(5)
     data = {"normal": random.normal(size=40_000), "ties": random.integers(0, 7, 40_000) / 4,
             "one": np.array([3.25]), "two": np.array([1.0, 2.0])}[kind]
-    if path == "brackets":
-        monkeypatch.setattr(Q, "WHOLE", 100)  # larger groups go through their brackets
+    if path == "few bins":
+        monkeypatch.setattr(Q, "BINS", 64)  # more passes
     df = spark.createDataFrame([(float(v),) for v in data], "v double").repartition(5)
     found = Q.quantiles(df, "v", [], SHARES, small=path == "small")
     got = {r.share: r.quantile for r in found.collect()}
@@ -89,8 +89,7 @@ def test_quantiles_per_group_with_a_null_group(spark, small):
     assert got == {None: 148.5, 1: 149.5, 2: 150.5}
 
 
-def test_slices_rank_ties_infinities_and_nulls(spark, monkeypatch):
-    monkeypatch.setattr(Q, "WHOLE", 100)
+def test_refinement_of_ties_infinities_and_nulls(spark):
     values = [float("-inf")] * 40 + [float("inf")] * 30 + [1e308, -1e308, 0.0, -0.0] * 20 + [0.25] * 50
     data = [(g, v) for g in ("a", None) for v in [*values, *[float(i) for i in range(500)]]] + [("a", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
@@ -103,29 +102,33 @@ def test_slices_rank_ties_infinities_and_nulls(spark, monkeypatch):
             assert got[g, share] == pytest.approx(low + (high - low) * (place - int(place)))
 
 
-def test_a_missed_bracket_never_takes_a_value_of_another(spark, monkeypatch):
-    """Brackets of a tenth of a row around places between two values: an error, not a guess."""
-    monkeypatch.setattr(Q, "WHOLE", 100)
-    monkeypatch.setattr(Q, "MARGIN", 1e-5)
-    df = spark.range(9551).select(F.col("id").cast("double").alias("v"))
-    with pytest.raises(Exception, match="outside its bracket"):
-        Q.quantiles(df, "v", [], [0.01, 0.99]).collect()
-
-
-def test_no_task_ranks_a_whole_bracket(spark, monkeypatch):
-    """Values of a bracket are ranked in slices, which hold a small part of it each."""
-    monkeypatch.setattr(Q, "WHOLE", 100)
-    monkeypatch.setattr(Q, "MARGIN", 0.25)
-    df = spark.range(40_000).select(F.struct(F.lit(1).alias("one")).alias("_g"), (F.col("id") * 0.5).alias("_v"))
-    ends = df.withColumn("_ends", F.array(F.lit(5000.0), F.lit(15000.0)))
-    sizes = ends.filter("_v BETWEEN 5000 AND 15000").groupBy(Q._slice().alias("s")).count()
-    assert sizes.count() > 4000 and sizes.agg(F.max("count")).first()[0] < 10
-    got = Q.quantiles(df.select(F.col("_v").alias("v")), "v", [], [0.5]).first().quantile
-    assert got == float(np.quantile(np.arange(40_000) * 0.5, 0.5))
-
-
-def test_brackets_keep_few_rows(spark, monkeypatch):
-    monkeypatch.setattr(Q, "WHOLE", 100)
-    rows = spark.range(200_000).select(F.struct(F.lit(1)).alias("_g"), F.rand(3).alias("_v"))
-    kept = Q._ranked_in_brackets(rows, [0.5], F.broadcast)
-    assert kept.count() < 400
+@pytest.mark.parametrize("kind", ["tiny", "wide", "below zero", "both signs", "subnormal"])
+def test_refinement_of_any_range(spark, kind):
+    """Values hundreds of decades apart end in single values after a few passes."""
+    random = np.random.default_rng(3)
+    powers = 10.0 ** random.uniform(-300, 300, 3000)
+    data = {"tiny": random.uniform(size=3000) * 1e-12 + 1.0, "wide": powers, "below zero": -powers,
+            "both signs": powers[:1500].tolist() + (-powers[1500:]).tolist(), "subnormal": np.arange(3000) * 5e-324}[kind]
+    df = spark.createDataFrame([(float(v),) for v in data], "v double").repartition(4)
+    got = {r.share: r.quantile for r in Q.quantiles(df, "v", [], [0.0, 0.25, 0.5, 1.0]).collect()}
+    ordered = sorted(map(float, data))
+    assert got[0.0] == ordered[0] and got[1.0] == ordered[-1]
+    for share in (0.25, 0.5):
+        place = share * 2999
+        assert ordered[int(place)] <= got[share] <= ordered[int(place) + 1]
+
+
+def test_bins_never_fall(spark):
+    random = np.random.default_rng(8)
+    for low, high in ((-1.0, 5.0), (1e-9, 1e7), (-1e200, -1e-200), (float("-inf"), 3.0), (-1.7e308, 1.7e308)):
+        inside = sorted({*np.clip(random.normal(size=500) * 10.0 ** random.integers(-9, 9, 500), max(low, -1e300), min(high, 1e300)).tolist(), low, high})
+        rows = spark.createDataFrame([(low, high, v) for v in inside], "low double, high double, _v double")
+        bins = [r.bin for r in rows.select("_v", F.struct("low", "high").alias("_b")).select("_v", Q._bin().alias("bin")).orderBy("_v").collect()]
+        assert bins == sorted(bins) and bins[0] == 0 and bins[-1] == Q.BINS - 1 and max(bins[1:-1]) < Q.BINS - 1 and min(bins[1:-1]) > 0
+
+
+def test_a_pass_moves_no_rows_but_bins(spark):
+    """The plan of a pass has partial counts below every exchange of the rows."""
+    rows = spark.range(200_000).select(F.struct(F.lit(1).alias("all")).alias("_g"), F.rand(3).alias("_v"))
+    found = Q._refined(rows, ["floor(0.5D * (_n - 1))"], F.broadcast)
+    assert found.first()["_at"][99_999] == sorted(r._v for r in rows.select("_v").collect())[99_999]

@@ -10,12 +10,13 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from txnlake import schemas
+from txnlake import schemas, session
 from txnlake.operators.bronze import ingest
-from txnlake.plans.run import run_batch
-from txnlake.risk.scoring import train
+from txnlake.plans.run import gate, run_batch
+from txnlake.risk.scoring import train, validate_model
 from txnlake.sources.defects import inject_defects
 from txnlake.sources.files import UnreadableFile, read_csv, validate_schema
+from txnlake.sources.lake import Lake
 
 AS_OF = datetime(2024, 6, 1)
 TRANSACTIONS = ("transaction_id,customer_id,merchant_id,payment_method,timestamp,amount,currency,"
@@ -155,9 +156,18 @@ def test_whole_batch(lake, good):
     assert found["quality", "quality_score"] == "100.0"
     assert found["controls", "overall_status"] == "PASS"
     assert found["risk", "total_scored"] == "20"
+    assert (found["gate", "approved"], found["gate", "reason"]) == ("True", "validation_passed")
+    gate_of = lambda stage, metric, value: gate(lake.spark, "B1", [
+        (r.batch_id, r.stage, r.metric, value if (r.stage, r.metric) == (stage, metric) else r.value) for r in rows])
+    bad = {"approved": False, "reason": "data_quality_or_control_gate_failed"}
+    assert gate_of("quality", "quality_score", "94.9") == gate_of("controls", "overall_status", "FAIL") == bad
+    assert gate_of("warehouse", "silver.silver_count", "19") == bad
+    absent = validate_model(lake).first()
+    assert not absent.passed and absent.message.startswith("Model metadata not found")
     assert lake.read("gold.fact_transactions_risk").count() == 20
     record = train(lake)
     assert (record["training_rows"], record["model_type"]) == (20, "IsolationForest")
+    assert "insufficient training rows" in validate_model(lake).first().message
     assert len(record["feature_columns"]) == 8 and 0 <= record["high_risk_rate"] <= 1
 
 
@@ -210,3 +220,64 @@ def test_a_failed_replacement_keeps_the_old_batch(spark, lake):
     assert lake.read("bronze.ingestion_audit", "B1").count() == 2
     lake.replace_batch(good.limit(1), "bronze.ingestion_audit", "B1")
     assert lake.read("bronze.ingestion_audit", "B1").count() == 1
+
+
+@pytest.mark.parametrize("batch", ["B1", None])
+def test_a_writer_that_stops_between_the_moves_leaves_the_old_rows(lake, monkeypatch, batch):
+    """The old folder lies aside, and every reader finds it there; the next writer goes on as ever."""
+    table = "silver.customers_by_batch" if batch else "gold.dim_merchant"
+    key = "customer_id" if batch else "merchant_id"
+
+    def write(value, where):
+        rows = lake.spark.createDataFrame([(value,)], f"{key} string")
+        lake.replace_batch(rows, table, where) if where else lake.replace(rows, table)
+
+    write("old", batch)
+    if batch:
+        write("other", "B2")
+    move = Lake._move
+
+    def stop(self, path, target):
+        if "/fresh-" in path:
+            raise KeyboardInterrupt
+        move(self, path, target)
+
+    monkeypatch.setattr(Lake, "_move", stop)
+    with pytest.raises(KeyboardInterrupt):
+        write("new", batch)
+    monkeypatch.undo()
+    values = lambda where=None: sorted(r[0] for r in Lake(lake.spark, lake.root).read(table, where).select(key).collect())
+    assert values() == (["old", "other"] if batch else ["old"]) and lake.exists(table)
+    if batch:
+        assert (values("B1"), values("B2")) == (["old"], ["other"])
+    write("new", batch)
+    assert values() == (["new", "other"] if batch else ["new"])
+
+
+def test_runs_on_one_lake_do_not_share_staging(lake):
+    other, one = Lake(lake.spark, lake.root), lake.spark.range(3)
+    first, second = lake.stage(one, "x"), other.stage(one.filter("id = 1"), "x")
+    assert (first.count(), second.count()) == (3, 1)
+    other.clear_staging()
+    assert first.count() == 3
+
+
+def test_work_folder_without_the_setting(monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+        def set(self, name, value):
+            raise AssertionError("a running session cannot be changed")
+
+    class Context:
+        master, applicationId = "local[2]", "app-of-a-test"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    folder = session.work_folder(Session())
+    assert folder == session.work_folder(Session())
+    Context.master, Context.applicationId = "spark://far", "other"
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.work_folder(Session())

@@ -1,10 +1,10 @@
-"""Exact interpolated quantiles of large columns.
+"""Exact interpolated quantiles of large columns, by radix refinement.
 
-A sketch brackets the place of each wanted quantile. Rows outside all brackets are only
-counted, in partial sums; the few rows inside are counted per value and ranked. So nothing but
-the brackets is shuffled or sorted, and the sketch decides the amount of work, not the result.
-Ranks inside brackets are taken in many slices of each bracket, after counting the rows of each
-slice, so no task ranks a whole bracket.
+Each wanted place lies in a bracket of values, at first the whole range of its group. A pass counts
+the rows of each open bracket in many bins that never fall as the value grows, with the smallest
+and largest value of each bin, in partial sums. The bin that holds the place is its next bracket, until
+a bracket is one value. So a pass moves a few thousand rows for each bracket, no task ranks or
+merges a group, and nothing is estimated.
 """
 
 from __future__ import annotations
@@ -13,11 +13,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ACCURACY = 100_000
-# Slices that each stretch between two ends of brackets is ranked in.
-SLICES = 4096
-# Three times the error the sketch promises. Groups too small for that are ranked whole.
-MARGIN = 3 / ACCURACY
+from txnlake.functions.jobs import written
+
+#: Bins of a bracket in one pass.
+BINS = 4096
+#: Brackets whose ends are further apart than this factor get bins of equal ratio.
+RATIO = 4096.0
+#: Rows that callers may have ranked in one window instead, see `small`.
 WHOLE = 1_000_000
 
 
@@ -33,7 +35,7 @@ def quantiles(df: DataFrame, value: str, by: list[str], shares: list[float],
 
     The place of share q among n rows is q*(n-1). `few_groups` says that the number of groups
     is known to be small, so tables with one row per group may be broadcast. `small` says that
-    df was counted and has at most WHOLE rows, so it can be ranked without a sketch.
+    df was counted and has at most WHOLE rows, so it can be ranked in one pass.
     """
     sized = F.broadcast if few_groups or not by else (lambda table: table)
     # A struct as the key lets a null group meet itself in a join.
@@ -41,29 +43,19 @@ def quantiles(df: DataFrame, value: str, by: list[str], shares: list[float],
     rows = df.filter(F.col(value).isNotNull()).select(
         group.alias("_g"), F.col(value).cast("double").alias("_v"))
 
+    ends = [(q, f"{edge}(double('{float(q)!r}') * (_n - 1))", f"_{edge}{i}")
+            for i, q in enumerate(shares) for edge in ("floor", "ceil")]
     if small:
-        ranked = _ranked(rows)
-        whole = Window.partitionBy("_g")
-        ranked = ranked.withColumn("_n", F.sum("_copies").over(whole)).withColumns(
-            {f"_skip{i}": F.lit(0) for i in range(len(shares))} | {
-                f"_{end}{i}": F.lit(None).cast("double") for i in range(len(shares)) for end in ("low", "high")})
+        ranked = _ranked(rows).withColumn("_n", F.sum("_copies").over(Window.partitionBy("_g")))
+        found = ranked.groupBy("_g").agg(F.max("_n").alias("_n"), *[F.expr(
+            f"max(CASE WHEN {place} >= _upto - _copies AND {place} < _upto THEN _v END)").alias(name) for _, place, name in ends])
     else:
-        ranked = _ranked_in_brackets(rows, shares, sized)
+        found = _refined(rows, [place for _, place, _ in ends], sized).select(
+            "_g", "_n", *[F.expr(f"_at[cast({place} AS long)]").alias(name) for _, place, name in ends])
 
-    # As SQL text, because there are four expressions per share.
     place = [f"(double('{float(q)!r}') * (_n - 1))" for q in shares]
-    # Values of another bracket do not count.
-    value_at = ("max(CASE WHEN {place} - _skip{i} >= _upto - _copies AND {place} - _skip{i} < _upto "
-                "AND (_low{i} IS NULL OR _v BETWEEN _low{i} AND _high{i}) THEN _v END)")
-    ends = [
-        F.expr(value_at.format(place=f"{edge}({p})", i=i)).alias(f"_{edge}{i}")
-        for i, p in enumerate(place) for edge in ("floor", "ceil")]
-    found = ranked.groupBy("_g").agg(F.max("_n").alias("_n"), *ends)
-    # A bracket that misses its place would break the sketch's promise: stop, never guess.
-    # Otherwise interpolate from the nearer end.
+    # Interpolate from the nearer end.
     result = """CASE
-        WHEN _floor{i} IS NULL OR _ceil{i} IS NULL
-            THEN cast(raise_error('quantile outside its bracket') AS double)
         WHEN {t} >= 0.5D THEN _ceil{i} - (_ceil{i} - _floor{i}) * (1 - {t})
         ELSE _floor{i} + (_ceil{i} - _floor{i}) * {t} END"""
     pairs = ", ".join(
@@ -82,42 +74,42 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return counted.withColumn("_upto", upto)
 
 
-def _ranked_in_brackets(rows: DataFrame, shares: list[float], sized) -> DataFrame:
-    """_ranked for the rows inside the brackets, with the number of rows skipped below each."""
-    v = F.col("_v")
-    ends = [end for q in shares for end in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
-    sketch = rows.groupBy("_g").agg(
-        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"), F.count("*").alias("_n"))
-    bracketed = rows.join(sized(sketch), "_g")
-    low = lambda i: F.col("_ends")[2 * i]
-    inside = reduce(lambda a, b: a | b, [
-        v.between(low(i), F.col("_ends")[2 * i + 1]) for i in range(len(shares))])
-    inside = (F.col("_n") <= WHOLE) | inside
-    skipped = bracketed.groupBy("_g").agg(F.max("_n").alias("_n"), *[
-        F.count_if(~inside & (v < low(i))).alias(f"_skip{i}") for i in range(len(shares))], *[
-        F.max(F.when(F.col("_n") > WHOLE, F.col("_ends")[2 * i + at])).alias(f"_{end}{i}")
-        for i in range(len(shares)) for at, end in enumerate(("low", "high"))])
-    kept = bracketed.filter(inside).select("_g", "_v", _slice().alias("_s"))
-    return _ranked_in_slices(kept, sized).join(sized(skipped), "_g")
-
-
-def _slice() -> Column:
-    """(stretch, slice) of a value between the ends of the brackets; it never falls as the value grows."""
-    return F.expr(f"""transform(array(array_sort(_ends)), e -> transform(array(size(filter(e, x -> x <= _v))), at ->
-        named_struct('stretch', at, 'slice', CASE WHEN at = 0 OR at = size(e) THEN 0 ELSE cast(least({SLICES - 1},
-            floor(nanvl(try_divide(_v - e[at - 1], e[at] - e[at - 1]), 0D) * {SLICES})) AS int) END))[0])[0]""")
-
-
-def _ranked_in_slices(rows: DataFrame, sized) -> DataFrame:
-    """_ranked for rows with a slice _s: ranks inside slices, moved up by the rows of the slices below.
-
-    The window over a group sees one row per slice, at most SLICES for each stretch.
+def _bin() -> Column:
+    """The bin of _v in the bracket _b: its ends have bins of their own, what lies between never falls."""
+    return F.expr(f"""CASE WHEN _v = _b.low THEN 0 WHEN _v = _b.high THEN {BINS - 1}
+        ELSE 1 + cast(floor({BINS - 2 - 1e-6} * greatest(0D, least(1D, nanvl(coalesce(CASE
+            WHEN _b.low > 0 AND ln(_b.high) - ln(_b.low) > ln({RATIO}D) THEN (ln(_v) - ln(_b.low)) / (ln(_b.high) - ln(_b.low))
+            WHEN _b.high < 0 AND ln(-_b.low) - ln(-_b.high) > ln({RATIO}D) THEN 1 - (ln(-_v) - ln(-_b.high)) / (ln(-_b.low) - ln(-_b.high))
+            ELSE try_divide(_v / 2 - _b.low / 2, _b.high / 2 - _b.low / 2) END, 0D), 0D)))) AS int) END""")
+
+
+def _refined(rows: DataFrame, places: list[str], sized) -> DataFrame:
+    """(_g, _n, _at): the values at some places of each group, as a map from the place.
+
+    places are expressions of _n. A pass has a row for each bin of each open bracket, at most BINS for
+    a bracket and one bracket for a place.
     """
-    counted = rows.groupBy("_g", "_s", "_v").agg(F.count("*").alias("_copies"))
-    upto = F.sum("_copies").over(
-        Window.partitionBy("_g", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    below = F.coalesce(F.sum("_rows").over(
-        Window.partitionBy("_g").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    slices = rows.groupBy("_g", "_s").agg(F.count("*").alias("_rows")).select("_g", "_s", below.alias("_below"))
-    return counted.withColumn("_within", upto).join(sized(slices), ["_g", "_s"]).select(
-        "_g", "_v", "_copies", (F.col("_within") + F.col("_below")).alias("_upto"))
+    ranks = F.expr(f"array_distinct(array({', '.join(f'cast({place} AS long)' for place in places)}))")
+    whole = rows.groupBy("_g").agg(F.count("*").alias("_n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
+    sizes = written(whole, "groups")
+    brackets = sizes.select("_g", F.struct("low", "high", F.lit(0).cast("long").alias("before"), ranks.alias("ranks")).alias("_b"))
+    done = []
+    while True:
+        done.append(brackets.filter("_b.low <=> _b.high"))
+        opened = brackets.filter("NOT _b.low <=> _b.high")
+        if opened.isEmpty():
+            break
+        # At most one bracket for each place.
+        by_group = opened.groupBy("_g").agg(F.collect_list("_b").alias("_bs"))
+        inside = rows.join(sized(by_group), "_g").withColumn("_b", F.get(F.filter(
+            "_bs", lambda one: F.col("_v").between(one["low"], one["high"])), F.lit(0))).filter("_b IS NOT NULL")
+        bins = inside.groupBy("_g", F.col("_b.before").alias("_from"), F.col("_b.ranks").alias("_ranks"), _bin().alias("_bin")).agg(
+            F.count("*").alias("_rows"), F.min("_v").alias("low"), F.max("_v").alias("high"))
+        earlier = Window.partitionBy("_g", "_from").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("before", F.col("_from") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        held = F.filter("_ranks", lambda rank: (rank >= F.col("before")) & (rank < F.col("before") + F.col("_rows")))
+        brackets = written(bins.withColumn("ranks", held).filter(F.size("ranks") > 0).select(
+            "_g", F.struct("low", "high", "before", "ranks").alias("_b")), "brackets")
+    values = reduce(DataFrame.unionByName, done).select("_g", F.explode("_b.ranks").alias("_rank"), F.col("_b.low").alias("_v"))
+    at = values.groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
+    return sizes.select("_g", "_n").join(sized(at), "_g")

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from txnlake import schemas
 from txnlake.config import Config
-from txnlake.functions.jobs import together
-from txnlake.functions.lookup import BROADCAST_ROWS, hot_keys, lookup
+from txnlake.functions.jobs import together, written
+from txnlake.functions.lookup import BROADCAST_ROWS, hot_keys, is_small, lookup
 from txnlake.functions.parse import (
     offset_iso_text, parse_amount, parse_date, with_timestamp,
 )
@@ -108,7 +108,9 @@ def annotate(raw: DataFrame, repeated: DataFrame, customers: DataFrame, merchant
     """Every raw row with its typed values and `_reasons`, which is '' for a valid row.
 
     `customers` and `merchants` hold each known id once. `bounds` may name, for `_customer`
-    and `_merchant`, stored frames with at least as many rows, which are cheaper to count.
+    and `_merchant`, stored frames with at least as many rows, which are cheaper to count. Of tables
+    above `limit` rows only the keys that the batch lacks there are joined to the wide rows, which
+    are shuffled only if those are more than `limit` as well.
     """
     df = base = normalise(raw)
     tables = {
@@ -121,8 +123,18 @@ def annotate(raw: DataFrame, repeated: DataFrame, customers: DataFrame, merchant
                                       F.lit(True).alias("_merchant_known")),
     }
     for key, table in tables.items():
-        df = lookup(df, table, key, salt_by="_row_seq", limit=limit,
-                    hot=lambda key=key: hot_keys(base, key), bound=(bounds or {}).get(key))
+        bound = (bounds or {}).get(key)
+        if key == "_id" or is_small(table if bound is None else bound, limit):
+            df = lookup(df, table, key, salt_by="_row_seq", limit=limit,
+                        hot=lambda key=key: hot_keys(base, key), bound=bound)
+            continue
+        # A large table meets the different keys of the batch alone; the wide rows meet only its misses.
+        known = f"{key}_known"
+        missing = written(base.select(key).filter(F.col(key).isNotNull()).distinct().join(
+            table.select(key), key, "left_anti"), "misses")
+        df = lookup(df, missing.withColumn("_missed", F.lit(True)), key, salt_by="_row_seq", limit=limit,
+                    hot=lambda key=key: hot_keys(base, key)).withColumn(
+            known, F.when(F.col(key).isNotNull() & F.col("_missed").isNull(), F.lit(True))).drop("_missed")
     df = df.withColumn("_amount", parse_amount(F.col("amount")))
     df = with_timestamp(df, "timestamp", "_ts", "_ts_east")
     reasons = ", ".join(rule_reasons(cfg, as_of).values())

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from txnlake import schemas
 from txnlake.config import Config
 from txnlake.functions.keys import dense_keys
-from txnlake.functions.lookup import is_small, lookup
+from txnlake.functions.lookup import lookup
 from txnlake.functions.money import cents, cents_average, money_sum, percent, rate
 from txnlake.functions.parse import hours_before, iso_text, parse_amount, parse_date, with_timestamp
-from txnlake.functions.quantiles import WHOLE, quantiles, unpivoted
+from txnlake.functions.quantiles import quantiles, unpivoted
 from txnlake.functions.text import fixed_text, stripped
 from txnlake.operators import bronze, controls, gold, quality, silver
 from txnlake.plans import marts, reconciliation, reports
@@ -907,8 +907,7 @@ def e05_count_distinct(c: Context) -> DataFrame:
 
 @query
 def e06_median(c: Context) -> DataFrame:
-    small = is_small(c.silver, WHOLE)
-    return quantiles(c.silver, "amount", ["payment_method"], [0.5], True, small).select(
+    return quantiles(c.silver, "amount", ["payment_method"], [0.5], True).select(
         "payment_method", F.col("quantile").alias("median_amount"))
 
 

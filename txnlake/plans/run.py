@@ -15,8 +15,10 @@ from txnlake.operators.bronze import ingest, utc_now
 from txnlake.operators.controls import run_controls
 from txnlake.operators.gold import build_warehouse
 from txnlake.operators.quality import run_dq_checks
+from txnlake.risk.gates import batch_gate
 from txnlake.risk.scoring import run_risk_scoring
 
+REPORT = "batch_id string, dq_score double, control_status string, reconciliation_delta long"
 SUMMARY = "batch_id string, stage string, metric string, value string"
 
 
@@ -31,12 +33,23 @@ def flat(values: dict[str, Any], prefix: str = "") -> list[tuple[str, str]]:
     return out
 
 
+def gate(spark: SparkSession, batch_id: str, rows: list[tuple[str, str, str, str]]) -> dict[str, Any]:
+    """Whether the finished batch may be promoted, and why, from what its stages have found."""
+    found = {(stage, metric): value for _, stage, metric, value in rows}
+    accounted = int(found["warehouse", "silver.silver_count"]) + int(found["warehouse", "silver.quarantine_count"])
+    report = (batch_id, float(found["quality", "quality_score"]), found["controls", "overall_status"],
+              int(found["ingest", "transactions.record_count"]) - accounted)
+    verdict = batch_gate(spark.createDataFrame([report], REPORT)).first()
+    return {"approved": verdict["approved"], "reason": verdict["reason"]}
+
+
 def run_batch(spark: SparkSession, lake_root: str, transactions_path: str, customers_path: str,
               merchants_path: str, batch_id: str, cfg: Config | None = None,
               as_of: datetime | None = None, expected_transactions: int | None = None) -> DataFrame:
     """Land, validate, model, check and score one batch; returns (batch_id, stage, metric, value).
 
-    Checks, controls and scoring only read the finished layers, so they run side by side.
+    Checks, controls and scoring only read the finished layers, so they run side by side. Then the
+    gate decides on the batch from their score, verdict and the difference between the layers.
     Running a batch again replaces it.
     """
     cfg = cfg or Config()
@@ -58,4 +71,5 @@ def run_batch(spark: SparkSession, lake_root: str, transactions_path: str, custo
         lambda: stage("risk", lambda: run_risk_scoring(spark, lake_root, scored_at=as_of)),
     ):
         rows += part
+    rows += stage("gate", lambda: gate(spark, batch_id, rows))
     return spark.createDataFrame(rows, SUMMARY)

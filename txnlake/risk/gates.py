@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Required fields and limits of both gates.
 MODEL_FIELDS = ["feature_columns", "high_risk_rate", "model_name", "model_type", "training_rows"]
@@ -46,6 +46,18 @@ def model_gate(metadata: DataFrame) -> DataFrame:
     })
 
 
+def gate_of_record(metadata: DataFrame | None, name: str) -> DataFrame:
+    """(model_name, passed, message) for one stored record; one that is absent or empty fails.
+
+    An absent record is no frame without rows, which nobody would read as a failure.
+    """
+    failed = f"Model metadata not found: {name}. Train a model first."
+    if metadata is not None and not metadata.isEmpty():
+        return model_gate(metadata).select("model_name", "passed", "message")
+    session = SparkSession.active()
+    return session.range(1).select(F.lit(name).alias("model_name"), F.lit(False).alias("passed"), F.lit(failed).alias("message"))
+
+
 def batch_gate(reports: DataFrame) -> DataFrame:
     """(batch_id, approved, reason) for rows of batch_id, dq_score, control_status and delta.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnlake import schemas
@@ -13,6 +14,7 @@ from txnlake.operators.bronze import utc_now
 from txnlake.risk.calibrate import calibrate
 from txnlake.risk.explain import add_explanations
 from txnlake.risk.features import MODEL_INPUTS, extract_features
+from txnlake.risk.gates import gate_of_record
 from txnlake.risk.iforest import ForestParams, fit_and_score
 from txnlake.sources.lake import Lake
 
@@ -39,6 +41,7 @@ def run_risk_scoring(spark: SparkSession, lake_root: str, params: ForestParams |
     explained = add_explanations(scored_transactions(lake, params)).withColumn(
         "_scored_at", F.lit(scored_at or utc_now()).cast("timestamp_ntz"))
     lake.replace(explained, "gold.fact_transactions_risk")
+    lake.clear_staging()
     return tier_counts(lake.read("gold.fact_transactions_risk")).first().asDict()
 
 
@@ -68,9 +71,23 @@ def write_metadata(lake: Lake, metadata: DataFrame) -> str:
     return path
 
 
+def stored_metadata(lake: Lake) -> DataFrame | None:
+    """The stored model record, or None where none was written."""
+    try:
+        return lake.spark.read.schema(schemas.MODEL_METADATA).json(f"{lake.root}/models/{MODEL_NAME}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def validate_model(lake: Lake) -> DataFrame:
+    """The gate over the stored model record: (model_name, passed, message)."""
+    return gate_of_record(stored_metadata(lake), MODEL_NAME)
+
+
 def train(lake: Lake, params: ForestParams | None = None) -> dict[str, Any]:
     """Fit and score, then write the model record and return it."""
     metadata = model_metadata(scored_transactions(lake, params), params)
-    path = write_metadata(lake, metadata)
-    stored = lake.spark.read.schema(schemas.MODEL_METADATA).json(path)
-    return stored.first().asDict()
+    write_metadata(lake, metadata)
+    return stored_metadata(lake).first().asDict()

@@ -26,6 +26,7 @@ def local_session(cores: str = "*", memory: str = "8g", name: str = "txnlake") -
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -34,6 +35,10 @@ def local_session(cores: str = "*", memory: str = "8g", name: str = "txnlake") -
     return spark
 
 
+#: Work folders of local sessions that name none, by application.
+_local_folders: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
@@ -45,10 +50,11 @@ def work_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    # The setting is fixed once a session runs, so the folder is kept here.
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="run-")
+    return _local_folders[application]
 
 
 def apply_settings(spark: SparkSession) -> None:

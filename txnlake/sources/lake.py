@@ -19,6 +19,8 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        # Intermediate tables of this run; two runs on one lake never share a name.
+        self.run = uuid.uuid4().hex[:12]
 
     def path(self, table: str, batch_id: str | None = None) -> str:
         path = f"{self.root}/{table.replace('.', '/')}"
@@ -30,13 +32,43 @@ class Lake:
 
     def _stored(self, table: str, batch_id: str | None = None) -> DataFrame | None:
         # Reading the folder of one batch lists the files of that batch only.
-        reader = self.spark.read.schema(schemas.TABLES[table]).option("basePath", self.path(table))
+        reader = self.spark.read.schema(schemas.TABLES[table])
         try:
-            return reader.parquet(self.path(table, batch_id))
+            found = reader.option("basePath", self.path(table)).parquet(self.path(table, batch_id))
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = None
+        lost = self._lost(table, batch_id)
+        if not lost:
+            return found
+        kept = reader.option("basePath", self._aside(self.path(table))).parquet(*lost)
+        return kept if found is None else found.unionByName(kept)
+
+    def _aside(self, path: str) -> str:
+        """Where the old folder of a path lies while a new one takes its place."""
+        return f"{self.root}/staging/aside{path.removeprefix(self.root)}"
+
+    def _lost(self, table: str, batch_id: str | None) -> list[str]:
+        """Old folders of a table, or of one batch, whose writer stopped before the new one was in place."""
+        top = self._aside(self.path(table))
+        files, _ = self._files(top)
+        if not self._exists(top):
+            return []
+        names = [one.getPath().getName() for one in files.listStatus(self._files(top)[1])]
+        batches = [name for name in names if name.startswith("batch_id=")]
+        if len(batches) < len(names):  # the table was replaced as a whole
+            return [] if self._exists(self.path(table)) else [top]
+        wanted = batches if batch_id is None else [name for name in batches if name == f"batch_id={batch_id}"]
+        return [f"{top}/{name}" for name in wanted if not self._exists(f"{self.path(table)}/{name}")]
+
+    def _files(self, path: str) -> tuple:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _exists(self, path: str) -> bool:
+        files, where = self._files(path)
+        return files.exists(where)
 
     def exists(self, table: str) -> bool:
         return self._stored(table) is not None
@@ -82,16 +114,27 @@ class Lake:
         """Write to a fresh folder and put it in the place of path only when that has worked.
 
         Rows that cannot be read or computed leave the old folder as it was; a replacement also
-        clears partitions that became empty.
+        clears partitions that became empty. The old folder is moved aside, the new one moved in,
+        and only then is the old one deleted. Who reads in between, or after a writer that stopped
+        there, reads the old one where it lies aside.
         """
         fresh = f"{self.root}/staging/fresh-{uuid.uuid4().hex}"
         writer.parquet(fresh)
-        old, new = (self.spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
-        files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        aside = self._aside(path)
+        if self._exists(path):
+            files, old = self._files(aside)
+            files.delete(old, True)
+            self._move(path, aside)
+        self._move(fresh, path)
+        files, old = self._files(aside)
         files.delete(old, True)
-        files.mkdirs(old.getParent())
-        if not files.rename(new, old):
-            raise OSError(f"cannot move {fresh} to {path}")
+
+    def _move(self, path: str, target: str) -> None:
+        files, source = self._files(path)
+        goal = self._files(target)[1]
+        files.mkdirs(goal.getParent())
+        if not files.rename(source, goal):
+            raise OSError(f"cannot move {path} to {target}")
 
     def append_missing(self, df: DataFrame, table: str, key: str) -> None:
         """Insert the rows whose key the table does not hold yet; of equal keys the smallest row."""
@@ -100,10 +143,15 @@ class Lake:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate table and read it back, so that its size is known."""
-        path = f"{self.root}/staging/{name}"
+        path = f"{self.root}/staging/{self.run}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def clear_staging(self) -> None:
+        """Delete the intermediate tables of this run, when nothing will read them any more."""
+        files, where = self._files(f"{self.root}/staging/{self.run}")
+        files.delete(where, True)
+
     # Views over stored tables.
 
     def transactions(self, batch_id: str | None = None) -> DataFrame:

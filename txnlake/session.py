@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Texts are long: a worker holds a batch of them as Arrow, as Python objects and as arrays.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2500",
     # Tasks keep one open file per partition value instead of sorting their rows first.
     "spark.sql.maxConcurrentOutputFileWriters": "64",
 }

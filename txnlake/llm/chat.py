@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from txnlake.llm.common import whole
+from txnlake.llm.common import stage, whole
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -15,7 +13,7 @@ def rendered(role: Column, text: Column) -> Column:
 
 
 def _turns(rows: DataFrame, pair: str, turn: str, role: str, text: str) -> DataFrame:
-    return rows.select(F.col(pair).alias("pair_id"), F.col(turn).cast("long").alias("turn"),
+    return rows.filter(F.col(pair).isNotNull()).select(F.col(pair).alias("pair_id"), F.col(turn).cast("long").alias("turn"),
                        whole(role).alias("role"), whole(text).alias("text"))
 
 
@@ -31,8 +29,8 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame, pair: str = "con
 
     The prefix comes from counts of equal turns and a smallest number for each pair, both with
     partial sums, so a conversation of any length is never collected in one task. A null turn
-    number sorts first, a null role or text is empty, repeated turns count once. A null pair id is
-    a pair like any other. A pair that lacks one side has no prompt.
+    number sorts first, a null role or text is empty, repeated turns count once. Turns without a
+    pair id belong to no conversation and to no pair. A pair that lacks one side has no prompt.
     """
     sides = _turns(chosen, pair, turn, role, text).withColumn("side", F.lit(1)).unionByName(
         _turns(rejected, pair, turn, role, text).withColumn("side", F.lit(2)))
@@ -41,8 +39,7 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame, pair: str = "con
     # No turn number sorts before all others; the flag keeps it apart from the smallest long.
     at = F.struct(F.col("turn").isNotNull().alias("numbered"), F.col("turn").alias("turn"))
     differing = turns.filter("side < 3").groupBy("pair_id").agg(F.min(at).alias("_first"))
-    marked = turns.join(differing.withColumnRenamed("pair_id", "_pair"),
-                        F.col("pair_id").eqNullSafe(F.col("_pair")), "left").drop("_pair")
+    marked = turns.join(differing, "pair_id", "left")
     common = F.col("_first").isNull() | (at < F.col("_first"))
     parts = F.when(common, F.array(F.lit("prompt"))).otherwise(F.filter(F.array(
         F.when(F.col("side").bitwiseAND(1) > 0, F.lit("chosen")),
@@ -53,23 +50,35 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame, pair: str = "con
 
 
 def assembled(segments: DataFrame) -> DataFrame:
-    """One row for each pair: prompt, chosen, rejected and the masks of both endings.
+    """One row for each pair: pair_id, prompt, chosen, rejected, chosen_mask and rejected_mask.
 
-    A mask is an array of (start, end) in characters of the ending. For conversations that fit a
-    row; the segments themselves have no such limit.
+    A mask lists the learned (start, end) of its ending in code points, in order. A part without
+    turns is empty, and so is its mask. A row holds one pair, so the pair must fit a row; the
+    segments themselves have no such limit.
     """
     pieces = F.array_sort(F.collect_list(F.struct(
-        F.col("turn").isNotNull().alias("numbered"), "turn", "role", "piece", "learn")))
-    grouped = segments.groupBy("pair_id", "part").agg(pieces.alias("pieces"))
-    parts = [grouped.filter(F.col("part") == name).select(
-        F.col("pair_id").alias("_id"), F.concat_ws("", "pieces.piece").alias(name),
-        _mask(F.col("pieces")).alias(f"{name}_mask")) for name in ("prompt", "chosen", "rejected")]
-    pairs = segments.select("pair_id").distinct()
-    joined = reduce(lambda left, right: left.join(
-        right, F.col("pair_id").eqNullSafe(right["_id"]), "left").drop("_id"), parts, pairs)
-    empty = F.array().cast("array<struct<start:int,`end`:int>>")
-    return joined.select("pair_id", *[F.coalesce(name, F.lit("")).alias(name) for name in ("prompt", "chosen", "rejected")],
-                         *[F.coalesce(f"{name}_mask", empty).alias(f"{name}_mask") for name in ("chosen", "rejected")])
+        F.col("turn").isNotNull().alias("numbered"), "turn", "role", "piece", "learn", "part")))
+    pairs = segments.groupBy("pair_id").agg(pieces.alias("pieces"))
+    parts = ("prompt", "chosen", "rejected")
+    split = pairs.select("pair_id", *[_of_part(name).alias(name) for name in parts])
+    return split.select("pair_id", *[F.concat_ws("", f"{name}.piece").alias(name) for name in parts],
+                        *[_mask(F.col(name)).alias(f"{name}_mask") for name in ("chosen", "rejected")])
+
+
+def _of_part(name: str) -> Column:
+    return F.filter("pieces", lambda piece: piece["part"] == name)
+
+
+def preference_pairs(chosen: DataFrame, rejected: DataFrame, pair: str = "conv_id", turn: str = "turn",
+                     role: str = "role", text: str = "text") -> DataFrame:
+    """Prompt, completions and masks of each pair, see preference_segments and assembled."""
+    return assembled(preference_segments(chosen, rejected, pair, turn, role, text))
+
+
+def mask_text(mask: Column) -> Column:
+    """A mask as start:end, comma-joined."""
+    return F.array_join(F.transform(mask, lambda span: F.concat_ws(
+        ":", span["start"].cast("string"), span["end"].cast("string"))), ",")
 
 
 def _mask(pieces: Column) -> Column:
@@ -81,17 +90,40 @@ def _mask(pieces: Column) -> Column:
             state["spans"]).alias("spans")))["spans"]
 
 
-def swapped_replies(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role") -> DataFrame:
+def swapped_replies(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                    text: str = "text") -> DataFrame:
     """Rejected sides for a table without any: each conversation with another's last reply.
 
-    The last assistant turn of a conversation is replaced by the last assistant turn of the one
-    with the next id; where there is none, the conversation simply lacks its reply.
+    The assistant turn with the highest number of a conversation is replaced by that of the next
+    conversation that has one, in the order of ids; the last one takes that of the first. Of several
+    texts with the highest number the smallest is taken. Only where no other conversation has a
+    reply does the rejected side lack it. Conversations without a numbered reply stay as they are,
+    turns without a conversation id are left out.
+
+    The order comes from a range exchange of one row for each conversation, written with its place.
     """
-    replies = conversations.filter(F.col(role) == "assistant")
-    last = replies.groupBy(conv).agg(F.max(turn).alias("_last"))
-    other = replies.join(last.withColumnRenamed(conv, "_conv"), (F.col(conv) == F.col("_conv")) & (F.col(turn) == F.col("_last"))) \
-        .groupBy((F.col(conv) - 1).alias(conv)).agg(F.min("text").alias("text"))
-    kept = conversations.join(last, conv, "left").filter(
-        F.col("_last").isNull() | (F.col(turn) != F.col("_last")) | (F.col(role) != "assistant"))
-    swapped = last.join(other, conv).select(conv, F.col("_last").alias(turn), F.lit("assistant").alias(role), "text")
-    return kept.select(conv, turn, role, "text").unionByName(swapped)
+    known = conversations.filter(F.col(conv).isNotNull()).select(conv, F.col(turn).cast("long").alias(turn), role, text)
+    replies = known.filter((F.col(role) == "assistant") & F.col(turn).isNotNull())
+    # Inverted numbers, so that the smallest struct has the highest number and then the smallest text.
+    last = replies.groupBy(conv).agg(F.min(F.struct(F.bitwise_not(turn).alias("turn"), whole(text).alias("text"))).alias("reply"))
+    ring = _numbered(last.select(conv, F.bitwise_not("reply.turn").alias("_last"), F.col("reply.text").alias("_text")), conv)
+    total = ring.agg(F.count("*")).scalar()
+    following = ring.select(F.pmod(F.col("_number") - 1, total).alias("_number"), F.col("_text").alias("_other"))
+    swapped = ring.join(following, "_number").filter(total > 1).select(
+        conv, F.col("_last").alias(turn), F.lit("assistant").alias(role), F.col("_other").alias(text))
+    kept = known.join(ring.select(conv, "_last"), conv, "left").filter(
+        F.col("_last").isNull() | ~F.col(turn).eqNullSafe(F.col("_last")) | ~F.col(role).eqNullSafe(F.lit("assistant")))
+    return kept.select(conv, turn, role, text).unionByName(swapped)
+
+
+def _numbered(rows: DataFrame, key: str) -> DataFrame:
+    """Rows with their place in the order of a key without repeats as _number, from 0."""
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = stage(rows.repartitionByRange(key).sortWithinPartitions(key).withColumns(
+        {"_part": F.spark_partition_id(), "_place": place}), "ring")
+    # One row for each partition of the exchange.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.count("*").alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    return placed.join(F.broadcast(offsets), "_part").withColumn(
+        "_number", F.col("_offset") + F.col("_place")).drop("_part", "_place", "_offset")

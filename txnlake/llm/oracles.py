@@ -39,22 +39,34 @@ FROM (SELECT doc_id, spans, array_to_string(list_transform(spans, lambda x:
 
 
 PREFERENCES = """
-WITH replies AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-other AS (SELECT c.conv_id - 1 AS conv_id, min(c.text) AS text FROM conversations c JOIN replies r
-    ON c.conv_id = r.conv_id AND c.turn = r.last WHERE c.role = 'assistant' GROUP BY c.conv_id),
-rejected AS (
-    SELECT c.conv_id, c.turn, c.role, c.text FROM conversations c LEFT JOIN replies r ON c.conv_id = r.conv_id
-    WHERE r.last IS NULL OR c.turn <> r.last OR c.role <> 'assistant'
-    UNION ALL SELECT r.conv_id, r.last, 'assistant', o.text FROM replies r JOIN other o ON r.conv_id = o.conv_id),
+WITH known AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL),
+replies AS (SELECT conv_id, turn AS last, min(text) AS text FROM known WHERE role = 'assistant' AND turn IS NOT NULL
+    GROUP BY conv_id, turn QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1),
+ring AS (SELECT conv_id, last, coalesce(lead(text) OVER (ORDER BY conv_id),
+    first_value(text) OVER (ORDER BY conv_id)) AS other, count(*) OVER () AS total FROM replies),
 sides AS (
-    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, 'chosen' AS part FROM conversations
-    UNION SELECT conv_id, turn, coalesce(role, ''), coalesce(text, ''), 'rejected' FROM rejected),
-turns AS (SELECT *, count(*) OVER (PARTITION BY conv_id, turn, role, text) AS sides FROM sides),
-marked AS (SELECT *, min(CASE WHEN sides = 1 THEN turn END) OVER (PARTITION BY conv_id) AS first FROM turns)
-SELECT DISTINCT conv_id AS pair_id, CASE WHEN first IS NULL OR turn < first THEN 'prompt' ELSE part END AS part, turn, role,
-    '<|' || role || '|>' || chr(10) || text || chr(10) AS piece,
-    (first IS NOT NULL AND turn >= first AND role = 'assistant') AS learn
-FROM marked"""
+    SELECT *, 'chosen' AS part FROM known
+    UNION SELECT k.*, 'rejected' FROM known k LEFT JOIN ring r ON k.conv_id = r.conv_id
+        WHERE r.last IS NULL OR k.turn IS DISTINCT FROM r.last OR k.role <> 'assistant'
+    UNION SELECT conv_id, last, 'assistant', other, 'rejected' FROM ring WHERE total > 1),
+turns AS (SELECT *, count(*) OVER (PARTITION BY conv_id, turn, role, text) AS n FROM sides),
+marked AS (SELECT *, bool_or(n = 1 AND turn IS NULL) OVER (PARTITION BY conv_id) AS at_once,
+    min(CASE WHEN n = 1 THEN turn END) OVER (PARTITION BY conv_id) AS first FROM turns),
+pieces AS (SELECT DISTINCT conv_id, turn, role, '<|' || role || '|>' || chr(10) || text || chr(10) AS piece,
+    CASE WHEN at_once THEN part WHEN first IS NULL OR turn IS NULL OR turn < first THEN 'prompt' ELSE part END AS part
+    FROM marked),
+ends AS (SELECT *, sum(length(piece)) OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, piece
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM pieces),
+spans AS (SELECT *, CASE WHEN role = 'assistant' THEN concat(CAST(stop - length(piece) AS BIGINT), ':', CAST(stop AS BIGINT)) END AS span
+    FROM ends)
+SELECT conv_id AS pair_id,
+    coalesce(string_agg(piece, '' ORDER BY turn NULLS FIRST, role, piece) FILTER (WHERE part = 'prompt'), '') AS prompt,
+    coalesce(string_agg(piece, '' ORDER BY turn NULLS FIRST, role, piece) FILTER (WHERE part = 'chosen'), '') AS chosen,
+    coalesce(string_agg(piece, '' ORDER BY turn NULLS FIRST, role, piece) FILTER (WHERE part = 'rejected'), '') AS rejected,
+    coalesce(string_agg(span, ',' ORDER BY stop) FILTER (WHERE part = 'chosen'), '') AS chosen_mask,
+    coalesce(string_agg(span, ',' ORDER BY stop) FILTER (WHERE part = 'rejected'), '') AS rejected_mask
+FROM spans GROUP BY conv_id"""
 
 EMBEDDINGS = """
 WITH RECURSIVE good AS (

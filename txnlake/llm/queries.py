@@ -45,9 +45,11 @@ def op4_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations as preference pairs, against a reply that belongs to another one."""
+    """All conversations as prompt, completions and masks, against a reply that belongs to another one."""
     turns = table(spark, sf_dir, "conversations")
-    return chat.preference_segments(turns, chat.swapped_replies(turns))
+    pairs = chat.preference_pairs(turns, chat.swapped_replies(turns))
+    masks = [chat.mask_text(F.col(name)).alias(name) for name in ("chosen_mask", "rejected_mask")]
+    return pairs.select("pair_id", "prompt", "chosen", "rejected", *masks)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnlake.config import Config
-from txnlake.operators import bronze, gold, silver
+from txnlake.operators import bronze, gold, history, silver
 
 AS_OF = datetime(2024, 6, 1)
 GOOD = {
@@ -219,3 +219,70 @@ def test_large_lookups_do_not_move_the_wide_rows(lake):
     plan = large._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
     assert picked(silver.annotate(*given, limit=0)) == picked(small)
+
+
+def known(df):
+    return sorted(row.transaction_id for row in df.collect())
+
+
+def test_history_is_met_through_filters(lake):
+    """Only candidates among earlier ids are read, and a wrong filter bit changes no result."""
+    spark = lake.spark
+    build(lake, [{"transaction_id": f"A{i}"} for i in range(500)])
+    build(lake, [{"transaction_id": f"B{i}"} for i in range(300)], "B2")
+    ids = spark.createDataFrame([(f"A{i}",) for i in range(490, 520)] + [("B7",), ("C1",), ("",)], "transaction_id string")
+    earlier, filters = lake.transactions(), lake.read(history.FILTERS)
+    expected = sorted([f"A{i}" for i in range(490, 500)] + ["B7"])
+    # Eight bits in a sparse filter: what the batches hold is all that is read.
+    assert sorted(map(tuple, history.possible(ids, filters).collect())) == sorted(("B2" if one == "B7" else "B1", one) for one in expected)
+    found = history.known_ids(ids, earlier, filters)
+    assert known(found) == expected
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    every = filters.select("n_blocks", "batch_id").distinct().withColumn("block", F.explode(F.sequence(F.lit(-1).cast("long"), F.lit(4095).cast("long"))))
+    forced = every.select("n_blocks", "block", *[F.lit(-1).cast("long").alias(word) for word in history.WORDS], "batch_id")
+    assert history.possible(ids, forced).count() == 2 * 33
+    assert known(history.known_ids(ids, earlier, forced)) == expected
+    assert known(history.known_ids(ids, earlier, forced, limit=0)) == expected
+    assert known(history.known_ids(ids, earlier, filters.filter("batch_id = 'B2'"))) == expected
+    assert known(history.known_ids(ids, earlier, filters.filter("batch_id = 'none'"))) == expected
+
+
+def test_shuffled_rows_do_not_grow_with_the_history(lake):
+    """The rows of earlier batches are scanned where they lie; only the ids that are found move."""
+    build(lake, [{"transaction_id": f"A{i}"} for i in range(400)])
+    ids = lake.spark.createDataFrame([(f"A{i}",) for i in range(395, 405)], "transaction_id string")
+    found = history.known_ids(ids, lake.transactions(), lake.read(history.FILTERS))
+    assert len(found.collect()) == 5
+    final = found._jdf.queryExecution().executedPlan()
+    moved = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleExchangeExec":
+            moved.append(node.metrics().get("shuffleRecordsWritten").get().value())
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else []
+        children = node.children()
+        for child in below + [children.apply(place) for place in range(children.size())]:
+            walk(child)
+
+    walk(final)
+    assert moved and sum(moved) < 100
+
+
+def test_rerun_and_empty_batches_keep_filters_right(lake):
+    build(lake, [{"transaction_id": "A"}, {"transaction_id": "B"}])
+    build(lake, [{"transaction_id": "C"}])
+    land_entities(lake, "B2", (), ())
+    build(lake, [{"transaction_id": one} for one in "ABC"], "B2", limit=0)
+    assert known(lake.transactions("B2")) == ["A", "B"]
+    build(lake, [{"transaction_id": "D", "amount": ""}])
+    build(lake, [{"transaction_id": one} for one in "ABCD"], "B2", limit=0)
+    assert known(lake.transactions("B2")) == ["A", "B", "C", "D"]
+    lake.drop_batch(history.FILTERS, "B2")
+    build(lake, [{"transaction_id": "D"}, {"transaction_id": "E"}], limit=0)
+    assert known(lake.transactions("B1")) == ["E"]
+
+
+def test_filter_sizes():
+    assert [history.blocks_for(rows) for rows in (0, 1, 65536, 65537, 10**9)] == [4096, 4096, 4096, 8192, 1 << 26]

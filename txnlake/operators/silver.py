@@ -16,6 +16,7 @@ from txnlake.functions.parse import (
 )
 from txnlake.functions.text import float_text, quoted, stripped
 from txnlake.operators.bronze import utc_now
+from txnlake.operators.history import FILTERS, known_ids, write_filter
 from txnlake.sources.lake import Lake, first_by_key
 
 RAW_COLUMNS = [*schemas.RAW["transactions"].names, "_ingested_at"]
@@ -37,11 +38,13 @@ def _with_id(raw: DataFrame, key: str) -> DataFrame:
 
 
 def repeated_ids(raw: DataFrame, earlier: DataFrame | None = None,
-                 small_batch: bool = False) -> DataFrame:
+                 small_batch: bool = False, filters: DataFrame | None = None,
+                 limit: int = BROADCAST_ROWS) -> DataFrame:
     """Ids that occur more than once: (transaction_id, first_seq, copies).
 
     `first_seq` is the row that keeps the id, or null when Silver holds the id from another
-    batch. Only ids and row numbers are shuffled, and the counts are partial before that.
+    batch. Only ids and row numbers are shuffled, and the counts are partial before that. With
+    `filters` of the earlier batches a large batch reads only candidates among their ids.
     """
     ids = raw.select(stripped(F.col("transaction_id")).alias("transaction_id"), "_row_seq").groupBy(
         "transaction_id").agg(F.min("_row_seq").alias("first_seq"), F.count("*").alias("copies"))
@@ -50,8 +53,12 @@ def repeated_ids(raw: DataFrame, earlier: DataFrame | None = None,
     known = earlier.select("transaction_id")
     if small_batch:
         # The caller counted the batch: its ids are few, so the history is not shuffled.
-        known = known.join(F.broadcast(ids.select("transaction_id")), "transaction_id", "left_semi")
-    known = known.distinct().withColumn("_known", F.lit(True))
+        known = known.join(F.broadcast(ids.select("transaction_id")), "transaction_id", "left_semi").distinct()
+    elif filters is not None:
+        known = known_ids(ids.select("transaction_id"), earlier, filters, limit)
+    else:
+        known = known.distinct()
+    known = known.withColumn("_known", F.lit(True))
     marked = ids.join(known, "transaction_id", "left")
     return marked.filter((F.col("copies") > 1) | F.col("_known")).select(
         "transaction_id", F.when(F.col("_known").isNull(), F.col("first_seq")).alias("first_seq"),
@@ -192,11 +199,12 @@ def build_silver(lake: Lake, batch_id: str, cfg: Config | None = None,
         lake.replace_batch(rows, f"silver.{name}_by_batch", batch_id)
 
     def write_repeated_ids() -> None:
-        earlier = None
+        earlier, filters = None, None
         if lake.exists("silver.routed"):
             earlier = lake.transactions().filter(F.col("batch_id") != batch_id)
+            filters = lake.read(FILTERS).filter(F.col("batch_id") != batch_id)
         # Written, so that its size is known before the wide rows are joined to it.
-        lake.replace_batch(repeated_ids(raw, earlier, raw.count() <= limit),
+        lake.replace_batch(repeated_ids(raw, earlier, raw.count() <= limit, filters, limit),
                            "silver.repeated_ids", batch_id)
 
     together(lambda: write_entity("customers", clean_customers),
@@ -206,7 +214,10 @@ def build_silver(lake: Lake, batch_id: str, cfg: Config | None = None,
         lake.entity_ids("customers"), lake.entity_ids("merchants"), cfg, as_of, limit,
         {"_customer": lake.read("silver.customers_by_batch"),
          "_merchant": lake.read("silver.merchants_by_batch")})
+    # A filter never stands beside other rows than its own: without one the rows are read instead.
+    lake.drop_batch(FILTERS, batch_id)
     lake.replace_batch(route(annotated, loaded_at), "silver.routed", batch_id, ("route",))
-    counts = together(lake.transactions(batch_id).count, lake.quarantine(batch_id).count,
-                      lake.read("silver.customers_by_batch", batch_id).count)
+    *counts, _ = together(lake.transactions(batch_id).count, lake.quarantine(batch_id).count,
+                          lake.read("silver.customers_by_batch", batch_id).count,
+                          lambda: write_filter(lake, batch_id))
     return dict(zip(("silver_count", "quarantine_count", "customer_count"), counts, strict=True))

@@ -16,7 +16,7 @@ from txnlake.functions.money import cents, cents_average, money_sum, percent, ra
 from txnlake.functions.parse import hours_before, iso_text, parse_amount, parse_date, with_timestamp
 from txnlake.functions.quantiles import quantiles, unpivoted
 from txnlake.functions.text import fixed_text, stripped
-from txnlake.operators import bronze, controls, gold, quality, silver
+from txnlake.operators import bronze, controls, gold, history, quality, silver
 from txnlake.plans import marts, reconciliation, reports
 from txnlake.plans.run import run_batch
 from txnlake.plans.workspace import lake_for
@@ -667,6 +667,14 @@ def v02_first_occurrence(c: Context) -> DataFrame:
     return _rule(c, "id_first")
 
 
+@query
+def v02_known_ids(c: Context) -> DataFrame:
+    """Ids of the second batch that Silver holds from the first one, found through its filter."""
+    first, second = feeds.BATCHES
+    ids = c.lake.read("bronze.raw_transactions", second).select(stripped(F.col("transaction_id")).alias("transaction_id")).distinct()
+    return history.known_ids(ids, c.lake.transactions(first), c.lake.read(history.FILTERS, first))
+
+
 @query
 def v03_amount_parse(c: Context) -> DataFrame:
     return _rule(c, "amount", "unparseable")

@@ -51,6 +51,8 @@ TABLES = {
         "transaction_id customer_id merchant_id payment_method ts:ts amount:d currency country "
         "channel device_type status raw_record rejection_reason _loaded_at:ts batch_id route"),
     "silver.repeated_ids": _struct("transaction_id first_seq:l copies:l batch_id"),
+    "silver.id_filters": _struct(
+        "n_blocks:l block:l w0:l w1:l w2:l w3:l w4:l w5:l w6:l w7:l batch_id"),
     "gold.dim_date": _struct(
         "date_sk:i full_date:date year:i quarter:i month:i month_name week_of_year:i "
         "day_of_month:i day_of_week:i day_name is_weekend:b"),

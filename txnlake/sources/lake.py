@@ -110,6 +110,12 @@ class Lake:
         self._swap(df.write.partitionBy(*partition_by), path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def drop_batch(self, table: str, batch_id: str) -> None:
+        """Delete one batch of a table, also an old one that lies aside."""
+        for path in (self._aside(self.path(table, batch_id)), self.path(table, batch_id)):
+            files, where = self._files(path)
+            files.delete(where, True)
+
     def _swap(self, writer: DataFrameWriter, path: str) -> None:
         """Write to a fresh folder and put it in the place of path only when that has worked.
 

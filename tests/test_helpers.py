@@ -132,3 +132,25 @@ def test_a_pass_moves_no_rows_but_bins(spark):
     rows = spark.range(200_000).select(F.struct(F.lit(1).alias("all")).alias("_g"), F.rand(3).alias("_v"))
     found = Q._refined(rows, ["floor(0.5D * (_n - 1))"], F.broadcast)
     assert found.first()["_at"][99_999] == sorted(r._v for r in rows.select("_v").collect())[99_999]
+
+
+def test_distinct_keys_of_unions(spark):
+    """Bitmaps of days give the distinct keys of any set of days; null keys and far keys are counted right."""
+    from txnlake.functions.distinct import distinct_keys, key_bits
+    rows = [(day, key) for day in range(6) for key in (1, 32768, 32769, day + 2, 10**6 * day + 40000, None)] + [(9, None), (None, 5)]
+    df = spark.createDataFrame(rows, "day int, key int")
+    bits = key_bits(df, "key", ["day"])
+    for ranges in ([0, 1], [2, 3, 4, 5, 9], [9], list(range(10))):
+        picked = distinct_keys(bits.filter(bits.day.isin(ranges)), [], "n").first().n
+        assert picked == len({key for day, key in rows if day in ranges and key is not None})
+    each = {row.day: row.n for row in distinct_keys(bits, ["day"], "n").collect()}
+    assert each == {day: len({key for d, key in rows if d == day and key is not None}) for day in {day for day, _ in rows}}
+
+
+def test_weekend_report_prunes_dates_at_run_time(spark, folder):
+    from txnlake.plans import reports
+    from txnlake.plans.workspace import lake_for
+    lake = lake_for(spark, folder)
+    found = reports.weekend_volume(lake.fact(), lake.read("gold.dim_date"))
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line]
+    assert any("dynamicpruning" in line and "date_sk" in line for line in scans)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from txnlake import schemas
 from txnlake.config import Config
+from txnlake.functions.distinct import distinct_keys, key_bits
 from txnlake.functions.keys import dense_keys
 from txnlake.functions.lookup import lookup
 from txnlake.functions.money import cents, cents_average, money_sum, percent, rate
@@ -105,6 +106,11 @@ class Context:
             _staged[key] = drift.build_reference(self.lake, self.first_features, "query")
         return _staged[key]
 
+    @property
+    def customer_bits(self) -> DataFrame:
+        """Customers of each date and country as bitmaps over their surrogate keys, stored."""
+        return self.staged("query_customer_bits", lambda: key_bits(self.fact, "customer_sk", ["date_sk", "country"]))
+
     @property
     def rough(self) -> DataFrame:
         """The feed as one batch with blank ids, unknown methods and untidy codes, annotated."""
@@ -913,6 +919,19 @@ def e05_count_distinct(c: Context) -> DataFrame:
     return c.silver.groupBy("country").agg(F.countDistinct("customer_id").alias("customers"))
 
 
+@query
+def e05_distinct_by_week(c: Context) -> DataFrame:
+    """Different customers of each week, from the stored bitmaps of its days."""
+    dates = c.dates.select("date_sk", "year", "week_of_year")
+    return distinct_keys(c.customer_bits.join(dates, "date_sk"), ["year", "week_of_year"], "customers")
+
+
+@query
+def e05_distinct_by_country(c: Context) -> DataFrame:
+    """Different customers of each country in all dates, from the same bitmaps."""
+    return distinct_keys(c.customer_bits, ["country"], "customers")
+
+
 @query
 def e06_median(c: Context) -> DataFrame:
     return quantiles(c.silver, "amount", ["payment_method"], [0.5], True).select(
@@ -1287,6 +1306,12 @@ def sink_date_layout(c: Context) -> DataFrame:
         F.count("*").alias("rows"))
 
 
+@query
+def sink_pruned_dates(c: Context) -> DataFrame:
+    """Weekend days of the fact table; which partitions are read comes from the date dimension."""
+    return reports.weekend_volume(c.fact, c.dates)
+
+
 @query
 def sink_materialisation(c: Context) -> DataFrame:
     """View models answer through SQL, table models from their files."""

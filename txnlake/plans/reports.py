@@ -49,6 +49,19 @@ def daily_volume(fact: DataFrame, dates: DataFrame) -> DataFrame:
     ).orderBy(F.desc("transaction_date"))
 
 
+def weekend_volume(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Volume and value of weekend days.
+
+    The days are known only when the date dimension was filtered; the scan of the fact table
+    waits for them and reads the partitions of these days alone.
+    """
+    # Spark prunes by a comparison; a bare flag is not thought to be selective.
+    days = dates.filter("day_of_week IN (0, 6)").select("date_sk", "full_date", "day_name")
+    return summed(fact, "date_sk").join(days, "date_sk").select(
+        "full_date", "day_name", F.col("transactions").alias("total_transactions"),
+        F.col("total").cast("double").alias("total_value_gbp"), _average().alias("avg_transaction_amount"))
+
+
 def status_mix(fact: DataFrame) -> DataFrame:
     # Silver admits five statuses, so the window runs over five rows.
     counted = fact.groupBy("status").agg(F.count("*").alias("transaction_count"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import random
 import tempfile
 from datetime import datetime
 from pathlib import Path
@@ -85,6 +87,60 @@ def test_quoted_line_ends_stay_in_their_field(spark, files):
     assert [r.b for r in df.orderBy("_row_seq").collect()] == ["two\nlines", "x"]
 
 
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def untidy_rows(seed, rows):
+    """Rows of fields with line ends, quotes, commas and empty lines inside."""
+    draw = random.Random(seed)
+    parts = ["\n", "\n\n", '"', ",", '","', "x", "a b", "", '"\n"', "\n,\n", "\r", " "]
+    return [[str(i), "".join(draw.choices(parts, k=draw.choice([0, 1, 3, 9, 400 if i % 90 == 7 else 2]))),
+             draw.choice(["", "z", "tail"])] for i in range(rows)]
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+@pytest.mark.parametrize("always", [True, False])
+def test_quoted_line_ends_are_read_by_many_tasks(spark, tmp_path, small_splits, line_end, always):
+    rows = {name: untidy_rows(name, 600) for name in ("p1", "p2")}
+    for name, values in rows.items():
+        with open(tmp_path / f"{name}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator=line_end, quoting=csv.QUOTE_ALL if always else csv.QUOTE_MINIMAL)
+            writer.writerows([["a", "b\nc", "d"], *values])
+    read = read_csv(spark, str(tmp_path))
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 4 and read.columns == ["a", "b\nc", "d", "_row_seq"]
+    found = read.orderBy("_row_seq").collect()
+    assert [list(row)[:3] for row in found] == [*rows["p1"], *rows["p2"]]
+    assert len({row._row_seq for row in found}) == 1200
+
+
+def test_quotes_inside_plain_fields_open_nothing(spark, files):
+    text = 'a,b\n1,5" pipe\n2,"two\nlines"\n3,x"y,\n\n4,"q""\n"" r"\n'.replace('x"y,', 'x"y')
+    assert [tuple(r)[:2] for r in read_csv(spark, files("x.csv", text)).orderBy("_row_seq").collect()] == [
+        ("1", '5" pipe'), ("2", "two\nlines"), ("3", 'x"y'), ("4", 'q"\n" r')]
+
+
+def test_a_quote_that_is_never_closed_is_unreadable(spark, files):
+    with pytest.raises(UnreadableFile, match="not closed"):
+        read_csv(spark, files("x.csv", 'a,b\n1,"two\nlines\n2,x\n'))
+
+
+def test_too_many_fields_and_other_headers_beside_quoted_line_ends(spark, tmp_path):
+    (tmp_path / "p1.csv").write_text('a,b\n1,"two\nlines"\n2,x,y\n')
+    with pytest.raises(PySparkException, match="more fields than columns"):
+        read_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "p1.csv").write_text('a,b\n1,"two\nlines"\n2\n')
+    assert [tuple(r)[:2] for r in read_csv(spark, str(tmp_path)).orderBy("_row_seq").collect()] == [
+        ("1", "two\nlines"), ("2", "")]
+    (tmp_path / "p2.csv").write_text('a,c\n3,y\n')
+    with pytest.raises(PySparkException, match="header differs"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
 @pytest.mark.parametrize("text", ["", None])
 def test_unreadable_files(spark, files, text):
     path = files("x.csv", text) if text is not None else files("x.csv", "") + ".missing"

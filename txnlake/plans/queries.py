@@ -1215,6 +1215,18 @@ def src_csv_scan(c: Context) -> DataFrame:
     return read_csv(c.spark, _files(c)["transactions"]).drop("_row_seq")
 
 
+@query
+def src_csv_quoted(c: Context) -> DataFrame:
+    """The transaction feed with line ends, commas and quotes in a field, after a round trip through CSV files."""
+    path = f"{c.lake.root}/files/quoted"
+    untidy = F.concat("channel", F.lit('\n"'), "customer_id", F.lit('",\n\n'), "status")
+    if (c.lake.root, "quoted") not in _staged:
+        feeds.transactions(c.spark, c.folder).drop("_row_seq").withColumn("channel", untidy).write.mode(
+            "overwrite").options(header=True, escape='"').csv(path)
+        _staged[(c.lake.root, "quoted")] = c.spark.range(0)
+    return read_csv(c.spark, path).drop("_row_seq")
+
+
 @query
 def src_schema_contract(c: Context) -> DataFrame:
     """Contract results of three files, one of them against the wrong contract."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.prelude import CTES, quantile_rows
 
 TREES, PER_TREE, SEED, DEPTH = 100, 256, 42, 8
@@ -70,3 +72,15 @@ CTES["forest_quantiles"] = quantile_rows("forest_scored", "anomaly_score", "one"
     "SELECT one AS grp", "SELECT 1 AS grp").replace("PARTITION BY one", "PARTITION BY 1")
 CTES["forest_calibrated"] = CTES["calibrated"].replace("score_quantiles", "forest_quantiles").replace(
     "FROM scored s", "FROM forest_scored s")
+
+# The same forest over the rows of the first batch; it scores these, whose scores give the bounds, and the second batch.
+for name in [name for name in CTES if name.startswith("forest_")]:
+    CTES[f"first_{name}"] = re.sub(r"\bforest_", "first_forest_", CTES[name])
+CTES["walked_features"] = """
+    SELECT *, TRUE AS fitted FROM first_features UNION ALL SELECT *, FALSE AS fitted FROM second_features"""
+CTES["walked_rows"] = CTES["forest_rows"].replace("FROM features", "FROM walked_features")
+CTES["first_forest_rows"] = CTES["forest_rows"].replace("FROM features", "FROM first_features")
+CTES["first_forest_walk_a"] = CTES["first_forest_walk_a"].replace("FROM first_forest_rows", "FROM walked_rows")
+CTES["first_forest_scored"] = CTES["first_forest_scored"].replace("FROM features f", "FROM walked_features f")
+CTES["first_forest_quantiles"] = CTES["first_forest_quantiles"].replace(
+    "FROM first_forest_scored WHERE", "FROM first_forest_scored WHERE fitted AND")

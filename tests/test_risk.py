@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from txnlake.risk import calibrate, drift, explain, gates, iforest, scoring
+from txnlake.risk import calibrate, drift, explain, gates, iforest, scoring, stored
 from txnlake.risk.features import FEATURES, MODEL_INPUTS
 
 SMALL = iforest.ForestParams(trees=25, per_tree=64)
@@ -248,3 +250,80 @@ def test_batch_gate(spark):
 
 def test_feature_names():
     assert len(FEATURES) == 15 and len(MODEL_INPUTS) == 8
+
+
+@pytest.fixture
+def two_batches(lake):
+    """Silver of two batches; the second one has other amounts when `shift` is given."""
+    def make(shift=0.0):
+        for batch, start in (("B1", 0), ("B2", 600)):
+            k = F.col("id")
+            rows = lake.spark.range(start, start + 600).select(
+                F.concat(F.lit("T"), k).alias("transaction_id"), F.concat(F.lit("C"), k % 40).alias("customer_id"),
+                F.concat(F.lit("M"), k % 15).alias("merchant_id"), F.lit("debit_card").alias("payment_method"),
+                (F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(hours=k % 480)).cast("timestamp_ntz").alias("ts"),
+                (F.pmod(F.xxhash64("id"), F.lit(5000)) / 100 + F.lit(shift if start else 0.0)).alias("amount"),
+                F.lit("GBP").alias("currency"), F.lit("GB").alias("country"), F.lit("SUCCESS").alias("status"),
+                F.lit("silver").alias("route"))
+            lake.replace_batch(rows, "silver.routed", batch, ("route",))
+        return lake
+    return make
+
+
+AT = datetime(2024, 2, 1)
+
+
+def test_a_second_batch_is_scored_without_a_fit(two_batches):
+    lake = two_batches()
+    first = stored.score_batch(lake, "B1", SMALL, AT)
+    nodes = lake.read(stored.NODES).collect()
+    assert (first["model_id"], first["refitted"], first["total_scored"]) == ("B1", True, 600)
+    second = stored.score_batch(lake, "B2", SMALL, AT)
+    assert (second["model_id"], second["refitted"], second["drifted"]) == ("B1", False, [])
+    assert lake.read(stored.NODES).collect() == nodes and lake.read(stored.VERSIONS).count() == 1
+    # All of Silver was fitted, so the same rows get the same raw score in one go.
+    features = stored.batch_features(lake, "B2")
+    by_hand = {r.transaction_id: (r.anomaly_score, r.risk_score) for r in stored.scored_with(lake, "B1", features).collect()}
+    kept = lake.read(stored.SCORES, "B2")
+    assert {r.transaction_id: (r.anomaly_score, r.risk_score) for r in kept.collect()} == by_hand and len(by_hand) == 600
+    # A rerun replaces the rows and the counts of its batch only.
+    stored.score_batch(lake, "B2", SMALL, AT)
+    assert lake.read(stored.SCORES).count() == 1200
+    counts = lake.read(stored.COUNTS).filter("feature = 'amount'").groupBy("batch_id").agg(F.sum("rows").alias("n"))
+    assert {r.batch_id: r.n for r in counts.collect()} == {"B1": 600, "B2": 600}
+
+
+def test_drift_of_stored_counts_equals_drift_of_the_rows(two_batches):
+    lake = two_batches()
+    parts = {batch: stored.batch_features(lake, batch) for batch in ("B1", "B2")}
+    stored.fit_model(lake, "M", parts["B1"], SMALL, AT)
+    for batch, rows in parts.items():
+        stored.keep_counts(lake, "M", batch, rows)
+    profile = lake.read(stored.PROFILE, "M")
+    both = parts["B1"].unionByName(parts["B2"])
+    for batches, rows in ((["B2"], parts["B2"]), (["B1", "B2"], both), (None, both)):
+        assert sorted(stored.drift_of(lake, "M", batches).collect()) == sorted(drift.monitor(rows, profile).collect())
+    files = stored.drift_of(lake, "M").inputFiles()
+    assert files and all("/models/drift_" in file for file in files)
+
+
+def test_drift_fits_another_version(two_batches):
+    lake = two_batches(shift=400.0)
+    stored.score_batch(lake, "B1", SMALL, AT)
+    # The first fit saw all of Silver; here the model knows the first batch only.
+    stored.fit_model(lake, "B1", stored.batch_features(lake, "B1"), SMALL, AT)
+    found = stored.score_batch(lake, "B2", SMALL, datetime(2024, 2, 2))
+    assert found["refitted"] and "amount" in found["drifted"] and stored.model_in_force(lake) == "B2"
+    assert {r.model_id for r in lake.read(stored.SCORES, "B2").select("model_id").distinct().collect()} == {"B2"}
+    assert lake.read(stored.COUNTS, "B2").select("model_id").distinct().collect()[0][0] == "B2"
+
+
+def test_a_fit_that_stops_halfway_leaves_the_model_in_force(two_batches, monkeypatch):
+    lake = two_batches()
+    stored.score_batch(lake, "B1", SMALL, AT)
+    monkeypatch.setattr(drift, "build_reference", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        stored.fit_model(lake, "B9", stored.batch_features(lake, "B1"), SMALL, datetime(2024, 3, 1))
+    assert stored.model_in_force(lake) == "B1"
+    with pytest.raises(ValueError):
+        stored.fit_model(lake, "B8", stored.batch_features(lake, "none"), SMALL)

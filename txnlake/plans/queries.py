@@ -21,7 +21,7 @@ from txnlake.operators import bronze, controls, gold, history, quality, silver
 from txnlake.plans import marts, reconciliation, reports
 from txnlake.plans.run import run_batch
 from txnlake.plans.workspace import lake_for
-from txnlake.risk import calibrate, drift, explain, features, gates, iforest, scoring
+from txnlake.risk import calibrate, drift, explain, features, gates, iforest, scoring, stored
 from txnlake.session import apply_settings
 from txnlake.sources import feeds
 from txnlake.sources.defects import inject_defects
@@ -568,6 +568,43 @@ def psi_drift(c: Context) -> DataFrame:
     return drift.monitor(c.features, c.profile)
 
 
+def _features_of(c: Context, batch: str) -> DataFrame:
+    """Features of one batch, by the profiles of all batches."""
+    return c.staged(f"query_features_{batch}", lambda: features.extract_features(
+        c.lake, scope=batch, rows=c.lake.transactions(batch)))
+
+
+def _first_model(c: Context) -> Lake:
+    """The lake with a version of the model fitted on the first batch; both batches are counted against it."""
+    def make() -> DataFrame:
+        model = feeds.BATCHES[0]
+        stored.fit_model(c.lake, model, c.first_features, fitted_at=feeds.AS_OF)
+        for batch in feeds.BATCHES:
+            stored.keep_counts(c.lake, model, batch, _features_of(c, batch))
+        return c.lake.read(stored.VERSIONS, model)
+
+    c.staged("query_first_model", make)
+    return c.lake
+
+
+@query
+def risk_batch_scored(c: Context) -> DataFrame:
+    """The second batch by the stored forest and bounds of the first one."""
+    lake = _first_model(c)
+    rows = _features_of(c, feeds.BATCHES[1])
+    return explain.add_explanations(stored.scored_with(lake, feeds.BATCHES[0], rows)).select(
+        "transaction_id", "anomaly_score", "risk_score", "risk_tier", "risk_reasons")
+
+
+@query
+def drift_of_batches(c: Context) -> DataFrame:
+    """Each batch and both together against the stored profile of the first one, from stored counts."""
+    lake = _first_model(c)
+    parts = [stored.drift_of(lake, feeds.BATCHES[0], batches).withColumn("batches", F.lit("+".join(batches)))
+             for batches in ([feeds.BATCHES[0]], [feeds.BATCHES[1]], list(feeds.BATCHES))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def model_metadata(c: Context) -> DataFrame:
     return scoring.model_metadata(c.calibrated).drop("feature_columns")

@@ -24,9 +24,13 @@ def tier(score: Column) -> Column:
         score.isNotNull(), "HIGH")
 
 
-def calibrate(scored: DataFrame, column: str = "anomaly_score") -> DataFrame:
-    """Add risk_score (100 is most anomalous) and risk_tier. Lower raw scores are riskier."""
-    bounds = score_bounds(scored, column).select(F.struct("low", "high").alias("b")).scalar()
+def calibrate(scored: DataFrame, column: str = "anomaly_score", bounds: DataFrame | None = None) -> DataFrame:
+    """Add risk_score (100 is most anomalous) and risk_tier. Lower raw scores are riskier.
+
+    `bounds` is one row of score_bounds, of the rows themselves by default.
+    """
+    found = score_bounds(scored, column) if bounds is None else bounds
+    bounds = found.select(F.struct("low", "high").alias("b")).scalar()
     low, high = F.col("_bounds.low"), F.col("_bounds.high")
     clipped = F.least(F.greatest(F.col(column), low), high)
     share = (high - clipped) / (high - low + F.lit(1e-6)) * 100.0

@@ -40,15 +40,14 @@ def histogram(rows: DataFrame, edges: DataFrame) -> DataFrame:
         F.count("*").alias("rows"))
 
 
-def bin_shares(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """(feature, edges, bin, share, out_of_range), one row for every bin, empty ones included."""
+def bin_shares(counts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(feature, edges, bin, share, out_of_range) of a histogram, one row for every bin, empty ones included."""
     # At most BINS + 1 rows per feature from here on.
     feature, binned = Window.partitionBy("feature"), F.col("bin").isNotNull()
     over = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("rows"))).over(feature), F.lit(0))
-    filled = histogram(rows, edges)
     bins = edges.withColumn("bin", F.explode(
         F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0)))))
-    every = filled.unionByName(bins.select("feature", "bin", F.lit(0).cast("long").alias("rows")))
+    every = counts.unionByName(bins.select("feature", "bin", F.lit(0).cast("long").alias("rows")))
     summed = every.groupBy("feature", "bin").agg(F.sum("rows").alias("rows")).withColumns(
         {"total": over(binned), "out_of_range": over(~binned)}).filter(binned)
     share = F.col("rows") / F.greatest(F.col("total"), F.lit(1))
@@ -62,7 +61,7 @@ def build_reference(lake: Lake, features: DataFrame, name: str = "drift") -> Dat
     The profile is kept in the lake under `name`.
     """
     edges = lake.stage(reference_edges(features), f"{name}_edges")
-    shares = bin_shares(unpivoted(features, WATCHED), edges).groupBy("feature", "edges").agg(
+    shares = bin_shares(histogram(unpivoted(features, WATCHED), edges), edges).groupBy("feature", "edges").agg(
         F.array_sort(F.collect_list(F.struct("bin", "share"))).alias("bins"))  # at most BINS
     return lake.stage(shares.select("feature", "edges", F.col("bins.share").alias("ref_pct")),
                       f"{name}_profile")
@@ -70,7 +69,12 @@ def build_reference(lake: Lake, features: DataFrame, name: str = "drift") -> Dat
 
 def stability(features: DataFrame, profile: DataFrame) -> DataFrame:
     """(feature, psi, out_of_range) with the exact index. Fewer than three edges give 0."""
-    current = bin_shares(unpivoted(features, WATCHED), profile.select("feature", "edges"))
+    return stability_of_counts(histogram(unpivoted(features, WATCHED), profile.select("feature", "edges")), profile)
+
+
+def stability_of_counts(counts: DataFrame, profile: DataFrame) -> DataFrame:
+    """The same from a histogram (feature, bin, rows) over the bins of the profile."""
+    current = bin_shares(counts, profile.select("feature", "edges"))
     reference = profile.select(
         "feature", F.posexplode("ref_pct").alias("bin", "ref_share"))
     now = F.greatest(F.col("share"), F.lit(LEAST_SHARE))
@@ -86,7 +90,11 @@ def stability(features: DataFrame, profile: DataFrame) -> DataFrame:
 
 def monitor(features: DataFrame, profile: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(feature, psi, status, out_of_range): DRIFT from the threshold on."""
-    return stability(features, profile).select(
+    return verdicts(stability(features, profile), threshold)
+
+
+def verdicts(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    return found.select(
         "feature", F.round("psi", 4).alias("psi"),
         F.when(F.col("psi") >= threshold, "DRIFT").otherwise("STABLE").alias("status"),
         "out_of_range")

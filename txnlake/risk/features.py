@@ -43,12 +43,13 @@ def merchant_profile(transactions: DataFrame, merchants: DataFrame) -> DataFrame
 
 
 def extract_features(lake: Lake, transactions: DataFrame | None = None, scope: str = "all",
-                     limit: int = BROADCAST_ROWS) -> DataFrame:
+                     limit: int = BROADCAST_ROWS, rows: DataFrame | None = None) -> DataFrame:
     """Fifteen columns per transaction.
 
     Both profiles are summed and written first; each has one row per key, so the wide rows
     are joined twice and never meet a busy key unsalted. `scope` keeps the profiles of
-    different sets of transactions apart.
+    different sets of transactions apart. `rows` are the transactions that get features, when
+    these are not all whose profiles are taken.
     """
     transactions = lake.transactions() if transactions is None else transactions
     customers, merchants = together(
@@ -56,10 +57,11 @@ def extract_features(lake: Lake, transactions: DataFrame | None = None, scope: s
                            f"customer_profile_{scope}"),
         lambda: lake.stage(merchant_profile(transactions, lake.entity_ids("merchants")),
                            f"merchant_profile_{scope}"))
-    df = transactions
+    rows = transactions if rows is None else rows
+    df = rows
     for key, profile in (("customer_id", customers), ("merchant_id", merchants)):
         df = lookup(df, profile, key, salt_by="transaction_id", limit=limit,
-                    hot=lambda key=key: hot_keys(transactions, key))
+                    hot=lambda key=key: hot_keys(rows, key))
     average = F.coalesce("customer_avg_amount", "amount")
     # amount / (average + 0.01) in whole numbers: millionths over hundredths.
     hundredths = F.round(average * 100).cast("long") + 1

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 _TYPES = {
     "s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType(),
     "b": T.BooleanType(), "date": T.DateType(), "ts": T.TimestampNTZType(),
-    "dec": T.DecimalType(18, 6),
+    "dec": T.DecimalType(18, 6), "ds": T.ArrayType(T.DoubleType()),
 }
 
 
@@ -68,6 +68,16 @@ TABLES = {
     "gold.fact_transactions_risk": _struct(
         "transaction_id amount:d risk_score:d risk_tier risk_reasons amount_ratio:d "
         "merchant_failure_rate:d country_mismatch:i _scored_at:ts"),
+    "gold.risk_by_batch": _struct(
+        "transaction_id amount:d anomaly_score:d risk_score:d risk_tier risk_reasons amount_ratio:d "
+        "merchant_failure_rate:d country_mismatch:i _scored_at:ts model_id batch_id"),
+    # Versions of the model; batch_id is the name of the version.
+    "models.versions": _struct("training_rows:l fitted_at:ts batch_id"),
+    "models.forest_nodes": _struct(
+        "tree:i node:i feature:i threshold:d left_node:i right_node:i path_length:d sample_rows:i batch_id"),
+    "models.score_bounds": _struct("low:d high:d batch_id"),
+    "models.drift_profile": _struct("feature edges:ds ref_pct:ds batch_id"),
+    "models.drift_counts": _struct("model_id feature bin:i rows:l batch_id"),
 }
 
 # Column order shown to readers, where it differs from the stored order.

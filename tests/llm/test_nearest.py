@@ -6,6 +6,8 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
+
 from txnlake.llm import toxicity
 
 
@@ -33,3 +35,33 @@ def test_neighbours(spark):
         assert len(row["evidence"]) == len(expected)
         for one, cosine in zip(row["evidence"], expected):
             assert abs(one["cosine"] - cosine) < 1e-8 and abs(cosines[one["id"]] - cosine) < 1e-8
+
+
+def test_bounds():
+    """The bounds read few blocks, and the neighbours are those of all products."""
+    rng = np.random.default_rng(3)
+    size, terms, asked = 1024, 600, 40
+    group = np.arange(size) % 16
+    vectors = np.zeros((size, terms))
+    for place in range(size):
+        vectors[place, rng.integers(0, 24, 12)] = rng.uniform(0.1, 0.3, 12)
+        vectors[place, 24 + group[place]] = 4
+        vectors[place, 100 + rng.integers(0, 500, 25)] = rng.uniform(1, 2, 25)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    row, term = np.nonzero(vectors)
+    often = np.bincount(term, minlength=terms)
+    index = toxicity.Index(row, term, vectors[row, term], vectors[row, term] * often[term], size, terms)
+    places = index.order
+    left_out = rng.integers(0, size, asked)
+    queries = vectors[places[left_out]]
+    read, inner = [], index._read
+    index._read = lambda *given: (read.append(next(one for one in given if np.ndim(one) == 2 and one.dtype == bool).sum()), inner(*given))[1]
+    row, term = np.nonzero(queries)
+    near, where = index.nearest(asked, row, term, queries[row, term], 15, left_out)
+    every = np.round(queries @ vectors[places].T, toxicity.DECIMALS)
+    every[np.arange(asked), left_out] = 0
+    for own in range(asked):
+        expected = np.lexsort((np.arange(size), -every[own]))[:15]
+        assert where[own].tolist() == expected.tolist()
+        assert np.abs(near[own] - every[own, expected]).max() < 1e-8
+    assert sum(read) <= 0.25 * asked * index.blocks, sum(read) / asked / index.blocks

@@ -90,12 +90,12 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Posting lists of all terms of the examples, in blocks of examples with the largest weight of each block.
+    """Posting lists of all terms of the examples; the longest ones as dense rows of blocks of examples.
 
-    No example of a block can have a larger cosine than the product of the query and those
-    weights. The blocks of the largest bounds are read first; then all blocks whose bound is not
-    below the last neighbour so far, so the neighbours are exact. The longest lists are dense in
-    each block, so their part of a block is a product of matrices.
+    A query's products with the short lists are added up first. What the dense rows can add for any
+    example of a block is at most the product of the query and the block's largest weights. The
+    blocks of the largest bounds are read first; then all blocks whose bound is not below the last
+    neighbour so far, so the neighbours are exact.
     """
 
     def __init__(self, row: np.ndarray, term: np.ndarray, weights: np.ndarray, common: np.ndarray, size: int, terms: int):
@@ -119,14 +119,8 @@ class Index:
         self.dense_most = self.dense.max(axis=2, initial=0.0).T
         term, place, weights = term[~own], place[~own], weights[~own]
         order = np.lexsort((place, term))
-        self.place, self.weight, term = place[order], weights[order], term[order]
-        # A list is a run of postings of one term in one block.
-        lists = term * max(1, self.blocks) + self.place // BLOCK
-        self.first = np.flatnonzero(np.concatenate([[True], lists[1:] != lists[:-1]])) if len(lists) else np.zeros(0, np.int64)
-        self.count = np.diff(np.append(self.first, len(lists)))
-        self.block = self.place[self.first] // BLOCK
-        self.most = np.maximum.reduceat(self.weight, self.first) if len(lists) else self.weight
-        self.lists = np.searchsorted(term[self.first], np.arange(terms + 1))
+        self.place, self.weight = place[order], weights[order]
+        self.lists = np.searchsorted(term[order], np.arange(terms + 1))
 
     def nearest(self, size: int, row: np.ndarray, term: np.ndarray, weights: np.ndarray, count: int,
                 left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -142,42 +136,41 @@ class Index:
         queries = np.zeros((size, self.dense.shape[1]))
         queries[row[hot >= 0], hot[hot >= 0]] = weights[hot >= 0]
         row, term, weights = row[hot < 0], term[hot < 0], weights[hot < 0]
-        often = self.lists[term + 1] - self.lists[term]
-        entry, row, weights = _ranges(self.lists[term], often), np.repeat(row, often), np.repeat(weights, often)
-        pair = row * self.blocks + self.block[entry]
-        bounds = np.bincount(pair, weights * self.most[entry], size * self.blocks).reshape(size, -1) + queries @ self.dense_most
+        often, width = self.lists[term + 1] - self.lists[term], self.blocks * BLOCK
+        posting = _ranges(self.lists[term], often)
+        spot = np.repeat(row * width, often)
+        spot += self.place[posting]
+        power = np.repeat(weights, often)
+        power *= self.weight[posting]
+        found = np.bincount(spot, power, size * width).astype(np.float64, copy=False).reshape(size, self.blocks, BLOCK)
+        bounds = found.max(axis=2) + queries @ self.dense_most
         leading = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
         read = np.zeros(bounds.shape, bool)
         np.put_along_axis(read, leading, True, axis=1)
-        found = self._read(size, queries, entry, row, weights, pair, read, left_out)
-        last = np.partition(found, -count, axis=1)[:, -count] if self.size >= count else np.zeros(size)
-        rest = ~read & (bounds >= last[:, None] - 2 * EPSILON)
-        found += self._read(size, queries, entry, row, weights, pair, rest, left_out)
-        last = np.partition(found, -count, axis=1)[:, -count] if self.size >= count else np.zeros(size)
-        own, place = np.nonzero((found >= last[:, None]) & (found > EPSILON))
-        order = np.lexsort((place, -found[own, place], own))
-        own, place = own[order], place[order]
+        self._read(found, queries, read, left_out)
+        some = np.take_along_axis(found, leading[:, :, None], axis=1).reshape(size, -1)
+        last = np.round(np.partition(some, -count, axis=1)[:, -count], DECIMALS) if some.shape[1] >= count else np.zeros(size)
+        self._read(found, queries, ~read & (bounds >= last[:, None] - 2 * EPSILON), left_out)
+        # What was not read is below its bound.
+        found = found.reshape(size, width)
+        own, place = np.nonzero((found >= last[:, None] - EPSILON) & (found > EPSILON / 2))
+        power = np.round(found[own, place], DECIMALS)
+        own, place, power = own[power > EPSILON], place[power > EPSILON], power[power > EPSILON]
+        order = np.lexsort((place, -power, own))
+        own, place, power = own[order], place[order], power[order]
         rank = np.arange(len(own)) - np.searchsorted(own, own)
-        own, place, rank = own[rank < count], place[rank < count], rank[rank < count]
-        best[own, rank], where[own, rank] = found[own, place], place
+        own, place, power, rank = own[rank < count], place[rank < count], power[rank < count], rank[rank < count]
+        best[own, rank], where[own, rank] = power, place
         return best, where
 
-    def _read(self, size, queries, entry, row, weights, pair, chosen, left_out) -> np.ndarray:
-        """Cosines with the examples of the chosen blocks, zero elsewhere."""
-        part = chosen.ravel()[pair]
-        entry, often = entry[part], self.count[entry[part]]
-        posting, width = _ranges(self.first[entry], often), self.blocks * BLOCK
-        found = np.bincount(np.repeat(row[part], often) * width + self.place[posting],
-                            np.repeat(weights[part], often) * self.weight[posting], size * width)
-        found = found.astype(np.float64, copy=False).reshape(size, self.blocks, BLOCK)
+    def _read(self, found: np.ndarray, queries: np.ndarray, chosen: np.ndarray, left_out: np.ndarray | None) -> None:
+        """Add the products with the dense rows of the chosen blocks."""
         for block in np.flatnonzero(chosen.any(axis=0)):
             own = np.flatnonzero(chosen[:, block])
             found[own, block] += queries[own] @ self.dense[block]
-        found = np.round(found.reshape(size, width)[:, :self.size], DECIMALS)
         if left_out is not None:
             some = np.flatnonzero(left_out >= 0)
-            found[some, left_out[some]] = 0.0
-        return found
+            found[some, left_out[some] // BLOCK, left_out[some] % BLOCK] = 0.0
 
 
 class Model:

@@ -37,6 +37,50 @@ def test_neighbours(spark):
             assert abs(one["cosine"] - cosine) < 1e-8 and abs(cosines[one["id"]] - cosine) < 1e-8
 
 
+def test_stems(spark):
+    """Insults with ever new endings are known by their stems, which count as terms of the cosine."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda least: "".join(rng.choice(letters) for _ in range(rng.randint(least, 9)))
+    common = [word(3) for _ in range(150)]
+    texts, labels = {}, []
+    for i in range(1200):
+        words = [rng.choice(common) for _ in range(rng.randint(20, 80))] + [word(7) for _ in range(10)]
+        if i % 4 == 0:
+            words += [rng.choice(["grobia", "lumpen"]) + word(3) for _ in range(2)]
+        rng.shuffle(words)
+        texts[i] = " ".join(words)
+        labels.append((i, int(i % 4 == 0)))
+    scored = toxicity.toxicity(spark.createDataFrame(list(texts.items()), "doc_id long, text string"),
+                               spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [row for row in scored if row["held_out"]]
+    caught = [row["predicted"] for row in held if row["doc_id"] % 4 == 0]
+    alone = [1 - row["predicted"] for row in held if row["doc_id"] % 4]
+    assert sum(caught) >= 0.9 * len(caught) and sum(alone) >= 0.9 * len(alone)
+
+    examples = [row["doc_id"] for row in scored if not row["held_out"]]
+    told = np.array([i % 4 == 0 for i in examples], float)
+    stems = toxicity.telling_stems([texts[i] for i in examples], told)
+    assert {b"grob", b"grobi", b"grobia", b"lump", b"lumpe", b"lumpen"} <= set(stems)
+    known = {stem.decode() for stem in stems}
+    counts = {}
+    for i, text in texts.items():
+        counts[i] = Counter(text.split())
+        for one, n in list(counts[i].items()):
+            counts[i].update({("stem", one[:k]): n for k in toxicity.STEMS if len(one) >= k and one[:k] in known})
+    frequency = Counter(term for one in counts.values() for term in one)
+    vectors = {}
+    for i, one in counts.items():
+        own = {term: (1 + math.log(n)) * (math.log((1 + len(texts)) / (1 + frequency[term])) + 1) for term, n in one.items()}
+        length = math.sqrt(sum(x * x for x in own.values()))
+        vectors[i] = {term: x / length for term, x in own.items()}
+    for row in held[:60]:
+        own = vectors[row["doc_id"]]
+        cosines = sorted((sum(x * vectors[i].get(term, 0.0) for term, x in own.items()) for i in examples), reverse=True)
+        for one, cosine in zip(row["evidence"], cosines[:toxicity.NEIGHBOURS], strict=True):
+            assert abs(one["cosine"] - cosine) < 1e-8
+
+
 def test_bounds():
     """The bounds read few blocks, and the neighbours are those of all products."""
     rng = np.random.default_rng(3)

@@ -1,11 +1,11 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max index."""
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine of words and telling stems over a block-max index."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from itertools import chain, repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,8 @@ EXAMPLES = 2048
 NEIGHBOURS, PRIOR_WEIGHT = 15, 0.25
 #: Examples in a block of the index.
 BLOCK = 64
+#: First bytes of a word that are terms of their own, and the chi-square over the examples from which on they are.
+STEMS, TELLING = (4, 5, 6), 25.0
 #: Texts scored at a time, and blocks of each that are read before the bounds decide on the others.
 ROWS, FIRST = 128, 2
 #: The terms with the longest posting lists have them as dense rows of each block, if at least one example in HOT_SHARE
@@ -55,33 +57,82 @@ def sampled(labelled: DataFrame, row_id: str, label: str, most: int) -> tuple[Da
     return parts[0].unionByName(parts[1]), weights
 
 
-class Vocabulary:
-    """The words of the examples, in order, with their places."""
+def telling_stems(texts: list[str], labels: np.ndarray) -> list[bytes]:
+    """Starts of words that the toxic and the other examples hold in different shares, by chi-square, in order.
+
+    Inflected or compound words hardly occur twice, but their first letters do.
+    """
+    held = [Counter(), Counter()]
+    for text, label in zip(texts, labels.tolist()):
+        held[int(label)].update({word[:size] for word in set(words_of(text)) for size in STEMS if len(word) >= size})
+    sizes = [int((labels == kind).sum()) for kind in (0, 1)]
+    stems = sorted(held[0].keys() | held[1].keys())
+    clean, toxic = (np.array([one[stem] for stem in stems], np.float64) for one in held)
+    off = toxic * (sizes[0] - clean) - clean * (sizes[1] - toxic)
+    spread = float(sizes[0]) * sizes[1] * (clean + toxic) * (sum(sizes) - clean - toxic)
+    strength = np.divide(off * off * sum(sizes), spread, out=np.zeros(len(stems)), where=spread > 0)
+    return [stems[place] for place in np.flatnonzero(strength >= TELLING)]
 
-    def __init__(self, texts: list[str]):
-        self.words = sorted(set(chain.from_iterable(map(words_of, texts))))
-        self.place = {word: place for place, word in enumerate(self.words)}
+
+class Vocabulary:
+    """The terms of the examples with their places: their words in order, then the telling stems."""
+
+    def __init__(self, words: list[bytes], stems: list[bytes]):
+        self.words, self.stems, self.size = words, stems, len(words) + len(stems)
+        self.place = {word: place for place, word in enumerate(words)}
+        self.stem_place = {stem: place for place, stem in enumerate(stems, len(words))}
+        self.starts = {stem[:STEMS[0]] for stem in stems}
+        # The stems of each known word, one after the other.
+        own = [self._stems(word) for word in words]
+        self.often = np.array([len(one) for one in own], np.int64)
+        self.first = np.cumsum(self.often) - self.often
+        self.of_words = np.array(list(chain.from_iterable(own)), np.int64)
 
     def __reduce__(self):
-        # Only the words travel.
-        return _vocabulary, (self.words,)
+        # Only the terms travel.
+        return Vocabulary, (self.words, self.stems)
+
+    @staticmethod
+    def of(texts: list[str], labels: np.ndarray) -> Vocabulary:
+        return Vocabulary(sorted(set(chain.from_iterable(map(words_of, texts)))), telling_stems(texts, labels))
+
+    def _stems(self, word: bytes) -> list[int]:
+        """The places of the telling stems of a word."""
+        if word[:STEMS[0]] not in self.starts:
+            return []
+        found = [self.stem_place.get(word[:size]) for size in STEMS if len(word) >= size]
+        return [place for place in found if place is not None]
+
+    def stems_of(self, places: np.ndarray, words: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(place, which word) of all telling stems of different words, of which those not known have place -1."""
+        known = np.flatnonzero((places >= 0) & (self.often[places] > 0)) if len(self.often) else np.zeros(0, np.int64)
+        often = self.often[places[known]]
+        found, which = self.of_words[_ranges(self.first[places[known]], often)], np.repeat(known, often)
+        starts, size, fresh = self.starts, STEMS[0], places < 0
+        others = [(spot, stem) for spot, word in zip(np.flatnonzero(fresh).tolist(), compress(words, fresh.tolist()))
+                  if word[:size] in starts for stem in self._stems(word)]
+        if others:
+            found = np.append(found, [stem for _, stem in others])
+            which = np.append(which, [spot for spot, _ in others])
+        return found, which
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, place, times) of all different words of the texts; place -1 for words that no example has."""
-        places, times = [], []
-        for text in texts:
+        """(row, place, times) of all different terms of the texts; place -1 for words that no example has."""
+        rows, places, times = [], [], []
+        for row, text in enumerate(texts):
             found = Counter(words_of(text))
-            places.append(np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found)))
-            times.append(np.fromiter(found.values(), np.int64, len(found)))
+            place = np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found))
+            often = np.fromiter(found.values(), np.int64, len(found))
+            if self.stems:
+                stems, which = self.stems_of(place, found)
+                if len(stems):
+                    stems, own = np.unique(stems, return_inverse=True)
+                    place, often = np.append(place, stems), np.append(often, np.bincount(own, often[which]).astype(np.int64))
+            rows.append(len(place))
+            places.append(place)
+            times.append(often)
         none = np.zeros(0, np.int64)
-        return (np.repeat(np.arange(len(texts)), [len(one) for one in places]), np.concatenate([none, *places]),
-                np.concatenate([none, *times]))
-
-
-def _vocabulary(words: list[bytes]) -> Vocabulary:
-    own = Vocabulary([])
-    own.words, own.place = words, {word: place for place, word in enumerate(words)}
-    return own
+        return np.repeat(np.arange(len(texts)), rows), np.concatenate([none, *places]), np.concatenate([none, *times])
 
 
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -183,8 +234,8 @@ class Model:
         self.unseen = float(np.log((1 + total) / 2) + 1)
         self.prior = float((labels * weights).sum() / max(weights.sum(), EPSILON))
         row, own, unit = self.weighted(texts)
-        often = np.bincount(own, minlength=len(vocabulary.words))
-        self.index = Index(row, own, unit, unit * often[own], len(ids), len(vocabulary.words))
+        often = np.bincount(own, minlength=vocabulary.size)
+        self.index = Index(row, own, unit, unit * often[own], len(ids), vocabulary.size)
         order = self.index.order
         self.ids, self.labels, self.weights = [ids[place] for place in order], labels[order], weights[order]
         self._calibrate([texts[place] for place in order])
@@ -259,17 +310,20 @@ def document_frequencies(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = shared.value.place
-        totals = np.zeros(len(place), np.int64)
+        own, find = shared.value, shared.value.place.get
+        totals = np.zeros(own.size, np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                found = [spot for spot in map(place.get, set(words_of(text))) if spot is not None]
-                totals[found] += 1
+                words = set(words_of(text))
+                places = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
+                totals[places[places >= 0]] += 1
+                if own.stems:
+                    totals[np.unique(own.stems_of(places, words)[0])] += 1
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_pydict({"place": some.astype(np.int32), "n": totals[some]})
 
     found = texts.mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    result = np.zeros(len(vocabulary.words), np.int64)
+    result = np.zeros(vocabulary.size, np.int64)
     result[found["place"].to_numpy()] = found["n"].to_numpy()
     return result
 
@@ -284,7 +338,7 @@ def learn(texts: DataFrame, examples: DataFrame, row_id: str, weights: dict) ->
     rows = examples.groupBy(row_id).agg(F.min("text").alias("text"), F.max("_label").alias("_label")).collect()
     rows = sorted(rows, key=lambda row: row[0])
     kinds = np.array([float(row["_label"]) for row in rows])
-    vocabulary = Vocabulary([row["text"] for row in rows])
+    vocabulary = Vocabulary.of([row["text"] for row in rows], kinds)
     return Model(texts.count(), vocabulary, document_frequencies(texts, vocabulary), [row[0] for row in rows],
                  [row["text"] for row in rows], kinds, np.array([weights[int(kind)] for kind in kinds]))
 
@@ -294,8 +348,9 @@ def toxicity(documents: DataFrame, labels: DataFrame, text: str = "text", row_id
     """All rows with held_out, score (0 to 1), predicted (1 from 0.3 on) and evidence.
 
     Examples are labelled rows that are not held out: at most `most` of each class. A score reads
-    the text alone: its nearest examples by TF-IDF cosine vote with their cosines, and the share
-    of toxic votes is calibrated by how the examples fare among each other. Texts that are null,
+    the text alone: its nearest examples by TF-IDF cosine of all words, and of those starts of words
+    that tell the classes of the examples apart, vote with their cosines, and the share of toxic
+    votes is calibrated by how the examples fare among each other. Texts that are null,
     empty or without any word of an example have no neighbours and share one low score. evidence lists the
     nearest examples as (id, cosine, label). keep names the columns that pass through, all by
     default. An id with several labels is toxic if any of them

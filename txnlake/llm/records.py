@@ -70,6 +70,7 @@ class Encoder:
         self.kind = f"<u{self.width}"
         self.model, self.letters = tokenizer.model, byte_letters()
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.splitter.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -86,15 +87,18 @@ class Encoder:
         if words is None:
             return self._whole(text)
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
+            # Words still in use come back from here, so only those not met since the last time are worked out again.
+            self.known, self.earlier = {}, self.known
+        known, earlier, long = self.known, self.earlier, False
         for word in set(words).difference(known):
             if len(word) <= LONG:
-                known[word] = self._word(word)
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
+                ids = earlier.get(word)
+                known[word] = self._word(word) if ids is None else ids
+            else:
+                long = True
+        if long:
             return b"".join([known[word] if len(word) <= LONG else self._word(word) for word in words])
+        return b"".join(map(known.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
